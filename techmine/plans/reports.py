@@ -47,24 +47,20 @@ def order_by_count(df: DataFrame, count_col: str, *names: str) -> DataFrame:
     return df.orderBy(F.desc(count_col), *[F.asc(n) for n in names])
 
 
-def tech_pairs_shared_topics(work: DataFrame, mention: DataFrame,
-                             technology: DataFrame, top: int | None = None) -> DataFrame:
-    """QRY2: technology-name pairs by the number of topics where both occur.
-
-    Same answer as the literal self-join of mentions on topic with
-    ``techA != techB`` on ids, but the join input is first reduced to one row
-    per (topic, name) carrying n = distinct ids under that name and i = the
-    smallest id.  A pair (A, B) is valid unless both names denote the same
-    single id.  The join size is then bounded by the vocabulary per topic,
-    not by the number of works.
+def shared_group_pairs(rows: DataFrame, group: str, iri: str, name: str,
+                       top: int | None = None) -> DataFrame:
+    """QRY2 core on (group, iri, name) rows: name pairs by distinct shared groups.
+
+    Same answer as the literal self-join on ``group`` with ``a.iri != b.iri``,
+    but the join input is first reduced to one row per (group, name) carrying
+    n = distinct iris under that name and i = the smallest iri.  A pair (A, B)
+    is valid unless both names denote the same single iri.  The join size is
+    then bounded by the names per group, not by the number of rows.
     """
-    m = mention.select("work_id", F.col("technology_id").alias("tech_id"))
-    w = work.where(F.col("topic_id").isNotNull()).select(F.col("id").alias("work_id"), "topic_id")
-    names = _named(technology, "tech_id", "nm")
-    g = (m.join(w, "work_id").join(names, "tech_id")
-          .groupBy("topic_id", "nm")
-          .agg(F.countDistinct("tech_id").alias("n"), F.min("tech_id").alias("i")))
-    pairs = pairs_within_groups(g, "topic_id", "nm")
+    g = (rows.where(F.col(group).isNotNull() & F.col(name).isNotNull())
+             .groupBy(group, F.col(name).alias("nm"))
+             .agg(F.countDistinct(iri).alias("n"), F.min(iri).alias("i")))
+    pairs = pairs_within_groups(g, group, "nm")
     valid = pairs.where(~((F.col("l_n") == 1) & (F.col("r_n") == 1) & (F.col("l_i") == F.col("r_i"))))
     out = (valid.groupBy(F.col("l_nm").alias("tech_a"), F.col("r_nm").alias("tech_b"))
                 .agg(F.count(F.lit(1)).alias("common_topics")))
@@ -73,6 +69,16 @@ def tech_pairs_shared_topics(work: DataFrame, mention: DataFrame,
     return out
 
 
+def tech_pairs_shared_topics(work: DataFrame, mention: DataFrame,
+                             technology: DataFrame, top: int | None = None) -> DataFrame:
+    """QRY2: technology-name pairs by the number of topics where both occur."""
+    m = mention.select("work_id", F.col("technology_id").alias("tech_id"))
+    w = work.where(F.col("topic_id").isNotNull()).select(F.col("id").alias("work_id"), "topic_id")
+    names = _named(technology, "tech_id", "nm")
+    rows = m.join(w, "work_id").join(names, "tech_id").select("topic_id", "tech_id", "nm")
+    return shared_group_pairs(rows, "topic_id", "tech_id", "nm", top=top)
+
+
 def tech_pairs_same_work(mention: DataFrame, technology: DataFrame) -> DataFrame:
     """QRY3: unordered technology-name pairs by the number of works naming both."""
     m = mention.select("work_id", F.col("technology_id").alias("tech_id"))
