@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from techmine.functions import text as TX
 from techmine.functions.html import extract_html
 from techmine.operators import detect as DT
+from techmine.operators.inverted_index import inverted_index
 from techmine.operators.resolve import resolve_text
 from techmine.plans.registry import query
 from techmine.sources.tables import table
@@ -125,17 +126,6 @@ def parse_model_json(spark, base):
     return e.select("event_id", TX.parse_languages(_reply_spark("event_type", "props")).alias("languages"))
 
 
-def _index_of(docs, id_col="doc_id", text_col="text"):
-    """Inverted index per document: map<word, array<position>> (positions 0-based,
-    whitespace tokens, empty tokens skipped)."""
-    toks = F.filter(F.split(F.col(text_col), f"{WS}+", -1), lambda t: t != "")
-    pos = docs.select(id_col, F.posexplode(toks).alias("pos", "word"))
-    per_word = (pos.groupBy(id_col, "word")
-                   .agg(F.array_sort(F.collect_list(F.col("pos").cast("long"))).alias("positions")))
-    return (per_word.groupBy(id_col)
-                    .agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("index")))
-
-
 @query("inverted_index_rebuild", f"""
 SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> ''), ' ') AS text
 FROM documents
@@ -143,7 +133,7 @@ WHERE len(list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> ''))
 """)
 def inverted_index_rebuild(spark, base):
     d = table(spark, base, "documents").select("doc_id", "text")
-    return _index_of(d).select("doc_id", TX.reconstruct_abstract("index").alias("text"))
+    return inverted_index(d, "doc_id", "text").select("doc_id", TX.reconstruct_abstract("index").alias("text"))
 
 
 @query("page_text_concat", f"""
