@@ -104,7 +104,7 @@ def is_pdf_link(c) -> Column:
 
 def sorted_distinct(c) -> Column:
     """SC15: distinct values in code-point order (case-sensitive)."""
-    return F.array_sort(F.array_distinct(_c(c)))
+    return F.sort_array(F.array_distinct(_c(c)))
 
 
 LANGS_SCHEMA = T.StructType([T.StructField("programming_languages", T.ArrayType(T.StringType()))])
@@ -139,11 +139,59 @@ def cut_references(text, headings=REFERENCE_HEADINGS) -> Column:
     return F.regexp_replace(_c(text), pattern, "")
 
 
+# Whitespace outside ASCII that str.split also splits on.
+RARE_WS = "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) \
+    + "\u2028\u2029\u202f\u205f\u3000"
+ASCII_WS_RUN = r"[\t\n\x0B\f\r ]+"
+TOKEN_EDGE = '.,;:()"'
+
+
+def split_ws(text) -> Column:
+    """Split on runs of whitespace (same set as ``WS_CLASS``).  Rare Unicode
+    spaces are first mapped to a space by ``translate`` (a char scan), so the
+    regex is a plain ASCII class."""
+    return F.split(F.translate(_c(text), RARE_WS, " " * len(RARE_WS)), ASCII_WS_RUN, -1)
+
+
+def words(text) -> Column:
+    """Non-empty whitespace tokens."""
+    return F.filter(split_ws(text), lambda t: t != "")
+
+
 def tokens(text) -> Column:
     """Whitespace tokens with outer ``.,;:()"`` stripped (``+#`` and inner
-    punctuation stay, so ``C++``, ``C#`` and ``CLP(R)`` keep their form)."""
-    toks = F.split(_c(text), f"{WS_CLASS}+", -1)
-    return F.transform(toks, lambda t: F.regexp_replace(t, r'^[.,;:()"]+|[.,;:()"]+$', ""))
+    punctuation stay, so ``C++``, ``C#`` and ``CLP(R)`` keep their form).
+    Tokens that were only punctuation stay as empty tokens, so positions and
+    n-grams do not close over them."""
+    return F.transform(split_ws(text), lambda t: F.btrim(t, F.lit(TOKEN_EDGE)))
+
+
+def inverted_index(text) -> Column:
+    """map<word, array<position>> of one text, built inside the row: the
+    (word, position) pairs are sorted once, group starts are found in one
+    pass, and each group's positions are sliced out.  No shuffle; the cost is
+    O(n log n) in the text's own length."""
+    toks = words(text)
+
+    def by_sorted(s):
+        n = F.size(s)
+        starts_of = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+                             lambda j: (j == 0) | (F.get(s, j)["w"] != F.get(s, j - 1)["w"]))
+
+        def by_starts(st):
+            k = F.size(st)
+            keys = F.transform(st, lambda x: F.get(s, x)["w"])
+            vals = F.transform(st, lambda x, i: F.transform(
+                F.sequence(x, F.coalesce(F.get(st, i + 1), n) - 1), lambda j: F.get(s, j)["p"].cast("long")))
+            return F.when(k > 0, F.map_from_arrays(keys, vals))
+        return let(starts_of, by_starts)
+
+    pairs = F.sort_array(F.transform(toks, lambda w, i: F.struct(w.alias("w"), i.alias("p"))))
+    empty = F.create_map().cast("map<string,array<bigint>>")
+    return F.when(F.size(toks) > 0, let(pairs, by_sorted)).otherwise(empty)
+
+
+ENTRY_BITS = 24  # up to 16M distinct words per index; positions below 2^39
 
 
 def reconstruct_abstract(index) -> Column:
@@ -152,19 +200,29 @@ def reconstruct_abstract(index) -> Column:
     Each word is placed at each of its positions; when two words claim one
     position the later map entry wins; positions are read in order and joined
     with one space (gaps close up).  Null or empty map -> ''.
+
+    Every (position, entry) pair is packed into one long,
+    ``position << 24 | (2^24 - 1 - entry)``, so a primitive sort orders by
+    position and puts the later entry first; the first code of each position
+    wins and its low bits give back the word.
     """
-    entries = F.map_entries(_c(index))
-    placed = F.flatten(F.transform(entries, lambda e, i: F.transform(
-        F.coalesce(e["value"], F.array().cast("array<bigint>")),
-        lambda p: F.struct(p.cast("long").alias("pos"), (-i).alias("neg_ord"), e["key"].alias("word")))))
-
-    def winners(ordered):
-        return F.filter(ordered, lambda y, j: (j == 0) | (y["pos"] != F.get(ordered, j - 1)["pos"]))
-
-    # Bind the sorted array once: referencing it inside the filter lambda
-    # directly would re-sort it for every element.
-    kept = let(F.array_sort(placed), winners)
-    return F.coalesce(F.array_join(F.transform(kept, lambda y: y["word"]), " "), F.lit(""))
+    mask = (1 << ENTRY_BITS) - 1
+
+    def from_map(m):
+        return let(F.map_keys(m), lambda keys: from_keys(m, keys))
+
+    def from_keys(m, keys):
+        codes = F.flatten(F.transform(F.map_values(m), lambda ps, i: F.transform(
+            F.coalesce(ps, F.array().cast("array<bigint>")),
+            lambda p: F.shiftleft(p.cast("long"), ENTRY_BITS) + (F.lit(mask) - i))))
+
+        def pick(sorted_codes):
+            first = F.filter(sorted_codes, lambda c, j: (j == 0) | (
+                F.shiftright(c, ENTRY_BITS) != F.shiftright(F.get(sorted_codes, j - 1), ENTRY_BITS)))
+            return F.transform(first, lambda c: F.get(keys, F.lit(mask) - (c.bitwiseAND(F.lit(mask)))))
+        return F.array_join(let(F.sort_array(codes), pick), " ")
+
+    return F.coalesce(let(_c(index), from_map), F.lit(""))
 
 
 def let(value: Column, body) -> Column:

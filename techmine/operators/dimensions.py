@@ -68,4 +68,4 @@ def languages_per_work(df: DataFrame, work_col: str, name_col: str) -> DataFrame
     """SC15 per work: sorted distinct names (code-point order, case-sensitive)."""
     return (df.where(F.col(name_col).isNotNull())
               .groupBy(work_col)
-              .agg(F.array_sort(F.collect_set(name_col)).alias("languages")))
+              .agg(F.sort_array(F.collect_set(name_col)).alias("languages")))

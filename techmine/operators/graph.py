@@ -119,39 +119,63 @@ def work_triples(work: DataFrame, profile: str = "default") -> DataFrame:
 
 
 def mention_triples(mention: DataFrame) -> DataFrame:
-    """GR5: work schema:mentions technology (both ids truthy); duplicates collapse
-    in ``graph``'s dedupe."""
+    """GR5: work schema:mentions technology (both ids truthy).  Duplicate links
+    collapse: the dedupe runs on the two id columns, before IRIs are minted."""
     ok = truthy(F.col("work_id"), True) & truthy(F.col("technology_id"), True)
-    return (mention.where(ok)
+    return (mention.where(ok).select("work_id", "technology_id").distinct()
                    .select(iri(KIND_WORK, "work_id").alias("s"), F.lit(SCHEMA + "mentions").alias("p"),
                            iri(KIND_TECHNOLOGY, "technology_id").alias("o"),
                            F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("datatype")))
 
 
 def distinct_triples(*families: DataFrame) -> DataFrame:
-    """SET1 + SET2 + AG5: union of families with set semantics."""
+    """SET1 + SET2 + AG5: union of arbitrary families with set semantics."""
     out = families[0].select(*TRIPLE_COLS)
     for f in families[1:]:
         out = out.unionByName(f.select(*TRIPLE_COLS))
     return out.dropDuplicates(TRIPLE_COLS)
 
 
+def ids_unique(df: DataFrame, key: str = "id") -> bool:
+    """True when no key value repeats (a partial aggregate over the key column
+    only; stops at the first repeat)."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") > 1).limit(1).isEmpty())
+
+
+def _entity(df: DataFrame, build) -> DataFrame:
+    # One row per id emits each (subject, predicate) at most once, so the
+    # family is already a set; only tables with repeated ids need a dedupe.
+    fam = build(df.where(F.col("id").isNotNull()))
+    return fam if ids_unique(df) else fam.dropDuplicates(TRIPLE_COLS)
+
+
 def graph(topic: DataFrame | None = None, edge: DataFrame | None = None,
           technology: DataFrame | None = None, work: DataFrame | None = None,
           mention: DataFrame | None = None, profile: str = "default") -> DataFrame:
-    """The whole export: every family present, deduplicated."""
+    """The whole export with set semantics.
+
+    The families never share a (subject kind, predicate) pair, so the union of
+    per-family sets is a set: entity families are sets when their ids are
+    unique (checked), edges and mentions are deduplicated on their id pairs.
+    No shuffle of the triples themselves is needed.
+    """
     fams = []
     if topic is not None:
-        fams.append(topic_triples(topic))
+        fams.append(_entity(topic, topic_triples))
     if edge is not None:
-        fams.append(edge_triples(edge))
+        e = edge.select("parent_id", "child_id").distinct()
+        fams.append(edge_triples(e))
     if technology is not None:
-        fams.append(technology_triples(technology))
+        fams.append(_entity(technology, technology_triples))
     if work is not None:
-        fams.append(work_triples(work, profile))
+        fams.append(_entity(work, lambda w: work_triples(w, profile)))
     if mention is not None:
         fams.append(mention_triples(mention))
-    return distinct_triples(*fams)
+    out = fams[0].select(*TRIPLE_COLS)
+    for f in fams[1:]:
+        out = out.unionByName(f.select(*TRIPLE_COLS))
+    return out
 
 
 def write_triples(triples: DataFrame, path: str) -> None:

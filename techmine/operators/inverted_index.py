@@ -2,8 +2,8 @@
 
 The index is the input shape of the abstract rebuild (SC1).  Words are
 whitespace tokens (empty tokens skipped), positions 0-based and sorted
-(SRT4).  Built with two aggregations: (id, word) -> positions, then
-id -> map; a row's entries stay in one task, bounded by that row's text.
+(SRT4).  It is a per-row expression (``techmine.functions.text.inverted_index``):
+each text's index is built where the text is, with no shuffle.
 """
 
 from __future__ import annotations
@@ -11,13 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from techmine.functions.text import WS_CLASS
+from techmine.functions.text import inverted_index as index_of
 
 
 def inverted_index(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    toks = F.filter(F.split(F.col(text_col), f"{WS_CLASS}+", -1), lambda t: t != "")
-    pos = df.select(id_col, F.posexplode(toks).alias("pos", "word"))
-    per_word = (pos.groupBy(id_col, "word")
-                   .agg(F.array_sort(F.collect_list(F.col("pos").cast("long"))).alias("positions")))
-    return (per_word.groupBy(id_col)
-                    .agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("index")))
+    """(id, index) for every row whose text has at least one word."""
+    return (df.select(id_col, index_of(F.col(text_col)).alias("index"))
+              .where(F.size("index") > 0))

@@ -143,7 +143,7 @@ FROM conversations GROUP BY conv_id
 def page_text_concat(spark, base):
     c = table(spark, base, "conversations").select("conv_id", "turn", "text")
     joined = (c.groupBy("conv_id")
-               .agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("pages"))
+               .agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("pages"))
                .select("conv_id", TX.strip_ws(F.array_join(F.transform("pages", lambda x: x["text"]), "\n\n"))
                        .alias("t")))
     return joined.select("conv_id", F.nullif(F.col("t"), F.lit("")).alias("text"))

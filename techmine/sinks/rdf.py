@@ -63,7 +63,7 @@ def turtle_blocks(triples: DataFrame) -> DataFrame:
     per = t.select("s", F.struct(F.col("p").alias("k1"), F.col("o").alias("k2"),
                                  F.concat(pred, F.lit(" "), obj).alias("po")).alias("x"))
     return (per.groupBy("s")
-               .agg(F.array_sort(F.collect_list("x")).alias("xs"))
+               .agg(F.sort_array(F.collect_list("x")).alias("xs"))
                .select("s", F.concat(_short(F.col("s")), F.lit(" "),
                                      F.array_join(F.transform("xs", lambda x: x["po"]), " ;\n    "),
                                      F.lit(" .")).alias("block")))
