@@ -102,8 +102,9 @@ HTML_SCHEMA = "visible_text string, viewer_text string, links array<string>"
 
 def extract_html(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
     """SC17 + SC18 + SC19 in one pass: ``keep`` columns plus the three extractions."""
+    from techmine.operators.joins import ensure_parallelism
     keep = keep or [c for c in pages.columns if c != html_col]
-    src = pages.select(*keep, html_col)
+    src = ensure_parallelism(pages.select(*keep, html_col))
     schema_keep = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields
                             if f.name in keep)
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from techmine.functions import text as TX
 from techmine.functions.strict import detector_udf, parse_languages_strict
-from techmine.operators.joins import broadcast_if_small
+from techmine.operators.joins import broadcast_if_small, ensure_parallelism
 
 
 def vocabulary_forms(vocabulary: DataFrame, name_col: str = "name") -> DataFrame:
@@ -44,16 +44,17 @@ def vocabulary_mentions(docs: DataFrame, vocabulary: DataFrame, id_col: str = "d
         max_tokens = forms.agg(F.max("n")).first()[0] or 1
     lengths = list(range(1, max_tokens + 1))
     body = TX.cut_references(F.col(text_col), headings) if headings else F.col(text_col)
-    toks = docs.select(F.col(id_col).alias("__id"), TX.tokens(body).alias("toks"))
 
-    def grams(n):
+    def grams(toks, n):
+        size = F.size(toks)
         return F.transform(
-            F.filter(F.sequence(F.lit(1), F.greatest(F.size("toks"), F.lit(1))),
-                     lambda i: i + (n - 1) <= F.size("toks")),
+            F.filter(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: i + (n - 1) <= size),
             lambda i: F.struct(i.alias("s"), F.lit(n).alias("n"),
-                               F.array_join(F.slice("toks", i, n), " ").alias("form")))
+                               F.array_join(F.slice(toks, i, n), " ").alias("form")))
 
-    exploded = (toks.select("__id", F.explode(F.concat(*[grams(n) for n in lengths])).alias("g"))
+    # The token array is bound once per text and every n-gram is read from it.
+    all_grams = TX.let(TX.tokens(body), lambda toks: F.concat(*[grams(toks, n) for n in lengths]))
+    exploded = (ensure_parallelism(docs).select(F.col(id_col).alias("__id"), F.explode(all_grams).alias("g"))
                     .select("__id", "g.s", "g.n", "g.form"))
     hits = (exploded.join(broadcast_if_small(forms), ["form", "n"])
                     .select("__id", "s", (F.col("s") + F.col("n")).alias("e"), "name"))

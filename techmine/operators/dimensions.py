@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from techmine.operators.ids import dense_ids, next_id
+from techmine.operators.ids import SMALL_ROWS, dense_ids, next_id
 
 
 def rank_ids(df: DataFrame, order_by: list, id_col: str = "id", start: int = 1) -> DataFrame:
@@ -40,8 +40,11 @@ def register_names(existing: DataFrame, names: DataFrame, name_col: str,
     dimension.  Matching is exact and case-sensitive.
     """
     unseen = names.join(existing.select(F.col("name").alias(name_col)), name_col, "left_anti")
-    firsts = first_seen(unseen, name_col, order_cols)
-    return (dense_ids(firsts, [F.col("__first"), F.col(name_col)], start=next_id(existing))
+    # One row per unseen name, materialised once; small batches of new names
+    # (the usual case) are then numbered without a distributed sort.
+    firsts = first_seen(unseen, name_col, order_cols).checkpoint(eager=True)
+    return (dense_ids(firsts, [F.col("__first"), F.col(name_col)], start=next_id(existing),
+                      small_rows=SMALL_ROWS)
             .select("id", F.col(name_col).alias("name")))
 
 

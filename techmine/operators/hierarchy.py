@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from techmine.operators.ids import dense_ids
+from techmine.functions.text import strip_ws
+from techmine.operators.ids import SMALL_ROWS, dense_ids
 from techmine.operators.joins import broadcast_if_small
 
 # The three base topics, root first, in list order.
@@ -20,7 +21,7 @@ BASE_TOPICS = ["Physical Sciences", "Computer Science", "Artificial Intelligence
 
 
 def _trim_ws(c):
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return strip_ws(c)
 
 
 def ensure_base_topics(topic: DataFrame, base: list[str] = BASE_TOPICS) -> DataFrame:
@@ -66,7 +67,9 @@ def build_hierarchy(topic: DataFrame, base: list[str] = BASE_TOPICS) -> DataFram
                      .select(F.col("tid").alias("child_id"), F.lit(1).alias("__k"))
                      .join(leaf_parent, "__k").select("parent_id", "child_id"))
     edges = base_edges.unionByName(others).distinct()
-    return dense_ids(edges, ["parent_id", "child_id"]).select("id", "parent_id", "child_id")
+    # Edges are bounded by the number of topics; the size check proves it.
+    return (dense_ids(edges, ["parent_id", "child_id"], small_rows=SMALL_ROWS)
+            .select("id", "parent_id", "child_id"))
 
 
 def leaf_topics(topic: DataFrame, edge: DataFrame) -> DataFrame:

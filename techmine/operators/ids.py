@@ -27,12 +27,23 @@ def _as_cols(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+# Callers whose input is cheap to evaluate twice (small or checkpointed) may
+# pass ``small_rows``: if a bounded count proves the input has at most that
+# many rows it is numbered by a single-partition window, else distributed.
+SMALL_ROWS = 1_000_000
+
+
 def dense_ids(df: DataFrame, order_by: list, id_col: str = "id",
-              start: int = 1, partitions: int | None = None) -> DataFrame:
+              start: int = 1, partitions: int | None = None,
+              small_rows: int = 0) -> DataFrame:
     """Add ``id_col`` = start + 0-based rank of each row in ``order_by`` order."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     order = _as_cols(order_by)
+    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+        # Proven small: one task sorts at most ``small_rows`` rows.
+        return df.withColumn(id_col, (F.row_number().over(Window.orderBy(*order)) - 1 + F.lit(int(start)))
+                             .cast("long"))
+    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)

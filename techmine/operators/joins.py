@@ -52,3 +52,18 @@ def pairs_within_groups(items: DataFrame, group: str, key: str,
         F.explode(F.sequence(F.lit(0), F.col("__tm_b") - 1)).alias("__tm_salt"),
         *[F.col(c).alias(f"r_{c}") for c in other])
     return left.join(right, [group, "__tm_salt"]).drop("__tm_salt")
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Split ``df`` over all task slots when it has fewer input partitions than
+    slots (a planning-time check, no job).  On a cluster reading many files the
+    partitions already outnumber the slots and nothing is shuffled; on a few
+    large files CPU-heavy row work (tokenising whole texts) gets every core.
+
+    Meant for scans: on a plan that contains a shuffle, asking for the
+    partition count makes adaptive execution run the upstream stages.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
