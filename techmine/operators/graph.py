@@ -139,15 +139,19 @@ def distinct_triples(*families: DataFrame) -> DataFrame:
 def ids_unique(df: DataFrame, key: str = "id") -> bool:
     """True when no key value repeats (a partial aggregate over the key column
     only; stops at the first repeat)."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") > 1).limit(1).isEmpty())
+    return not repeated_keys({"t": df}, key)
 
 
-def _entity(df: DataFrame, build) -> DataFrame:
-    # One row per id emits each (subject, predicate) at most once, so the
-    # family is already a set; only tables with repeated ids need a dedupe.
-    fam = build(df.where(F.col("id").isNotNull()))
-    return fam if ids_unique(df) else fam.dropDuplicates(TRIPLE_COLS)
+def repeated_keys(tables: dict[str, DataFrame], key: str = "id") -> set[str]:
+    """Names of the tables whose key repeats, checked in one job over the key
+    columns only."""
+    parts = [df.select(F.lit(name).alias("__t"), F.col(key).alias("__k")) for name, df in tables.items()]
+    keys = parts[0]
+    for p in parts[1:]:
+        keys = keys.unionByName(p)
+    dup = (keys.groupBy("__t", "__k").agg(F.count(F.lit(1)).alias("n"))
+               .where(F.col("n") > 1).select("__t").distinct())
+    return {r[0] for r in dup.collect()}  # at most len(tables) rows
 
 
 def graph(topic: DataFrame | None = None, edge: DataFrame | None = None,
@@ -156,20 +160,24 @@ def graph(topic: DataFrame | None = None, edge: DataFrame | None = None,
     """The whole export with set semantics.
 
     The families never share a (subject kind, predicate) pair, so the union of
-    per-family sets is a set: entity families are sets when their ids are
-    unique (checked), edges and mentions are deduplicated on their id pairs.
-    No shuffle of the triples themselves is needed.
+    per-family sets is a set.  An entity family emits each (subject,
+    predicate) at most once per row, so it is a set when its ids are unique
+    (checked for all entity tables in one job; a table with repeated ids gets
+    a dedupe of its own triples).  Edges and mentions are deduplicated on
+    their id pairs before IRIs are minted.  The triples themselves are never
+    shuffled.
     """
+    entities = {k: v for k, v in (("topic", topic), ("technology", technology), ("work", work))
+                if v is not None}
+    repeated = repeated_keys(entities) if entities else set()
+    builders = {"topic": topic_triples, "technology": technology_triples,
+                "work": lambda w: work_triples(w, profile)}
     fams = []
-    if topic is not None:
-        fams.append(_entity(topic, topic_triples))
+    for name, df in entities.items():
+        fam = builders[name](df.where(F.col("id").isNotNull()))
+        fams.append(fam.dropDuplicates(TRIPLE_COLS) if name in repeated else fam)
     if edge is not None:
-        e = edge.select("parent_id", "child_id").distinct()
-        fams.append(edge_triples(e))
-    if technology is not None:
-        fams.append(_entity(technology, technology_triples))
-    if work is not None:
-        fams.append(_entity(work, lambda w: work_triples(w, profile)))
+        fams.append(edge_triples(edge.select("parent_id", "child_id").distinct()))
     if mention is not None:
         fams.append(mention_triples(mention))
     out = fams[0].select(*TRIPLE_COLS)

@@ -214,3 +214,11 @@ def test_golden_cache_facts(spark):
     rebuilt = H.build_hierarchy(H.ensure_base_topics(topic)).select("parent_id", "child_id")
     assert rows(rebuilt) == rows(edge.select("parent_id", "child_id"))
     assert tech.select(F.lower("name")).distinct().count() == 512
+
+
+def test_repeated_ids_still_give_a_set(spark):
+    topic = spark.createDataFrame([(1, "A"), (1, "A"), (1, "B"), (2, "C")], "id long, name string")
+    tech = spark.createDataFrame([(1, "C", None, None)], "id long, name string, kind string, version string")
+    assert G.repeated_keys({"topic": topic, "technology": tech}) == {"topic"}
+    g = G.graph(topic=topic, technology=tech)
+    assert g.count() == 4 + 2 and g.distinct().count() == g.count()
