@@ -221,4 +221,4 @@ def test_repeated_ids_still_give_a_set(spark):
     tech = spark.createDataFrame([(1, "C", None, None)], "id long, name string, kind string, version string")
     assert G.repeated_keys({"topic": topic, "technology": tech}) == {"topic"}
     g = G.graph(topic=topic, technology=tech)
-    assert g.count() == 4 + 2 and g.distinct().count() == g.count()
+    assert g.count() == 5 + 2 and g.distinct().count() == g.count()
