@@ -92,7 +92,8 @@ def load_tables(stored: dict[str, DataFrame], incoming: dict[str, DataFrame],
     topic -> edge -> work -> technology -> mention.
     """
     order = ["topic", "edge", "work", "technology", "mention"]
-    added = {t: insert_ignore(stored[t], incoming[t]) for t in order}
+    # Materialised once, so the rows that are checked are the rows written.
+    added = {t: insert_ignore(stored[t], incoming[t]).checkpoint(eager=True) for t in order}
     after = {t: stored[t].unionByName(added[t]) for t in order}
     C.require_clean(model_checks(after["topic"], after["edge"], after["work"],
                                  after["technology"], after["mention"]))
