@@ -68,6 +68,23 @@ def vocabulary_mentions(docs: DataFrame, vocabulary: DataFrame, id_col: str = "d
                    .distinct())
 
 
+# Instruction placed in front of each text when requests for an external
+# model are written out (the model call itself is not part of this engine).
+DEFAULT_INSTRUCTIONS = ("Identify the programming languages used in the following article text. "
+                        "Ignore everything after a References or Bibliography heading. "
+                        'Answer only with JSON of the form {"programming_languages": ["..."]}.')
+
+
+def model_requests(docs: DataFrame, id_col: str = "work_id", text_col: str = "text",
+                   instructions: str = DEFAULT_INSTRUCTIONS, phrases=TX.BLOCKED_PHRASES) -> DataFrame:
+    """SC21: one prompt per work that passes the gate, ready for a batch
+    inference service; its replies come back as the ``model_reply`` table of
+    ``detect_from_replies``."""
+    g = gate(docs.select(id_col, text_col), text_col, phrases).where(~F.col("blocked"))
+    return g.select(id_col, F.format_string("%s\n\nText:\n%s", F.lit(instructions), F.col(text_col))
+                    .alias("prompt"))
+
+
 def gate(docs: DataFrame, text_col: str = "text", phrases=TX.BLOCKED_PHRASES) -> DataFrame:
     """FIL5 + FIL7 ahead of any detection: rows with text, flagged ``blocked``."""
     return (docs.where(TX.has_text(F.col(text_col)))

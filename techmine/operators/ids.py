@@ -76,3 +76,12 @@ def next_id(base: DataFrame, id_col: str = "id") -> int:
     """
     row = base.agg(F.max(F.expr(f"try_cast({id_col} as bigint)")).alias("m")).first()
     return (row["m"] or 0) + 1
+
+
+def next_id_from_lines(lines: DataFrame, col: str = "value") -> int:
+    """SC16 fallback for a damaged table file read as text lines: the first
+    comma field of each line, parsed tolerantly (header and bad lines are
+    skipped); max + 1, or 1 when nothing parses."""
+    first = F.trim(F.split(F.col(col), ",", 2).getItem(0))
+    row = lines.agg(F.max(first.try_cast("bigint")).alias("m")).first()
+    return (row["m"] or 0) + 1

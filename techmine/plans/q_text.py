@@ -211,6 +211,16 @@ def detect_from_replies(spark, base):
                                   phrases=GATE_PHRASES)
 
 
+@query("model_requests", f"""
+SELECT doc_id AS work_id, '{DT.DEFAULT_INSTRUCTIONS.replace("'", "''")}' || chr(10) || chr(10) || 'Text:' || chr(10) || text AS prompt
+FROM documents
+WHERE text IS NOT NULL AND length(text) > 0 AND NOT {_contains_any_sql(_preview_sql('text'), GATE_PHRASES)}
+""")
+def model_requests(spark, base):
+    d = table(spark, base, "documents").select(F.col("doc_id").alias("work_id"), "text")
+    return DT.model_requests(d, phrases=GATE_PHRASES)
+
+
 def _word_detector(words):
     wanted = frozenset(words)
 

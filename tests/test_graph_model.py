@@ -224,3 +224,10 @@ def test_repeated_ids_still_give_a_set(spark):
     assert G.repeated_keys({"topic": topic, "technology": tech}) == {"topic"}
     g = G.graph(topic=topic, technology=tech)
     assert g.count() == 5 + 2 and g.distinct().count() == g.count()
+
+
+def test_next_id_from_damaged_lines(spark):
+    from techmine.operators.ids import next_id_from_lines
+    lines = spark.createDataFrame([("id,nombre",), ("3,C",), (' 12 ,"x, y"',), ("oops",), ("",)], "value string")
+    assert next_id_from_lines(lines) == 13
+    assert next_id_from_lines(spark.createDataFrame([("id",)], "value string")) == 1
