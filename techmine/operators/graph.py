@@ -187,8 +187,15 @@ def graph(topic: DataFrame | None = None, edge: DataFrame | None = None,
 
 
 def write_triples(triples: DataFrame, path: str) -> None:
-    """Persist a graph partitioned by predicate, so pattern scans prune partitions."""
-    triples.select(*TRIPLE_COLS).write.mode("overwrite").partitionBy("p").parquet(path)
+    """Persist a graph partitioned by predicate, so pattern scans prune partitions.
+
+    The ``rebalance`` hint lets adaptive execution cluster rows by predicate
+    and cut them into advisory-size partitions: a large predicate (mentions)
+    is split over many files, small ones are merged, so the folder holds
+    neither one giant file nor tasks x predicates small ones.
+    """
+    (triples.select(*TRIPLE_COLS).hint("rebalance", "p")
+            .write.mode("overwrite").partitionBy("p").parquet(path))
 
 
 def read_triples(spark, path: str) -> DataFrame:

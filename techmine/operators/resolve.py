@@ -38,8 +38,11 @@ PUBLISHER_PDF_PREFIX = "https://dl.acm.org/doi/pdf/"
 
 
 def analyse_responses(responses: DataFrame, soft_phrases=TX.SOFT_ERROR_PHRASES) -> DataFrame:
-    """(url, found_text, next_url) per distinct response URL."""
-    r = responses.dropDuplicates(["url"])
+    """(url, found_text, next_url) per distinct response URL.
+
+    Each response is analysed where it lies (narrow); only the analysis,
+    far smaller than the raw bodies, is deduplicated by URL."""
+    r = responses
     ctype = F.lower(F.coalesce(F.col("content_type"), F.lit("")))
     pdf = (r.where(ctype.contains("application/pdf"))
             .select("url", TX.strip_ws(F.array_join(F.coalesce("page_texts", F.array().cast("array<string>")),
@@ -53,7 +56,7 @@ def analyse_responses(responses: DataFrame, soft_phrases=TX.SOFT_ERROR_PHRASES)
         "url",
         F.when(~soft & F.col("viewer_text").isNotNull(), F.col("viewer_text")).alias("found_text"),
         F.when(~soft & F.col("viewer_text").isNull(), first_pdf_link("links", "url")).alias("next_url"))
-    return pdf.unionByName(html)
+    return pdf.unionByName(html).dropDuplicates(["url"])
 
 
 def fallback_urls(oa_location: DataFrame, head_probe: DataFrame, dois: DataFrame) -> DataFrame:

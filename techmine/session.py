@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Arrow batches carry whole texts and pages; keep a batch to a few MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -69,7 +69,7 @@ def turtle_blocks(triples: DataFrame) -> DataFrame:
                                      F.lit(" .")).alias("block")))
 
 
-def turtle_text(triples: DataFrame, files: int = 8) -> DataFrame:
+def turtle_text(triples: DataFrame, files: int | None = None) -> DataFrame:
     """Turtle documents, one per output file, each starting with the prefix lines.
 
     Blocks are spread over ``files`` keys by subject hash; every key gets a
@@ -77,11 +77,13 @@ def turtle_text(triples: DataFrame, files: int = 8) -> DataFrame:
     declares its prefixes before using them (a part that receives two keys
     simply repeats the same declarations, which Turtle allows).
     """
+    spark = triples.sparkSession
+    if files is None:  # one document per shuffle partition, sized by the cluster's setting
+        files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     header = "\n".join(f"@prefix {p}: <{ns}> ." for p, ns in PREFIXES.items()) + "\n"
     blocks = (turtle_blocks(triples)
               .select(F.pmod(F.xxhash64("s"), F.lit(files)).alias("k"), F.lit(1).alias("ord"),
                       F.col("s"), F.col("block").alias("value")))
-    spark = triples.sparkSession
     heads = spark.range(files).select(F.col("id").alias("k"), F.lit(0).alias("ord"),
                                       F.lit("").alias("s"), F.lit(header).alias("value"))
     return (heads.unionByName(blocks)
@@ -90,5 +92,5 @@ def turtle_text(triples: DataFrame, files: int = 8) -> DataFrame:
                  .select("value"))
 
 
-def write_turtle(triples: DataFrame, path: str, files: int = 8) -> None:
+def write_turtle(triples: DataFrame, path: str, files: int | None = None) -> None:
     turtle_text(triples, files).write.mode("overwrite").text(path)
