@@ -201,7 +201,7 @@ def ntriples_roundtrip(spark, base):
 def _short_sql(x: str) -> str:
     cases = " ".join(
         f"WHEN starts_with({x}, '{ns}') AND regexp_matches(substr({x}, {len(ns) + 1}), "
-        f"'^[A-Za-z_][A-Za-z0-9_-]*$') THEN '{p}:' || substr({x}, {len(ns) + 1})"
+        f"'^[A-Za-z_][A-Za-z0-9_-]*\\z') THEN '{p}:' || substr({x}, {len(ns) + 1})"
         for p, ns in G.PREFIXES.items())
     return f"(CASE {cases} ELSE '<' || {x} || '>' END)"
 

@@ -43,7 +43,7 @@ def _short(c: Column) -> Column:
     out = F.concat(F.lit("<"), c, F.lit(">"))
     for pfx, ns in PREFIXES.items():
         local = F.substring(c, len(ns) + 1, 1 << 30)
-        ok = c.startswith(ns) & local.rlike("^[A-Za-z_][A-Za-z0-9_-]*$")
+        ok = c.startswith(ns) & local.rlike(r"^[A-Za-z_][A-Za-z0-9_-]*\z")
         out = F.when(ok, F.concat(F.lit(pfx + ":"), local)).otherwise(out)
     return out
 

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from techmine.operators.graph import TRIPLE_COLS
 
-_LINE = r'^<([^>]*)> <([^>]*)> (.*) \.$'
-_LIT = r'^"(.*)"(?:\^\^<([^>]*)>)?$'
+# DOTALL: literals may hold NEL, LS or PS, which a plain '.' does not match.
+_LINE = r'(?s)^<([^>]*)> <([^>]*)> (.*) \.$'
+_LIT = r'(?s)^"(.*)"(?:\^\^<([^>]*)>)?$'
 
 
 def unescape_literal(c: Column) -> Column:
