@@ -37,6 +37,10 @@ def pairs_within_groups(items: DataFrame, group: str, key: str,
     every other column of ``items``.
     """
     other = [c for c in items.columns if c != group]
+    # The reduced items feed four plans (sizes, the size check, both sides);
+    # write them once to the shared checkpoint folder instead of recomputing
+    # the upstream joins for each.
+    items = items.checkpoint(eager=True)
     sizes = items.groupBy(group).agg(F.count(F.lit(1)).alias("__tm_n"))
     hot = (sizes.where(F.col("__tm_n") > bucket_rows)
                 .select(group, F.ceil(F.col("__tm_n") / bucket_rows).cast("int").alias("__tm_b")))
