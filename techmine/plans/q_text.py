@@ -17,6 +17,7 @@ from techmine.functions import text as TX
 from techmine.functions.html import extract_html
 from techmine.operators import detect as DT
 from techmine.operators.inverted_index import inverted_index
+from techmine.operators.pages import join_pages
 from techmine.operators.resolve import resolve_text
 from techmine.plans.registry import query
 from techmine.sources.tables import table
@@ -142,11 +143,7 @@ FROM conversations GROUP BY conv_id
 """)
 def page_text_concat(spark, base):
     c = table(spark, base, "conversations").select("conv_id", "turn", "text")
-    joined = (c.groupBy("conv_id")
-               .agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("pages"))
-               .select("conv_id", TX.strip_ws(F.array_join(F.transform("pages", lambda x: x["text"]), "\n\n"))
-                       .alias("t")))
-    return joined.select("conv_id", F.nullif(F.col("t"), F.lit("")).alias("text"))
+    return join_pages(c, "conv_id", "turn", "text")
 
 
 def _tok_sql(expr):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from techmine import schemas as SC
-from techmine.functions.text import float_or, int_or, na_to_null, strip_ws
+from techmine.functions.text import float_or, int_or, malformed, na_to_null, strip_ws
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"',
                "encoding": "UTF-8", "mode": "PERMISSIVE"}
@@ -81,6 +81,28 @@ def to_model(df: DataFrame, kind: str, na_values=("",)) -> DataFrame:
     raise ValueError(kind)
 
 
+# Columns the loader casts, with their target types, per table.
+CAST_COLUMNS = {
+    "topic": {"id": "bigint"},
+    "topic_edge": {"id": "bigint", "id_padre": "bigint", "id_hijo": "bigint"},
+    "technology": {"id": "bigint"},
+    "work": {"id": "bigint", "num_citas": "bigint", "fwci": "double", "tematica_id": "bigint"},
+    "mention": {"id": "bigint", "obra_id": "bigint", "tecnologia_id": "bigint"},
+}
+
+
+def malformed_values(raw: DataFrame, kind: str) -> DataFrame:
+    """SC6: (column, value, n_rows) for non-empty text that does not parse as
+    its column's type.  The loader would turn these into defaults; a load
+    should stop on them, as the original cast would have."""
+    parts = [raw.where(malformed(F.col(c), t)).select(F.lit(c).alias("column"), F.col(c).alias("value"))
+             for c, t in CAST_COLUMNS[kind].items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def read_model_table(spark: SparkSession, path: str, kind: str, na_values=("",)) -> DataFrame:
     return to_model(read_csv(spark, path, kind), kind, na_values)
 

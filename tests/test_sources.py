@@ -85,3 +85,18 @@ def test_stream_batches_and_replay(spark):
     # a replayed batch adds nothing
     register_batch(spark, rows2, dim, links, ["o_orderdate", "work_id"])
     assert spark.read.parquet(dim).count() == 3 and spark.read.parquet(links).count() == 5
+
+
+def test_malformed_values_and_row_count(spark):
+    from techmine.operators.pages import join_pages, with_row_count
+    from techmine.sources.csv_tables import malformed_values
+    raw = spark.createDataFrame([("1", "u", "t", None, None, None, "12", "x1", "3", None),
+                                 ("2", "u", "t", None, None, None, " ", "", "a", None)],
+                                "id string, direccion_fuente string, titulo string, abstract string, "
+                                "fecha_publicacion string, idioma string, num_citas string, fwci string, "
+                                "tematica_id string, doi string")
+    assert rows(malformed_values(raw, "work")) == [("fwci", "x1", 1), ("tematica_id", "a", 1)]
+    pages = spark.createDataFrame([(1, 2, "b "), (1, 1, " a"), (2, 1, "  ")], "d long, n long, t string")
+    out, obs = with_row_count(join_pages(pages, "d", "n", "t"), "docs")
+    assert rows(out) == [(1, "a\n\nb"), (2, None)]
+    assert obs.get["rows"] == 2
