@@ -12,7 +12,9 @@ then advance as a shrinking frontier: each round is one join of the frontier
 with the analysed responses; a work leaves the frontier when it has text, or
 when its next URL is missing or was already tried (a repeated URL ends the
 search, so once the open-access lookup has answered, the publisher probe is
-never reached).  Each round is checkpointed to the shared folder.
+never reached).  Each round is checkpointed to the shared folder; the two
+lookups are tables bucketed on their join keys, so a hop shuffles only the
+frontier.
 
 Rules per URL:
   pdf  (content type contains application/pdf): page texts joined by blank
@@ -27,11 +29,14 @@ Rules per URL:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from techmine.functions import text as TX
 from techmine.functions.html import extract_html, first_pdf_link
+from techmine.session import shared_dir
 
 # Fixed value: publisher PDF address prefix probed for a doi.
 PUBLISHER_PDF_PREFIX = "https://dl.acm.org/doi/pdf/"
@@ -76,8 +81,12 @@ def fallback_urls(oa_location: DataFrame, head_probe: DataFrame, dois: DataFrame
 def resolve_text(works: DataFrame, responses: DataFrame, oa_location: DataFrame,
                  head_probe: DataFrame, max_hops: int = 50) -> DataFrame:
     """(work_id, text, final_url, hops); text and final_url null when nothing usable."""
-    analysed = analyse_responses(responses).checkpoint(eager=True)
-    fb = fallback_urls(oa_location, head_probe, works).checkpoint(eager=True)
+    spark = works.sparkSession
+    # The two lookups are written once as tables bucketed on their join key,
+    # so every hop shuffles only the (shrinking) frontier to meet them.
+    tables = [_bucketed(analyse_responses(responses), "url", "tm_analysed"),
+              _bucketed(fallback_urls(oa_location, head_probe, works), "doi", "tm_fallback")]
+    analysed, fb = (spark.table(t) for t in tables)
     frontier = (works.where(F.col("url").isNotNull() & (F.col("url") != ""))
                      .select("work_id", "doi", "url", F.array("url").alias("tried"),
                              F.lit(1).alias("hops"))
@@ -115,4 +124,19 @@ def resolve_text(works: DataFrame, responses: DataFrame, oa_location: DataFrame,
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
+    # Every hop's rows are checkpointed, so the lookup tables can leave the
+    # catalog (their files stay in the shared folder).
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
     return out
+
+
+def _bucketed(df: DataFrame, key: str, prefix: str) -> str:
+    """Write ``df`` bucketed and sorted on ``key`` (bucket count = shuffle
+    partitions) under the shared folder; returns the table name."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
+    (df.write.bucketBy(n, key).sortBy(key)
+       .option("path", shared_dir(spark, name)).saveAsTable(name))
+    return name
