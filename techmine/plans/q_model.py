@@ -328,3 +328,48 @@ def update_cascade(spark, base):
     mapping = (n.withColumn("__k", F.lit(1)).join(F.broadcast(top.withColumn("__k", F.lit(1))), "__k")
                 .select("old_id", (F.col("old_id") + F.col("shift")).alias("new_id")))
     return C.update_keys(S.work(spark, base).select("id", "topic_id"), "topic_id", mapping)
+
+
+# ------------------------------------------------------------ all rules, one job
+
+def _model_tables(spark, base):
+    from techmine.plans.q_graph import _edges
+    topic = _topics(spark, base)
+    tech = S.technology(spark, base, "p_name")
+    return topic, _edges(spark, base), S.work(spark, base), tech, S.mention_with_id(spark, base)
+
+
+CONSTRAINT_REPORT_SQL = f"""
+WITH t AS ({TOPICS_WITH_BASE_SQL}),
+e AS ({HI1_EDGES_SQL}),
+w AS (SELECT o_orderkey AS id, '10.5555/' || CAST(o_orderkey AS VARCHAR) AS doi,
+             'https://example.org/pdf/' || CAST(o_orderkey AS VARCHAR) || '.pdf' AS source_url,
+             o_orderpriority AS title, CAST(c_nationkey AS BIGINT) AS topic_id
+      FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
+te AS (SELECT p_partkey AS id, p_name AS name FROM part),
+m AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS work_id, l_partkey AS technology_id FROM lineitem)
+SELECT 'topic.pk' AS "check", (SELECT count(*) FROM (SELECT id FROM t GROUP BY id HAVING count(*) > 1 OR id IS NULL)) AS n
+UNION ALL SELECT 'edge.pk', (SELECT count(*) FROM (SELECT id FROM e GROUP BY id HAVING count(*) > 1 OR id IS NULL))
+UNION ALL SELECT 'work.pk', (SELECT count(*) FROM (SELECT id FROM w GROUP BY id HAVING count(*) > 1 OR id IS NULL))
+UNION ALL SELECT 'technology.pk', (SELECT count(*) FROM (SELECT id FROM te GROUP BY id HAVING count(*) > 1 OR id IS NULL))
+UNION ALL SELECT 'mention.pk', (SELECT count(*) FROM (SELECT id FROM m GROUP BY id HAVING count(*) > 1 OR id IS NULL))
+UNION ALL SELECT 'work.doi.unique', (SELECT count(*) FROM (SELECT doi FROM w WHERE doi IS NOT NULL GROUP BY doi HAVING count(*) > 1))
+UNION ALL SELECT 'topic.not_null', (SELECT count(*) FROM t WHERE name IS NULL)
+UNION ALL SELECT 'technology.not_null', (SELECT count(*) FROM te WHERE name IS NULL)
+UNION ALL SELECT 'work.not_null', (SELECT count(*) FROM w WHERE source_url IS NULL) + (SELECT count(*) FROM w WHERE title IS NULL)
+UNION ALL SELECT 'mention.not_null', (SELECT count(*) FROM m WHERE work_id IS NULL) + (SELECT count(*) FROM m WHERE technology_id IS NULL)
+UNION ALL SELECT 'edge.not_null', (SELECT count(*) FROM e WHERE parent_id IS NULL) + (SELECT count(*) FROM e WHERE child_id IS NULL)
+UNION ALL SELECT 'edge.check', (SELECT count(*) FROM e WHERE parent_id = child_id)
+UNION ALL SELECT 'work.topic.fk', (SELECT count(*) FROM w WHERE topic_id IS NOT NULL AND topic_id NOT IN (SELECT id FROM t))
+UNION ALL SELECT 'mention.work.fk', (SELECT count(*) FROM m WHERE work_id IS NOT NULL AND work_id NOT IN (SELECT id FROM w))
+UNION ALL SELECT 'mention.technology.fk', (SELECT count(*) FROM m WHERE technology_id IS NOT NULL AND technology_id NOT IN (SELECT id FROM te))
+UNION ALL SELECT 'edge.parent.fk', (SELECT count(*) FROM e WHERE parent_id IS NOT NULL AND parent_id NOT IN (SELECT id FROM t))
+UNION ALL SELECT 'edge.child.fk', (SELECT count(*) FROM e WHERE child_id IS NOT NULL AND child_id NOT IN (SELECT id FROM t))
+"""
+
+
+@query("constraint_report", CONSTRAINT_REPORT_SQL)
+def constraint_report(spark, base):
+    """Every key, not-null, check and reference rule of the five tables,
+    counted together (the report the checked load runs before writing)."""
+    return C.count_violations(T.model_checks(*_model_tables(spark, base)))
