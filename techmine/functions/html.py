@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from techmine.functions.strict import resolve_url
-from techmine.functions.text import strip_ws
+from techmine.functions.text import is_pdf_link
 
 # Elements without end tags, and elements whose text is not shown.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
@@ -123,9 +123,5 @@ def extract_html(pages: DataFrame, html_col: str = "html", keep: list[str] | Non
 def first_pdf_link(links_col="links", base_col="url"):
     """SC19 + SC13: the first ``.pdf`` link (case-sensitive suffix), resolved
     against the page URL."""
-    first = F.get(F.filter(F.col(links_col), lambda h: h.endswith(".pdf")), 0)
+    first = F.get(F.filter(F.col(links_col), is_pdf_link), 0)
     return F.when(first.isNotNull(), resolve_url(F.col(base_col), first))
-
-
-def visible_text_clean(col="visible_text"):
-    return strip_ws(F.col(col))
