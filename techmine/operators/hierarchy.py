@@ -90,7 +90,7 @@ def closure(edge: DataFrame, max_rounds: int = 10_000) -> DataFrame:
               .agg(F.min("depth").alias("depth"), F.min("path").alias("path"))
               .checkpoint(eager=True))
     frontier = found
-    for _ in range(max_rounds):
+    for round_no in range(1, max_rounds + 1):
         step = (frontier.join(e, frontier["descendant_id"] == e["p"])
                         .select("ancestor_id", F.col("c").alias("descendant_id"),
                                 (F.col("depth") + 1).alias("depth"),
@@ -100,9 +100,13 @@ def closure(edge: DataFrame, max_rounds: int = 10_000) -> DataFrame:
                    .groupBy("ancestor_id", "descendant_id")
                    .agg(F.min("depth").alias("depth"), F.min("path").alias("path"))
                    .checkpoint(eager=True))
-        if new.isEmpty():
+        if new.isEmpty():  # reads the checkpoint just written
             break
-        found = found.unionByName(new).checkpoint(eager=True)
+        # A union of checkpointed pieces has shallow lineage; fold it into one
+        # checkpoint only every few rounds so deep hierarchies keep small plans.
+        found = found.unionByName(new)
+        if round_no % 8 == 0:
+            found = found.checkpoint(eager=True)
         frontier = new
     else:
         raise RuntimeError("closure did not converge")

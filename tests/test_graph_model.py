@@ -231,3 +231,12 @@ def test_next_id_from_damaged_lines(spark):
     lines = spark.createDataFrame([("id,nombre",), ("3,C",), (' 12 ,"x, y"',), ("oops",), ("",)], "value string")
     assert next_id_from_lines(lines) == 13
     assert next_id_from_lines(spark.createDataFrame([("id",)], "value string")) == 1
+
+
+def test_closure_deep_chain(spark):
+    n = 20
+    e = spark.createDataFrame([(i, i, i + 1) for i in range(1, n)], "id long, parent_id long, child_id long")
+    cl = H.closure(e)
+    assert cl.count() == n * (n - 1) // 2
+    assert rows(cl.where("ancestor_id = 1 AND descendant_id = 20"), "depth") == [(19,)]
+    assert rows(cl.where("ancestor_id = 18"), "descendant_id", "path") == [(19, [18, 19]), (20, [18, 19, 20])]
