@@ -111,11 +111,11 @@ def resolve_text(works: DataFrame, responses: DataFrame, oa_location: DataFrame,
             "work_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("final_url"),
             "hops")
         done += [found, dead]
+        # A filter over this hop's checkpoint: its lineage is already cut.
         frontier = (pending.where(F.col("nxt").isNotNull() & ~F.array_contains("tried", F.col("nxt")))
                            .select("work_id", "doi", F.col("nxt").alias("url"),
                                    F.concat("tried", F.array("nxt")).alias("tried"),
-                                   (F.col("hops") + 1).alias("hops"))
-                           .checkpoint(eager=True))
+                                   (F.col("hops") + 1).alias("hops")))
         if frontier.isEmpty():
             break
     else:
