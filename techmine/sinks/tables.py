@@ -50,7 +50,12 @@ def resume_unprocessed(works: DataFrame, done: DataFrame, key: str = "id",
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", **opts) -> None:
-    """SNK1: replace a table.  Never point ``path`` at a table ``df`` reads."""
+    """SNK1: replace a table.  Refuses a target that ``df`` itself reads
+    (overwriting would delete the input before it is read); the check lists
+    input files only, no job runs."""
+    target = path.rstrip("/").removeprefix("file:")
+    if any(f.removeprefix("file:").startswith(target + "/") for f in df.inputFiles()):
+        raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it")
     df.write.mode("overwrite").format(fmt).options(**opts).save(path)
 
 

@@ -100,3 +100,16 @@ def test_malformed_values_and_row_count(spark):
     out, obs = with_row_count(join_pages(pages, "d", "n", "t"), "docs")
     assert rows(out) == [(1, "a\n\nb"), (2, None)]
     assert obs.get["rows"] == 2
+
+
+def test_overwrite_refuses_own_input(spark):
+    import pytest
+    from techmine.sinks.tables import overwrite
+    p = shared_dir(spark, "ow")
+    spark.range(5).write.mode("overwrite").parquet(p)
+    df = spark.read.parquet(p)
+    with pytest.raises(ValueError):
+        overwrite(df.where("id > 1"), p)
+    q = shared_dir(spark, "ow2")
+    overwrite(df.where("id > 1"), q)
+    assert spark.read.parquet(q).count() == 3
