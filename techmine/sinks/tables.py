@@ -3,6 +3,8 @@ checked insert-ignore load of the five tables (SNK4), plus resume (INC1)."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,12 +55,17 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", **opts) -> None:
     """SNK1: replace a table.  Refuses a target that ``df`` itself reads
     (overwriting would delete the input before it is read); the check lists
     input files only, no job runs."""
-    target = path.rstrip("/").removeprefix("file:")
-    if any(f.removeprefix("file:").startswith(target + "/") for f in df.inputFiles()):
+    target = _norm(path).rstrip("/")
+    if any(_norm(f).startswith(target + "/") for f in df.inputFiles()):
         raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it")
     df.write.mode("overwrite").format(fmt).options(**opts).save(path)
 
 
+def _norm(p: str) -> str:
+    """``file:/x``, ``file:///x`` and ``/x`` name the same local path."""
+    return re.sub(r"^file:/+", "/", p)
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet", **opts) -> None:
     """SNK2: plain append, no uniqueness."""
     df.write.mode("append").format(fmt).options(**opts).save(path)
