@@ -195,13 +195,16 @@ def _doc_replies(docs):
                                 F.col("source"), F.lit('", "'), F.col("lang"), F.lit('"]} done')).alias("raw"))
 
 
-@query("detect_from_replies", f"""
+DETECT_REPLIES_SQL = f"""
 SELECT doc_id AS work_id,
   CASE WHEN {_contains_any_sql(_preview_sql('text'), GATE_PHRASES)} THEN CAST([] AS VARCHAR[])
        ELSE {_parse_sql("'Result: {\"programming_languages\": [\"' || lang || '\", \"' || source || '\", \"' || lang || '\"]} done'")}
   END AS languages
 FROM documents WHERE text IS NOT NULL AND length(text) > 0
-""")
+"""
+
+
+@query("detect_from_replies", DETECT_REPLIES_SQL)
 def detect_from_replies(spark, base):
     d = table(spark, base, "documents").select("doc_id", "text", "lang", "source")
     return DT.detect_from_replies(d.select(F.col("doc_id").alias("work_id"), "text"), _doc_replies(d),
@@ -218,6 +221,14 @@ def model_requests(spark, base):
     return DT.model_requests(d, phrases=GATE_PHRASES)
 
 
+@query("detect_from_replies_strict", DETECT_REPLIES_SQL)
+def detect_from_replies_strict(spark, base):
+    """DET1 with the strict JSON parser (Arrow batches) instead of the native one."""
+    d = table(spark, base, "documents").select("doc_id", "text", "lang", "source")
+    return DT.detect_from_replies(d.select(F.col("doc_id").alias("work_id"), "text"), _doc_replies(d),
+                                  strict=True, phrases=GATE_PHRASES)
+
+
 def _word_detector(words):
     wanted = frozenset(words)
 
