@@ -181,6 +181,28 @@ def vocabulary_mentions(spark, base):
     return DT.vocabulary_mentions(d, vocab)
 
 
+@query("detection_links", f"""
+WITH mm AS ({VOCAB_SQL}),
+dim AS (SELECT CAST(row_number() OVER (ORDER BY fw, name) AS BIGINT) AS id, name
+        FROM (SELECT name, min(doc_id) AS fw FROM mm GROUP BY name))
+SELECT CAST(row_number() OVER (ORDER BY mm.doc_id, mm.name) AS BIGINT) AS id, mm.doc_id AS work_id,
+       dim.id AS technology_id
+FROM mm JOIN dim ON mm.name = dim.name
+""")
+def detection_links(spark, base):
+    """Detect -> register -> link, the detection loop end to end: names found
+    in each text (DET2) get ids in first-seen order (REG1) and every
+    (work, name) becomes a link row with continuing ids (REG3)."""
+    from techmine.operators import dimensions as D
+    d = table(spark, base, "documents").select("doc_id", "text")
+    vocab = spark.createDataFrame([(w,) for w in VOCABULARY], "name string")
+    found = DT.vocabulary_mentions(d, vocab).checkpoint(eager=True)
+    empty_dim = spark.createDataFrame([], "id long, name string")
+    dim = D.with_registered(empty_dim, found, "name", ["doc_id"])
+    no_links = spark.createDataFrame([], "id long, work_id long, technology_id long")
+    return D.bridge_rows(found.withColumnRenamed("doc_id", "work_id"), dim, no_links)
+
+
 @query("references_cut", f"""
 SELECT doc_id, {_cut_sql('text', HEADINGS)} AS text FROM documents
 """)
