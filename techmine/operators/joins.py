@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we hint as broadcast after counting it (rows).  Above it the
-# join stays a shuffle join and AQE decides from measured stage sizes.
-MAX_BROADCAST_ROWS = 2_000_000
+# Largest side we hint as broadcast after counting it (rows).  The hinted
+# sides are narrow (ids and names, tens of bytes a row), so this keeps a
+# broadcast to tens of MB.  Above it the join stays a shuffle join and AQE
+# decides from measured stage sizes.
+MAX_BROADCAST_ROWS = 1_000_000
 
 # Rows of one group handled by one task in a pairing join; larger groups are
 # split into ceil(n / PAIR_BUCKET_ROWS) buckets.
