@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
