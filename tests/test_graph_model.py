@@ -240,3 +240,42 @@ def test_closure_deep_chain(spark):
     assert cl.count() == n * (n - 1) // 2
     assert rows(cl.where("ancestor_id = 1 AND descendant_id = 20"), "depth") == [(19,)]
     assert rows(cl.where("ancestor_id = 18"), "descendant_id", "path") == [(19, [18, 19]), (20, [18, 19, 20])]
+
+
+def _parse_turtle_blocks(blocks):
+    """Test-side reader for the block shape we write: expands prefixed names,
+    undoes literal escapes, returns (s, p, o, o_kind, datatype) tuples."""
+    import re
+    esc = {"\\\\": "\\", '\\"': '"', "\\n": "\n", "\\r": "\r", "\\t": "\t"}
+
+    def term(t):
+        if t.startswith("<"):
+            return t[1:-1]
+        pfx, local = t.split(":", 1)
+        return G.PREFIXES[pfx] + local
+
+    out = set()
+    for b in blocks:
+        assert b.endswith(" .")
+        subj, rest = b[:-2].split(" ", 1)
+        for po in rest.split(" ;\n    "):
+            pred, obj = po.split(" ", 1)
+            p = G.RDF_TYPE if pred == "a" else term(pred)
+            m = re.fullmatch(r'"((?:[^"\\]|\\.)*)"(?:\^\^(\S+))?', obj, re.S)
+            if m:
+                lex = re.sub(r"\\.", lambda x: esc[x.group(0)], m.group(1))
+                out.add((term(subj), p, lex, "literal", term(m.group(2)) if m.group(2) else None))
+            else:
+                out.add((term(subj), p, term(obj), "iri", None))
+    return out
+
+
+def test_turtle_blocks_read_back_as_the_same_triples(spark):
+    from techmine.sinks.rdf import turtle_blocks
+    topic = spark.createDataFrame([(1, 'A "quoted"\tname\\x'), (2, "B")], "id long, name string")
+    edge = spark.createDataFrame([(1, 1, 2)], "id long, parent_id long, child_id long")
+    work = _work(spark, [(7, "10.1/x", "http://u/a b", "T\nT", None, "2020-01-02", "en", 3, 1.5, 1)])
+    mention = spark.createDataFrame([(7, 9), (7, 9)], "work_id long, technology_id long")
+    g = G.graph(topic=topic, edge=edge, work=work, mention=mention)
+    blocks = [r["block"] for r in turtle_blocks(g).collect()]
+    assert _parse_turtle_blocks(blocks) == set(rows(g))
