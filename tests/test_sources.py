@@ -113,3 +113,14 @@ def test_overwrite_refuses_own_input(spark):
     q = shared_dir(spark, "ow2")
     overwrite(df.where("id > 1"), q)
     assert spark.read.parquet(q).count() == 3
+
+
+def test_json_topics_continue_after_stored(spark):
+    d = _local(shared_dir(spark, "pages2"))
+    page = {"results": [_rec(1, 5, topic="C"), _rec(2, 9, topic="A"), _rec(3, 1, topic="D")], "meta": {"count": 3}}
+    with open(os.path.join(d, "p.json"), "w") as f:
+        f.write(json.dumps(page) + "\n")
+    stored = spark.createDataFrame([(4, "A")], "id long, name string")
+    works, topics = WJ.works_and_topics(WJ.read_pages(spark, d).where(WJ.selection()), stored)
+    assert rows(topics) == [(4, "A"), (5, "C"), (6, "D")]
+    assert rows(works, "id", "topic_id") == [(1, 4), (2, 5), (3, 6)]
