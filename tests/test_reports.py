@@ -96,3 +96,19 @@ def test_next_id(spark):
     assert next_id(empty) == 1
     base = spark.createDataFrame([("3",), ("x",), ("7",)], "id string")
     assert next_id(base) == 8
+
+
+def test_same_work_pairs_with_a_hot_work(spark):
+    tech = spark.createDataFrame([(i, f"t{i:03d}") for i in range(600)], "id long, name string")
+    mention = spark.createDataFrame([(1, i) for i in range(600)] + [(2, 1), (2, 2), (3, 5), (3, 1)],
+                                    "work_id long, technology_id long")
+    fast = reports.tech_pairs_same_work(mention, tech)
+    m = mention.join(tech.select(F.col("id").alias("technology_id"), "name"), "technology_id")
+    a = m.select("work_id", F.col("name").alias("tech_a"))
+    b = m.select("work_id", F.col("name").alias("tech_b"))
+    naive = (a.join(b, "work_id").where(F.col("tech_a") < F.col("tech_b"))
+              .groupBy("tech_a", "tech_b").agg(F.countDistinct("work_id").alias("shared_works")))
+    assert fast.count() == 600 * 599 // 2
+    assert fast.exceptAll(naive).count() == 0 and naive.exceptAll(fast).count() == 0
+    assert rows(fast.where("tech_a = 't001' AND tech_b IN ('t002', 't005')")) == [
+        ("t001", "t002", 2), ("t001", "t005", 2)]
