@@ -112,3 +112,12 @@ def test_same_work_pairs_with_a_hot_work(spark):
     assert fast.exceptAll(naive).count() == 0 and naive.exceptAll(fast).count() == 0
     assert rows(fast.where("tech_a = 't001' AND tech_b IN ('t002', 't005')")) == [
         ("t001", "t002", 2), ("t001", "t005", 2)]
+
+
+def test_one_iri_with_two_names_gives_no_pair(spark):
+    work = spark.createDataFrame([(1, 10)], "id long, topic_id long")
+    tech = spark.createDataFrame([(5, "A"), (5, "B"), (6, "C")], "id long, name string")
+    mention = spark.createDataFrame([(1, 5)], "work_id long, technology_id long")
+    assert rows(reports.tech_pairs_shared_topics(work, mention, tech)) == []
+    both = spark.createDataFrame([(1, 5), (1, 6)], "work_id long, technology_id long")
+    assert rows(reports.tech_pairs_shared_topics(work, both, tech)) == rows(_naive_pairs(work, both, tech))
