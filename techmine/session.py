@@ -20,9 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Coalesce small shuffle partitions to the advisory size rather than
-    # keeping one per core (fewer tiny tasks on a busy cluster).
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Arrow batches carry whole texts and pages; keep a batch to a few MB.
