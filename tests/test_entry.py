@@ -1,4 +1,5 @@
 import __spark_entry__ as E
+from techmine.plans import registry
 
 
 def test_contract_keys():
@@ -6,7 +7,7 @@ def test_contract_keys():
     assert set(sql) <= set(qs)
     assert len(qs) >= 50
     # names must not hint at anything but what they compute
-    assert not any(k.startswith("op") or "pipeline" in k for k in qs)
+    assert not any(k.startswith("op") or "pipeline" in k for k in registry.QUERIES)
 
 
 def test_entry_smoke(spark):
