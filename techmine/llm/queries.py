@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from techmine.llm import host_rules, quotient_dedup
-from techmine.llm.common import prepare
+from techmine.llm import (circulant_minhash, host_rules, html_wrappers, pii_surrogates, quotient_dedup,
+                          residual_packing, secret_scan, sentencepiece_codec, token_store)
+from techmine.llm.common import prepare, stored
 from techmine.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +90,103 @@ def op8_host_rules(spark, sf_dir):
     out = host_rules.with_quality(docs, carry=["doc_id"])
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return out.select("doc_id", *[F.col(f"__llm_{c}").alias(c) for c in figures])
+
+
+@query("op5_circulant_minhash", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) < 2 THEN [ws]
+                               ELSE list_transform(range(1, len(ws)), lambda i: [ws[i], ws[i + 1]]) END) AS g
+    FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+      GROUP BY ALL),
+e AS MATERIALIZED (
+  SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 80 * (x.n + y.n - k)),
+r(node, seen) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
+m AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.component_id, w.doc_id) AS component_id,
+       coalesce(m.component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN m ON w.doc_id = m.node
+""")
+def op5_circulant_minhash(spark, sf_dir):
+    return circulant_minhash.near_classes(_documents(spark, sf_dir, "doc_id", "text"), width=2)
+
+
+# Start, kind and end of every match of one expression, from the pieces between matches.
+_SPANS_SQL = r"""
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, m[i] AS hit, regexp_extract(m[i], '{expr}', 2) AS val,
+         list_sum(list_transform(p[:i], lambda x: length(x))) +
+         coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0) AS pos
+  FROM (SELECT doc_id, m, p, unnest(range(1, len(m) + 1)) AS i
+        FROM (SELECT doc_id, regexp_extract_all(t, '{expr}') AS m, regexp_split_to_array(t, '{expr}') AS p FROM d))
+"""
+_ASSIGN_SQL = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+@query("op7_secret_scan", f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+a AS ({_SPANS_SQL.format(kind="assign", rank=0, expr=_ASSIGN_SQL)}),
+b AS ({_SPANS_SQL.format(kind="access", rank=1, expr="(AKIA)([A-Z0-9]+)")}),
+c AS ({_SPANS_SQL.format(kind="hex", rank=2, expr="()([0-9a-f]+)")}),
+k AS (SELECT * FROM a WHERE length(val) >= 12 UNION ALL SELECT * FROM b WHERE length(hit) >= 18
+      UNION ALL SELECT * FROM c WHERE length(hit) >= 16),
+g AS (SELECT doc_id, sum((kind = 'assign')::INT)::BIGINT AS n_assign, sum((kind = 'access')::INT)::BIGINT AS n_access,
+             sum((kind = 'hex')::INT)::BIGINT AS n_hex,
+             string_agg(kind || ':' || pos::BIGINT || ':' || (pos + length(hit))::BIGINT, ',' ORDER BY pos, rank) AS spans
+      FROM k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+""")
+def op7_secret_scan(spark, sf_dir):
+    found = secret_scan.scan(_documents(spark, sf_dir, "doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in secret_scan.BASE_KINDS],
+        F.sha2(secret_scan.span_text("spans", secret_scan.BASE_KINDS), 256).alias("base_sha256"),
+        secret_scan.span_text("spans").alias("spans"))
+
+
+@query("op10_residual_packing")
+def op10_residual_packing(spark, sf_dir):
+    return residual_packing.pack_documents(_documents(spark, sf_dir, "doc_id", "text"),
+                                           public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op3_token_store")
+def op3_token_store(spark, sf_dir):
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    store = token_store.write_store(docs, public_tokenizers.path("word_bpe_49k.json"))
+    places = stored(token_store.look_up(store, token_store.keys_of(docs)), "places")
+    read = token_store.read_payload(store, places)
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.encoded(_documents(spark, sf_dir, "doc_id", "text"),
+                                       public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
+@query("op1_html_wrappers")
+def op1_html_wrappers(spark, sf_dir):
+    pages = table(prepare(spark), sf_dir, "pages").select("page_id", "url", "html")
+    out = html_wrappers.extracted(pages).withColumnRenamed("__llm_text", "text")
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+# Key of the registered query; a real run passes its own.
+PII_KEY = "registered query"
+
+
+@query("op2_pii_surrogates")
+def op2_pii_surrogates(spark, sf_dir):
+    out = pii_surrogates.surrogated(_documents(spark, sf_dir, "doc_id", "text"), PII_KEY)
+    return out.select("doc_id", "text", F.size("__llm_types").cast("long").alias("n_entities"),
+                      F.array_join("__llm_types", ",").alias("types"))
