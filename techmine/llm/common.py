@@ -47,11 +47,13 @@ def partitions(spark: SparkSession) -> int:
 def _width(f: T.StructField) -> Column:
     if isinstance(f.dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(f.name), F.lit(0)) + 16
+    if isinstance(f.dataType, T.ArrayType):  # of numbers, or of structs of a few
+        return F.coalesce(F.size(f.name), F.lit(0)) * 64 + 16
     return F.lit(16)
 
 
 def small_side(df: DataFrame) -> DataFrame:
-    """``df`` (a stored, narrow table of fixed-width, string or binary columns)
+    """``df`` (a stored, narrow table: numbers, strings, binaries, arrays of numbers)
     hinted for broadcast if its rows and bytes are proven under the bounds;
     otherwise unchanged, so that the join shuffles and AQE splits hot keys."""
     width = sum((_width(f) for f in df.schema.fields), F.lit(0))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from techmine.llm import (circulant_minhash, host_rules, html_wrappers, pii_surrogates, quotient_dedup,
-                          residual_packing, secret_scan, sentencepiece_codec, token_store)
+                          residual_packing, secret_scan, sentencepiece_codec, suffix_dedup, token_store)
 from techmine.llm.common import prepare, stored
 from techmine.sources.tables import table
 
@@ -190,3 +190,9 @@ def op2_pii_surrogates(spark, sf_dir):
     out = pii_surrogates.surrogated(_documents(spark, sf_dir, "doc_id", "text"), PII_KEY)
     return out.select("doc_id", "text", F.size("__llm_types").cast("long").alias("n_entities"),
                       F.array_join("__llm_types", ",").alias("types"))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark, sf_dir):
+    out = suffix_dedup.repeated_strings(_documents(spark, sf_dir, "doc_id", "text"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
