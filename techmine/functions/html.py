@@ -7,7 +7,8 @@ joins) is native Spark.
 
 Per page it returns:
   visible_text  all text nodes (entities unescaped, title kept; comments,
-                script and style left out), each trimmed, empties dropped,
+                script, style and ruby annotations left out), adjacent text
+                as one piece, each trimmed, empties dropped,
                 joined by one space
   viewer_text   text of the elements matched by the selector list
                 ``[class*="textLayer"], [id*="textLayer"] div, span``
@@ -29,7 +30,7 @@ from techmine.functions.text import is_pdf_link
 # Elements without end tags, and elements whose text is not shown.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
-HIDDEN = {"script", "style", "template"}
+HIDDEN = {"script", "style", "template", "rt", "rp"}
 VIEWER_MARK = "textLayer"
 
 
@@ -41,18 +42,34 @@ class _Page(HTMLParser):
         self.matches = []      # pieces lists of matched elements, document order
         self.links = []
         self.hidden = 0
+        self.data = []         # data events since the last tag or comment
+
+    def flush(self):
+        """Adjacent data events (a stray ``<`` ends one) are one text."""
+        piece = "".join(self.data).strip()
+        self.data = []
+        if self.hidden or not piece:
+            return
+        self.visible.append(piece)
+        for e in self.stack:
+            if e[1]:
+                e[2].append(piece)
+
+    def handle_comment(self, data):
+        self.flush()
 
     def handle_starttag(self, tag, attrs):
+        self.flush()
         a = {k: (v if v is not None else "") for k, v in attrs}
         if tag == "a" and "href" in a:
             self.links.append(a["href"])
-        if tag in VOID:
-            return
         under_id = any(e[3] or VIEWER_MARK in e[4] for e in self.stack)
         matched = (VIEWER_MARK in a.get("class", "")) or (tag == "div" and under_id) or tag == "span"
         pieces = [] if matched else None
         if matched:
             self.matches.append(pieces)
+        if tag in VOID:
+            return
         self.stack.append([tag, matched, pieces, under_id, a.get("id", "")])
         if tag in HIDDEN:
             self.hidden += 1
@@ -63,6 +80,7 @@ class _Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        self.flush()
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 for e in self.stack[i:]:
@@ -72,15 +90,7 @@ class _Page(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if self.hidden:
-            return
-        piece = data.strip()
-        if not piece:
-            return
-        self.visible.append(piece)
-        for e in self.stack:
-            if e[1]:
-                e[2].append(piece)
+        self.data.append(data)
 
 
 def parse_page(html: str | None):
@@ -90,6 +100,7 @@ def parse_page(html: str | None):
     try:
         p.feed(html)
         p.close()
+        p.flush()
     except Exception:
         pass
     viewer = " ".join(" ".join(m) for m in p.matches) if p.matches else None

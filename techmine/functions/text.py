@@ -204,14 +204,34 @@ def reconstruct_abstract(index) -> Column:
     Every (position, entry) pair is packed into one long,
     ``position << 24 | (2^24 - 1 - entry)``, so a primitive sort orders by
     position and puts the later entry first; the first code of each position
-    wins and its low bits give back the word.
+    wins and its low bits give back the word.  Indexes out of that range (more
+    than 2^24 words, negative positions or positions from 2^39) sort structs
+    instead.
     """
     mask = (1 << ENTRY_BITS) - 1
 
     def from_map(m):
         return let(F.map_keys(m), lambda keys: from_keys(m, keys))
 
+    def positions(m):
+        return F.transform(F.map_values(m), lambda ps: F.coalesce(ps, F.array().cast("array<bigint>")))
+
     def from_keys(m, keys):
+        flat = F.flatten(positions(m))
+        fits = ((F.size(keys) <= mask) & (F.coalesce(F.array_min(flat), F.lit(0)) >= 0)
+                & (F.coalesce(F.array_max(flat), F.lit(0)) < (1 << (63 - ENTRY_BITS))))
+        return F.when(fits, packed(m, keys)).otherwise(structs(m, keys))
+
+    def structs(m, keys):
+        pairs = F.flatten(F.transform(positions(m), lambda ps, i: F.transform(
+            ps, lambda p: F.struct(p.cast("long").alias("p"), (-i).alias("e")))))
+
+        def pick(s):
+            first = F.filter(s, lambda c, j: (j == 0) | (c["p"] != F.get(s, j - 1)["p"]))
+            return F.transform(first, lambda c: F.get(keys, -c["e"]))
+        return F.array_join(let(F.sort_array(pairs), pick), " ")
+
+    def packed(m, keys):
         codes = F.flatten(F.transform(F.map_values(m), lambda ps, i: F.transform(
             F.coalesce(ps, F.array().cast("array<bigint>")),
             lambda p: F.shiftleft(p.cast("long"), ENTRY_BITS) + (F.lit(mask) - i))))

@@ -26,11 +26,12 @@ from techmine.operators.joins import broadcast_if_small, ensure_parallelism
 
 
 def vocabulary_forms(vocabulary: DataFrame, name_col: str = "name") -> DataFrame:
-    """(name, form, n): each name in token form and its token count."""
+    """(name, form, n, first): each name in token form, its token count and first
+    token."""
     toks = TX.tokens(F.col(name_col))
     return (vocabulary.where(F.col(name_col).isNotNull())
                       .select(F.col(name_col).alias("name"), F.array_join(toks, " ").alias("form"),
-                              F.size(toks).alias("n"))
+                              F.size(toks).alias("n"), F.get(toks, 0).alias("first"))
                       .where(F.col("form") != "")
                       .distinct())
 
@@ -39,24 +40,18 @@ def vocabulary_mentions(docs: DataFrame, vocabulary: DataFrame, id_col: str = "d
                         text_col: str = "text", headings=TX.REFERENCE_HEADINGS,
                         max_tokens: int | None = None) -> DataFrame:
     """DET2 -> distinct (id, name) pairs."""
-    forms = vocabulary_forms(vocabulary)
-    if max_tokens is None:
-        max_tokens = forms.agg(F.max("n")).first()[0] or 1
-    lengths = list(range(1, max_tokens + 1))
+    forms = vocabulary_forms(vocabulary).checkpoint(eager=True)
     body = TX.cut_references(F.col(text_col), headings) if headings else F.col(text_col)
-
-    def grams(toks, n):
-        size = F.size(toks)
-        return F.transform(
-            F.filter(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: i + (n - 1) <= size),
-            lambda i: F.struct(i.alias("s"), F.lit(n).alias("n"),
-                               F.array_join(F.slice(toks, i, n), " ").alias("form")))
-
-    # The token array is bound once per text and every n-gram is read from it.
-    all_grams = TX.let(TX.tokens(body), lambda toks: F.concat(*[grams(toks, n) for n in lengths]))
-    exploded = (ensure_parallelism(docs).select(F.col(id_col).alias("__id"), F.explode(all_grams).alias("g"))
-                    .select("__id", "g.s", "g.n", "g.form"))
-    hits = (exploded.join(broadcast_if_small(forms), ["form", "n"])
+    # Positions whose token starts a name, then one gram per length of the names
+    # that start with it: most tokens give no gram at all.
+    starts = forms.groupBy("first").agg(F.sort_array(F.collect_set("n")).alias("lengths"))
+    if max_tokens is not None:
+        starts = starts.withColumn("lengths", F.filter("lengths", lambda n: n <= max_tokens))
+    toks = ensure_parallelism(docs).select(F.col(id_col).alias("__id"), TX.tokens(body).alias("toks"))
+    exploded = (_starting(toks, starts).select("__id", "s", "toks3", F.explode("lengths").alias("n"))
+                    .where(F.col("n") <= F.size("toks3"))
+                    .select("__id", "s", "n", F.array_join(F.slice("toks3", 1, F.col("n")), " ").alias("form")))
+    hits = (exploded.join(broadcast_if_small(forms.select("name", "form", "n")), ["form", "n"])
                     .select("__id", "s", (F.col("s") + F.col("n")).alias("e"), "name"))
     before = Window.partitionBy("__id").orderBy("s").rangeBetween(Window.unboundedPreceding, -1)
     same = Window.partitionBy("__id", "s")
@@ -68,6 +63,33 @@ def vocabulary_mentions(docs: DataFrame, vocabulary: DataFrame, id_col: str = "d
                    .distinct())
 
 
+def _starting(toks: DataFrame, starts: DataFrame) -> DataFrame:
+    """(id, s, toks3, lengths) for every position ``s`` whose token is the first
+    of a name; ``toks3`` are the tokens from there, as many as a name can have.
+
+    While the vocabulary has at most ``FIRST_TOKENS`` first tokens, the other
+    positions are dropped inside the row, by a hash set; beyond that all tokens
+    are exploded.  The equi-join with the first tokens (broadcast after a size
+    check) follows either way, so no gram is built for any other position."""
+    longest = starts.agg(F.max(F.array_max("lengths"))).first()[0] or 1
+    some = [r[0] for r in starts.select("first").limit(FIRST_TOKENS + 1).collect()]
+
+    def windows(t):
+        at = F.sequence(F.lit(0), F.size(t) - 1)
+        if len(some) <= FIRST_TOKENS:
+            at = F.filter(at, lambda i: F.get(t, i).isin(some))
+        return F.transform(at, lambda i: F.struct(F.get(t, i).alias("first"), (i + 1).alias("s"),
+                                                  F.slice(t, i + 1, longest).alias("toks3")))
+
+    windows = F.when(F.size("toks") > 0, TX.let(F.col("toks"), windows))
+    rows = toks.select("__id", F.explode(windows).alias("w")).select("__id", "w.first", "w.s", "w.toks3")
+    return rows.join(broadcast_if_small(starts), "first")
+
+
+# First tokens of a vocabulary that are tested inside the row.
+FIRST_TOKENS = 20_000
+
+
 # Instruction placed in front of each text when requests for an external
 # model are written out (the model call itself is not part of this engine).
 DEFAULT_INSTRUCTIONS = ("Identify the programming languages used in the following article text. "
@@ -92,11 +114,13 @@ def gate(docs: DataFrame, text_col: str = "text", phrases=TX.BLOCKED_PHRASES) ->
 
 
 def detect_from_replies(docs: DataFrame, replies: DataFrame, id_col: str = "work_id",
-                        text_col: str = "text", strict: bool = False,
+                        text_col: str = "text", strict: bool = True,
                         phrases=TX.BLOCKED_PHRASES) -> DataFrame:
-    """DET1: (id, languages).  Blocked texts and works without a reply get []."""
+    """DET1: (id, languages).  Blocked texts and works without a reply get [];
+    of several replies for a work the smallest text counts.  ``strict=False``
+    parses natively, which accepts some replies that are no valid JSON."""
     g = gate(docs.select(id_col, text_col), text_col, phrases).select(id_col, "blocked")
-    r = replies.select(F.col("work_id").alias(id_col), "raw")
+    r = replies.groupBy(F.col("work_id").alias(id_col)).agg(F.min("raw").alias("raw"))
     parse = parse_languages_strict if strict else TX.parse_languages
     j = g.join(r, id_col, "left")
     langs = F.when(F.col("blocked") | F.col("raw").isNull(), F.array().cast("array<string>")) \
@@ -110,6 +134,5 @@ def detect_with_callable(docs: DataFrame, fn, id_col: str = "work_id", text_col:
     blocked texts never reach Python."""
     g = gate(docs.select(id_col, text_col), text_col, phrases)
     run = detector_udf(fn)
-    open_rows = g.where(~F.col("blocked")).select(id_col, TX.sorted_distinct(run(F.col(text_col))).alias("languages"))
-    closed = g.where(F.col("blocked")).select(id_col, F.array().cast("array<string>").alias("languages"))
-    return open_rows.unionByName(closed)
+    # The wrapper gives [] for null, so one scan serves blocked texts too.
+    return g.select(id_col, TX.sorted_distinct(run(F.when(~F.col("blocked"), F.col(text_col)))).alias("languages"))

@@ -51,6 +51,26 @@ def truthy(c: Column, numeric: bool = False) -> Column:
     return c.isNotNull() & ((c != 0) if numeric else (c.cast("string") != ""))
 
 
+def plain_double(c: Column) -> Column:
+    """Lexical form of a double: plain digits from 1e-4 to below 1e16, else the
+    shortest digits with a signed exponent of two digits or more."""
+    s = c.cast("double").cast("string")
+    parts = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
+    sign, lead, e = (F.regexp_extract(s, parts, k) for k in (1, 2, 4))
+    rest = F.regexp_replace(F.regexp_extract(s, parts, 3), "0+$", "")
+    e = e.try_cast("int")
+    digits = F.concat(lead, rest)
+    whole = F.rpad(F.substring(digits, F.lit(1), e + 1), e + 1, F.lit("0"))
+    tail = F.substring(digits, e + 2, F.lit(1 << 20))
+    large = F.concat(sign, whole, F.lit("."), F.when(tail == "", "0").otherwise(tail))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    power = F.concat(F.when(e < 0, "-").otherwise("+"), F.lpad(F.abs(e).cast("string"),
+                     F.greatest(F.lit(2), F.length(F.abs(e).cast("string"))), F.lit("0")))
+    scientific = F.concat(sign, lead, F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.lit("e"), power)
+    return (F.when(~s.contains("E"), s).when((e >= 0) & (e < 16), large).when((e < 0) & (e >= -4), small)
+             .otherwise(scientific))
+
+
 def _t(pred: str, obj: Column, kind: str, datatype: str | None = None) -> Column:
     return F.struct(F.lit(pred).alias("p"), obj.cast("string").alias("o"),
                     F.lit(kind).alias("o_kind"), F.lit(datatype).cast("string").alias("datatype"))
@@ -113,7 +133,7 @@ def work_triples(work: DataFrame, profile: str = "default") -> DataFrame:
         (truthy(c("published")), _t(SCHEMA + "datePublished", c("published"), "literal", XSD_DATE)),
         (truthy(c("language")), _t(SCHEMA + "inLanguage", c("language"), "literal")),
         (cites_ok, _t(SCHEMA + "citationCount", c("citations").cast("long"), "literal", XSD_INTEGER)),
-        (fwci_ok, _t(SCHEMA + "metric", c("fwci").cast("double"), "literal", XSD_FLOAT)),
+        (fwci_ok, _t(SCHEMA + "metric", plain_double(c("fwci")), "literal", XSD_FLOAT)),
         (truthy(c("topic_id"), True), _t(SCHEMA + "about", iri(KIND_TOPIC, "topic_id"), "iri")),
     ])
 
@@ -138,7 +158,7 @@ def distinct_triples(*families: DataFrame) -> DataFrame:
 
 def ids_unique(df: DataFrame, key: str = "id") -> bool:
     """True when no key value repeats (a partial aggregate over the key column
-    only; stops at the first repeat)."""
+    only)."""
     return not repeated_keys({"t": df}, key)
 
 
@@ -204,6 +224,9 @@ def read_triples(spark, path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- matching
 
+_KIND = "__kind_"
+
+
 def _is_var(term) -> bool:
     return isinstance(term, str) and term.startswith("?")
 
@@ -218,26 +241,42 @@ def _pattern(triples: DataFrame, pat: tuple) -> DataFrame:
             name = term[1:]
             if name in cols:  # same variable twice in one pattern
                 df = df.where(F.col(cols[name]) == F.col(col))
+                if col == "o":
+                    df = df.where(F.col("o_kind") == "iri")
             else:
                 cols[name] = col
         else:
             df = df.where(F.col(col) == F.lit(term))
-    return df.select(*[F.col(c).alias(v) for v, c in cols.items()])
-
-
-def _join_all(parts: list[DataFrame], how: str = "inner", base: DataFrame | None = None) -> DataFrame:
-    out = base
-    for part in parts:
-        if out is None:
-            out = part
-            continue
-        shared = [c for c in part.columns if c in out.columns]
-        if not shared:
+    kind = {"s": F.lit("iri"), "p": F.lit("iri"),
+            "o": F.concat_ws("^", "o_kind", F.coalesce("datatype", F.lit("")))}
+    kind["o"] = F.when(F.col("o_kind") == "iri", F.lit("iri")).otherwise(kind["o"])
+    return df.select(*[F.col(c).alias(v) for v, c in cols.items()],
+                     *[kind[c].alias(_KIND + v) for v, c in cols.items()])
+
+
+def _join_all(parts: list[DataFrame]) -> DataFrame:
+    """Join patterns in any order: next is always one that shares a variable."""
+    out, left = parts[0], list(parts[1:])
+    while left:
+        part = next((p for p in left if _shared(out, p)), None)
+        if part is None:
             raise ValueError("patterns share no variable: refusing a cross product")
-        out = out.join(part, shared, how)
+        left = [p for p in left if p is not part]
+        out = _joined(out, part)
     return out
 
 
+def _shared(a: DataFrame, b: DataFrame) -> list[str]:
+    return [c for c in b.columns if c in a.columns and not c.startswith(_KIND)]
+
+
+def _joined(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
+    """Join on the shared variables; the kind of a term (IRI, or literal with its
+    datatype) must be equal too."""
+    keys = _shared(a, b)
+    return a.join(b, keys + [_KIND + k for k in keys], how)
+
+
 def match(triples: DataFrame, patterns: list[tuple], optional: list[list[tuple]] = (),
           filters: list[Column] = ()) -> DataFrame:
     """GR6: basic graph pattern + OPTIONAL groups + FILTERs as DataFrame joins.
@@ -251,13 +290,12 @@ def match(triples: DataFrame, patterns: list[tuple], optional: list[list[tuple]]
     out = _join_all([_pattern(triples, p) for p in patterns])
     for group in optional:
         g = _join_all([_pattern(triples, p) for p in group])
-        shared = [c for c in g.columns if c in out.columns]
-        if not shared:
+        if not _shared(out, g):
             raise ValueError("optional group shares no variable with the pattern")
-        out = out.join(g, shared, "left")
+        out = _joined(out, g, "left")
     for f in filters:
         out = out.where(f)
-    return out
+    return out.select(*[c for c in out.columns if not c.startswith(_KIND)])
 
 
 def bound(*names: str) -> Column:

@@ -9,11 +9,13 @@ checkpointed to the shared checkpoint folder to cut lineage.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from techmine.functions.text import strip_ws
-from techmine.operators.ids import SMALL_ROWS, dense_ids
+from techmine.operators.ids import dense_ids
 from techmine.operators.joins import broadcast_if_small
 
 # The three base topics, root first, in list order.
@@ -31,12 +33,8 @@ def ensure_base_topics(topic: DataFrame, base: list[str] = BASE_TOPICS) -> DataF
     wanted = spark.createDataFrame([(i, n) for i, n in enumerate(base)], "ord int, name string")
     present = topic.select(_trim_ws(F.col("name")).alias("name"))
     missing = wanted.join(present, "name", "left_anti")
-    top = topic.agg(F.max("id").alias("m"))
-    # top is one row; the join key is constant, so this is a broadcast lookup.
-    added = (missing.withColumn("__k", F.lit(1))
-             .join(F.broadcast(top.withColumn("__k", F.lit(1))), "__k")
-             .select((F.coalesce("m", F.lit(0))
-                      + F.row_number().over(_by_ord())).cast("long").alias("id"), "name"))
+    top = topic.agg(F.max("id")).first()[0] or 0  # one number
+    added = missing.select((F.lit(int(top)) + F.row_number().over(_by_ord())).cast("long").alias("id"), "name")
     return topic.select(F.col("id").cast("long"), "name").unionByName(added)
 
 
@@ -61,15 +59,12 @@ def build_hierarchy(topic: DataFrame, base: list[str] = BASE_TOPICS) -> DataFram
     base_edges = (chain.join(ids_b.withColumnRenamed("name", "pn").withColumnRenamed("tid", "parent_id"), "pn")
                        .join(ids_b.withColumnRenamed("name", "cn").withColumnRenamed("tid", "child_id"), "cn")
                        .select("parent_id", "child_id"))
-    leaf_parent = ids_b.where(F.col("name") == base[-1]).select(F.col("tid").alias("parent_id"),
-                                                                F.lit(1).alias("__k"))
-    others = (by_name.where(~F.col("name").isin(base))
-                     .select(F.col("tid").alias("child_id"), F.lit(1).alias("__k"))
-                     .join(leaf_parent, "__k").select("parent_id", "child_id"))
+    last = ids.where(F.col("name") == base[-1]).first()  # one row
+    others = (by_name.where(~F.col("name").isin(base) & F.lit(last is not None))
+                     .select(F.lit(last["tid"] if last else None).cast("long").alias("parent_id"),
+                             F.col("tid").alias("child_id")))
     edges = base_edges.unionByName(others).distinct()
-    # Edges are bounded by the number of topics; the size check proves it.
-    return (dense_ids(edges, ["parent_id", "child_id"], small_rows=SMALL_ROWS)
-            .select("id", "parent_id", "child_id"))
+    return dense_ids(edges, ["parent_id", "child_id"]).select("id", "parent_id", "child_id")
 
 
 def leaf_topics(topic: DataFrame, edge: DataFrame) -> DataFrame:
@@ -77,7 +72,7 @@ def leaf_topics(topic: DataFrame, edge: DataFrame) -> DataFrame:
     return topic.join(edge.select(F.col("parent_id").alias("id")), "id", "left_anti")
 
 
-def closure(edge: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def closure(edge: DataFrame) -> DataFrame:
     """HI3/HI4: (ancestor_id, descendant_id, depth, path) over parent->child
     edges; depth is the shortest distance, path the smallest id path (root
     side first) among shortest ones."""
@@ -90,7 +85,7 @@ def closure(edge: DataFrame, max_rounds: int = 10_000) -> DataFrame:
               .agg(F.min("depth").alias("depth"), F.min("path").alias("path"))
               .checkpoint(eager=True))
     frontier = found
-    for round_no in range(1, max_rounds + 1):
+    for round_no in itertools.count(1):
         step = (frontier.join(e, frontier["descendant_id"] == e["p"])
                         .select("ancestor_id", F.col("c").alias("descendant_id"),
                                 (F.col("depth") + 1).alias("depth"),
@@ -108,8 +103,6 @@ def closure(edge: DataFrame, max_rounds: int = 10_000) -> DataFrame:
         if round_no % 8 == 0:
             found = found.checkpoint(eager=True)
         frontier = new
-    else:
-        raise RuntimeError("closure did not converge")
     return found
 
 

@@ -27,22 +27,11 @@ def _as_cols(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-# Callers whose input is cheap to evaluate twice (small or checkpointed) may
-# pass ``small_rows``: if a bounded count proves the input has at most that
-# many rows it is numbered by a single-partition window, else distributed.
-SMALL_ROWS = 1_000_000
-
-
 def dense_ids(df: DataFrame, order_by: list, id_col: str = "id",
-              start: int = 1, partitions: int | None = None,
-              small_rows: int = 0) -> DataFrame:
+              start: int = 1, partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = start + 0-based rank of each row in ``order_by`` order."""
     spark = df.sparkSession
     order = _as_cols(order_by)
-    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
-        # Proven small: one task sorts at most ``small_rows`` rows.
-        return df.withColumn(id_col, (F.row_number().over(Window.orderBy(*order)) - 1 + F.lit(int(start)))
-                             .cast("long"))
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(n, *order)
@@ -63,6 +52,17 @@ def dense_ids(df: DataFrame, order_by: list, id_col: str = "id",
     return out
 
 
+def dense_ids_by_key(df: DataFrame, order: list[tuple[str, bool]], key: str, id_col: str = "id",
+                     start: int = 1) -> DataFrame:
+    """Like ``dense_ids`` for rows with a unique, non-null ``key``; ``order`` has
+    (column, ascending) pairs.  Only the key and the order columns are sorted and
+    checkpointed; the ids are joined back, so wide columns (texts) move once."""
+    names = list(dict.fromkeys([key, *[c for c, _ in order]]))
+    sort = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
+    ids = dense_ids(df.select(*names), sort, id_col=id_col, start=start).select(key, id_col)
+    return df.join(ids, key)
+
+
 def dense_ids_after(df: DataFrame, order_by: list, base: DataFrame,
                     id_col: str = "id", base_id_col: str = "id") -> DataFrame:
     """Dense ids continuing after ``max(base.id)`` (1 for an empty base)."""

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we hint as broadcast after counting it (rows).  The hinted
-# sides are narrow (ids and names, tens of bytes a row), so this keeps a
-# broadcast to tens of MB.  Above it the join stays a shuffle join and AQE
-# decides from measured stage sizes.
+# Largest side we hint as broadcast, in rows and in bytes of its values, both
+# measured.  Above either the join stays a shuffle join and AQE decides from
+# measured stage sizes.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 # Rows of one group handled by one task in a pairing join; larger groups are
 # split into ceil(n / PAIR_BUCKET_ROWS) buckets.
@@ -17,12 +17,15 @@ PAIR_BUCKET_ROWS = 512
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only if it has at most ``max_rows`` rows.
+    """Hint ``df`` for broadcast only if it has at most ``max_rows`` rows and
+    ``MAX_BROADCAST_BYTES`` bytes of values.
 
     The check reads at most ``max_rows + 1`` rows (the limit stops the scan).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = sum((F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + 8
+                 for f in df.schema.fields), F.lit(8))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and size <= MAX_BROADCAST_BYTES else df
 
 
 def pairs_within_groups(items: DataFrame, group: str, key: str,

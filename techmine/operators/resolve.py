@@ -8,13 +8,15 @@ Inputs (landed tables, no network):
 
 Every response is analysed once (native for PDFs, one Arrow HTML pass for
 pages) into an outcome: text found, a link to follow, or fall back.  Works
-then advance as a shrinking frontier: each round is one join of the frontier
-with the analysed responses; a work leaves the frontier when it has text, or
+then advance as a shrinking frontier: each round joins the frontier with the
+outcome of its URL (no texts); a work leaves the frontier when it has text, or
 when its next URL is missing or was already tried (a repeated URL ends the
 search, so once the open-access lookup has answered, the publisher probe is
-never reached).  Each round is checkpointed to the shared folder; the two
-lookups are tables bucketed on their join keys, so a hop shuffles only the
-frontier.
+never reached).  URLs are finite and no work tries one twice, so the rounds end
+by themselves.  Each round is checkpointed to the shared folder.  The texts are
+joined once, at the end, by final URL.  Both sides of every join are shuffled,
+so that adaptive execution can split a URL or doi that many works share; works
+without a doi do not meet in one task.
 
 Rules per URL:
   pdf  (content type contains application/pdf): page texts joined by blank
@@ -29,8 +31,6 @@ Rules per URL:
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,14 +61,18 @@ def analyse_responses(responses: DataFrame, soft_phrases=TX.SOFT_ERROR_PHRASES)
         "url",
         F.when(~soft & F.col("viewer_text").isNotNull(), F.col("viewer_text")).alias("found_text"),
         F.when(~soft & F.col("viewer_text").isNull(), first_pdf_link("links", "url")).alias("next_url"))
-    return pdf.unionByName(html).dropDuplicates(["url"])
+    # Of several responses for a URL one with text wins, then one with a link,
+    # then the smallest.
+    pick = F.min(F.struct(F.col("found_text").isNull().alias("a"), F.col("next_url").isNull().alias("b"),
+                          "found_text", "next_url")).alias("m")
+    return pdf.unionByName(html).groupBy("url").agg(pick).select("url", "m.found_text", "m.next_url")
 
 
 def fallback_urls(oa_location: DataFrame, head_probe: DataFrame, dois: DataFrame) -> DataFrame:
     """JN4 + SRC5 + SRC6: (doi, fallback_url) = open-access url, else probed publisher url."""
     d = dois.where(F.col("doi").isNotNull() & (F.col("doi") != "")).select("doi").distinct()
     oa = (oa_location.where(F.col("url_for_pdf").isNotNull() & (F.col("url_for_pdf") != ""))
-                     .groupBy("doi").agg(F.first("url_for_pdf").alias("oa_url")))
+                     .groupBy("doi").agg(F.min("url_for_pdf").alias("oa_url")))
     probe = (head_probe.where((F.col("status") == 200)
                               & F.lower(F.coalesce("content_type", F.lit(""))).contains("pdf"))
                        .select(F.col("url").alias("probe_url")).distinct())
@@ -79,64 +83,45 @@ def fallback_urls(oa_location: DataFrame, head_probe: DataFrame, dois: DataFrame
 
 
 def resolve_text(works: DataFrame, responses: DataFrame, oa_location: DataFrame,
-                 head_probe: DataFrame, max_hops: int = 50) -> DataFrame:
+                 head_probe: DataFrame) -> DataFrame:
     """(work_id, text, final_url, hops); text and final_url null when nothing usable."""
     spark = works.sparkSession
-    # The two lookups are written once as tables bucketed on their join key,
-    # so every hop shuffles only the (shrinking) frontier to meet them.
-    tables = [_bucketed(analyse_responses(responses), "url", "tm_analysed"),
-              _bucketed(fallback_urls(oa_location, head_probe, works), "doi", "tm_fallback")]
-    analysed, fb = (spark.table(t) for t in tables)
+    path = f"{shared_dir(spark, 'analysed')}/t"
+    analysed_rows = analyse_responses(responses)
+    analysed_rows.write.parquet(path)
+    analysed = spark.read.schema(analysed_rows.schema).parquet(path)
+    outcome = analysed.select("url", F.col("found_text").isNotNull().alias("found"), "next_url")
+    fb = fallback_urls(oa_location, head_probe, works).checkpoint(eager=True)
+    nothing = F.lit(None).cast("string")
     frontier = (works.where(F.col("url").isNotNull() & (F.col("url") != ""))
-                     .select("work_id", "doi", "url", F.array("url").alias("tried"),
-                             F.lit(1).alias("hops"))
-                     .checkpoint(eager=True))
-    done = []
-    no_url = works.where(F.col("url").isNull() | (F.col("url") == "")).select(
-        "work_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("final_url"),
-        F.lit(0).alias("hops"))
-    done.append(no_url)
-    for _ in range(max_hops):
-        step = (frontier.join(analysed, "url", "left")
-                        .join(fb, "doi", "left")
-                        .withColumn("follow", F.when(F.col("next_url").isNotNull()
-                                                     & ~F.array_contains("tried", F.col("next_url")),
-                                                     F.col("next_url")))
-                        .withColumn("nxt", F.coalesce("follow", "fallback_url"))
-                        .checkpoint(eager=True))
-        found = step.where(F.col("found_text").isNotNull()).select(
-            "work_id", F.col("found_text").alias("text"), F.col("url").alias("final_url"), "hops")
-        pending = step.where(F.col("found_text").isNull())
-        dead = pending.where(F.col("nxt").isNull() | F.array_contains("tried", F.col("nxt"))).select(
-            "work_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("final_url"),
-            "hops")
-        done += [found, dead]
-        # A filter over this hop's checkpoint: its lineage is already cut.
-        frontier = (pending.where(F.col("nxt").isNotNull() & ~F.array_contains("tried", F.col("nxt")))
-                           .select("work_id", "doi", F.col("nxt").alias("url"),
-                                   F.concat("tried", F.array("nxt")).alias("tried"),
-                                   (F.col("hops") + 1).alias("hops")))
+                     .select("work_id", "doi", "url", F.array("url").alias("tried"), F.lit(1).alias("hops")))
+    done = [works.where(F.col("url").isNull() | (F.col("url") == "")).select(
+        "work_id", nothing.alias("final_url"), F.lit(0).alias("hops"))]
+    while True:
+        # Works without a doi get a key of their own, so they don't meet in one task.
+        key = F.when(F.col("doi").isNotNull() & (F.col("doi") != ""), F.col("doi")).otherwise(
+            F.concat(F.lit("\0"), F.col("work_id").cast("string")))
+        step = (frontier.join(outcome, "url", "left").withColumn("__key", key)
+                        .join(fb.withColumnRenamed("doi", "__key"), "__key", "left").drop("__key"))
+        # Checkpointed per hop: the next hop reads this one's rows only.
+        step = (step.withColumn("follow", F.when(F.col("next_url").isNotNull()
+                                                 & ~F.array_contains("tried", F.col("next_url")), F.col("next_url")))
+                    .withColumn("nxt", F.coalesce("follow", "fallback_url"))
+                    .withColumn("open", ~F.coalesce("found", F.lit(False)) & F.col("nxt").isNotNull()
+                                & ~F.coalesce(F.array_contains("tried", F.col("nxt")), F.lit(False)))
+                    .checkpoint(eager=True))
+        done.append(step.where(~F.col("open")).select(
+            "work_id", F.when(F.col("found"), F.col("url")).alias("final_url"), "hops"))
+        frontier = step.where("open").select(
+            "work_id", "doi", F.col("nxt").alias("url"), F.concat("tried", F.array("nxt")).alias("tried"),
+            (F.col("hops") + 1).alias("hops"))
         if frontier.isEmpty():
             break
-    else:
-        done.append(frontier.select("work_id", F.lit(None).cast("string").alias("text"),
-                                    F.lit(None).cast("string").alias("final_url"), "hops"))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    # Every hop's rows are checkpointed, so the lookup tables can leave the
-    # catalog (their files stay in the shared folder).
-    for t in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
-    return out
-
-
-def _bucketed(df: DataFrame, key: str, prefix: str) -> str:
-    """Write ``df`` bucketed and sorted on ``key`` (bucket count = shuffle
-    partitions) under the shared folder; returns the table name."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
-    (df.write.bucketBy(n, key).sortBy(key)
-       .option("path", shared_dir(spark, name)).saveAsTable(name))
-    return name
+    texts = analysed.where(F.col("found_text").isNotNull()).select(F.col("url").alias("final_url"),
+                                                                   F.col("found_text").alias("text"))
+    some = out.where(F.col("final_url").isNotNull()).join(texts, "final_url")
+    none = out.where(F.col("final_url").isNull()).withColumn("text", nothing)
+    return some.unionByName(none).select("work_id", "text", "final_url", "hops")

@@ -12,7 +12,7 @@ from techmine.operators.inverted_index import inverted_index
 from techmine.plans.registry import query
 from techmine.session import shared_dir
 from techmine.sources import works_json as WJ
-from techmine.sources.csv_tables import CSV_OPTIONS
+from techmine.sources.csv_tables import read_csv, write_csv
 from techmine.sources.tables import table
 from techmine.streaming.incremental import run_registration_stream
 
@@ -65,7 +65,7 @@ w AS (SELECT *, CAST(row_number() OVER (ORDER BY citations DESC, rid) AS BIGINT)
 t AS (SELECT topic_name, CAST(row_number() OVER (ORDER BY min(id), topic_name) AS BIGINT) AS topic_id
       FROM w GROUP BY topic_name)
 SELECT id, pdf_url AS source_url, title, abstract, '' AS published, language, citations,
-       CAST(NULL AS DOUBLE) AS fwci, topic_id, doi
+       CAST(0 AS DOUBLE) AS fwci, topic_id, doi
 FROM w JOIN t USING (topic_name)
 """
 
@@ -80,19 +80,18 @@ def works_from_json(spark, base):
 
 
 @query("table_roundtrip", """
-SELECT conv_id, turn, role, text FROM conversations
+SELECT conv_id AS id, role AS name, text AS kind, CAST(turn AS VARCHAR) AS version FROM conversations
 """)
 def table_roundtrip(spark, base):
-    src = table(spark, base, "conversations").select("conv_id", "turn", "role", "text")
+    """Conversations as a technology table, written and read by the CSV sink and
+    source; texts with quotes, newlines and outer spaces come back whole."""
+    src = table(spark, base, "conversations").select(
+        F.col("conv_id").cast("string").alias("id"), F.col("role").alias("nombre"),
+        F.col("text").alias("tipo"), F.col("turn").cast("string").alias("version"))
     path = shared_dir(spark, "csv-roundtrip")
-    (src.write.mode("overwrite")
-        .options(header="true", escape='"', quote='"', ignoreLeadingWhiteSpace="false",
-                 ignoreTrailingWhiteSpace="false")
-        .csv(path))
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in ["conv_id", "turn", "role", "text"]])
-    back = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
-    return back.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role",
-                       F.coalesce("text", F.lit("")).alias("text"))
+    write_csv(src, path)
+    raw = read_csv(spark, path, "technology")
+    return raw.select(F.col("id").cast("long"), F.col("nombre").alias("name"), F.col("tipo").alias("kind"), "version")
 
 
 STREAM_SCHEMA = T.StructType([
@@ -109,20 +108,49 @@ f AS (SELECT name, d, w FROM s QUALIFY row_number() OVER (PARTITION BY name ORDE
 SELECT CAST(row_number() OVER (ORDER BY d, w, name) AS BIGINT) AS id, name FROM f
 """)
 def incremental_stream(spark, base):
-    """One landed file per order year, processed oldest first, one file per
-    micro-batch; the result is the technology dimension the stream built."""
-    li = table(spark, base, "lineitem").select(F.col("l_orderkey").alias("work_id"), "l_partkey")
+    """One drop per order year lands, oldest first, and the stream runs after
+    each; the result is the technology dimension it built.  The joined rows are
+    written once, partitioned by year; a drop reads its own partition."""
+    rows = _mentioned_names(spark, base).withColumn("drop", F.year("o_orderdate"))
+    dim_path, _links = _run_drops(spark, rows)
+    return spark.read.parquet(dim_path)
+
+
+def _mentioned_names(spark, base):
+    li = table(spark, base, "lineitem").select(F.col("l_orderkey").alias("work_id"), "l_partkey", "l_linenumber")
     o = table(spark, base, "orders").select(F.col("o_orderkey").alias("work_id"), "o_orderdate")
     p = table(spark, base, "part").select(F.col("p_partkey").alias("l_partkey"),
                                           F.concat_ws(" ", "p_brand", "p_name").alias("name"))
-    stream_rows = li.join(o, "work_id").join(p, "l_partkey").select("work_id", "o_orderdate", "name")
-    landing = shared_dir(spark, "landing")
-    years = [r[0] for r in stream_rows.select(F.year("o_orderdate").alias("y")).distinct().orderBy("y").collect()]
-    for y in years:  # one drop per year, like a daily/yearly export landing in order
-        (stream_rows.where(F.year("o_orderdate") == y).coalesce(1)
-                    .write.mode("append").parquet(landing))
-    dim_path = shared_dir(spark, "dimension")
-    links_path = shared_dir(spark, "links")
-    run_registration_stream(spark, landing, STREAM_SCHEMA, dim_path, links_path,
-                            shared_dir(spark, "stream-checkpoint"), ["o_orderdate", "work_id"])
-    return spark.read.parquet(dim_path)
+    return li.join(o, "work_id").join(p, "l_partkey").select("work_id", "o_orderdate", "name", "l_linenumber")
+
+
+def _run_drops(spark, rows):
+    """Land the rows of every ``drop`` value in order, running the stream after each."""
+    staging, landing = f"{shared_dir(spark, 'staging')}/t", shared_dir(spark, "landing")
+    rows.select("work_id", "o_orderdate", "name", "drop").write.partitionBy("drop").parquet(staging)
+    staged = spark.read.parquet(staging)
+    drops = [r[0] for r in staged.select("drop").distinct().orderBy("drop").collect()]  # a few
+    dim_path, links_path = shared_dir(spark, "dimension"), shared_dir(spark, "links")
+    done_path, checkpoint = shared_dir(spark, "done"), shared_dir(spark, "stream-checkpoint")
+    for d in drops:
+        staged.where(F.col("drop") == d).drop("drop").write.mode("append").parquet(landing)
+        run_registration_stream(spark, landing, STREAM_SCHEMA, dim_path, links_path, checkpoint,
+                                ["o_orderdate", "work_id"], files_per_batch=None, done_path=done_path)
+    return dim_path, links_path
+
+
+@query("incremental_links", """
+WITH s AS (SELECT DISTINCT l_orderkey AS w, o_orderdate AS d, p_brand || ' ' || p_name AS name, l_linenumber % 2 AS k
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+f AS (SELECT name, d, w, k FROM s QUALIFY row_number() OVER (PARTITION BY name ORDER BY k, d, w) = 1),
+dim AS (SELECT CAST(row_number() OVER (ORDER BY k, d, w, name) AS BIGINT) AS technology_id, name FROM f),
+p AS (SELECT w, name, min(k) AS k FROM s GROUP BY w, name)
+SELECT CAST(row_number() OVER (ORDER BY k, w, name) AS BIGINT) AS id, w AS work_id, technology_id
+FROM p JOIN dim USING (name)
+""")
+def incremental_links(spark, base):
+    """The links the stream wrote when the names of a work come in two drops
+    (lines with even numbers first)."""
+    rows = _mentioned_names(spark, base).withColumn("drop", F.col("l_linenumber") % 2)
+    _dim, links_path = _run_drops(spark, rows)
+    return spark.read.parquet(links_path)

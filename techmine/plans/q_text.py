@@ -230,7 +230,7 @@ FROM documents WHERE text IS NOT NULL AND length(text) > 0
 def detect_from_replies(spark, base):
     d = table(spark, base, "documents").select("doc_id", "text", "lang", "source")
     return DT.detect_from_replies(d.select(F.col("doc_id").alias("work_id"), "text"), _doc_replies(d),
-                                  phrases=GATE_PHRASES)
+                                  strict=False, phrases=GATE_PHRASES)
 
 
 @query("model_requests", f"""

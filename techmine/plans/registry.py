@@ -31,4 +31,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so its decorators run."""
-    from techmine.plans import q_graph, q_model, q_reports, q_sources, q_text  # noqa: F401
+    from techmine.plans import q_curation, q_graph, q_model, q_reports, q_sources, q_text  # noqa: F401

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from techmine.operators.graph import PREFIXES, TRIPLE_COLS
+from techmine.operators.joins import broadcast_if_small
 
 
 def escape_literal(c: Column) -> Column:
@@ -48,21 +49,31 @@ def _short(c: Column) -> Column:
     return out
 
 
-def turtle_blocks(triples: DataFrame) -> DataFrame:
+# Triples of one block; a subject with more is written as several blocks.
+BLOCK_TRIPLES = 1000
+
+
+def turtle_blocks(triples: DataFrame, block_triples: int = BLOCK_TRIPLES) -> DataFrame:
     """AG8 + SNK5: one Turtle block per subject, predicates sorted.
 
-    Columns: s, block.  A subject's triples are bounded (a work's fields and
-    its mentions), so collecting them per subject is safe.
+    Columns: s, block.  A subject with more than ``block_triples`` triples (a
+    topic that is the parent of most others) is dealt by object over several
+    blocks of about that size, which Turtle allows, so no list grows with the
+    graph.
     """
     t = triples.select(*TRIPLE_COLS)
+    hubs = (t.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_triples)
+             .select("s", F.ceil(F.col("n") / block_triples).cast("int").alias("parts")))
+    t = t.join(broadcast_if_small(hubs), "s", "left").withColumn(
+        "part", F.pmod(F.xxhash64("p", "o"), F.coalesce("parts", F.lit(1))))
     lit_obj = F.concat(F.lit('"'), escape_literal(F.col("o")), F.lit('"'),
                        F.when(F.col("datatype").isNotNull(),
                               F.concat(F.lit("^^"), _short(F.col("datatype")))).otherwise(F.lit("")))
     obj = F.when(F.col("o_kind") == "iri", _short(F.col("o"))).otherwise(lit_obj)
     pred = F.when(F.col("p") == PREFIXES["rdf"] + "type", F.lit("a")).otherwise(_short(F.col("p")))
-    per = t.select("s", F.struct(F.col("p").alias("k1"), F.col("o").alias("k2"),
+    per = t.select("s", "part", F.struct(F.col("p").alias("k1"), F.col("o").alias("k2"),
                                  F.concat(pred, F.lit(" "), obj).alias("po")).alias("x"))
-    return (per.groupBy("s")
+    return (per.groupBy("s", "part")
                .agg(F.sort_array(F.collect_list("x")).alias("xs"))
                .select("s", F.concat(_short(F.col("s")), F.lit(" "),
                                      F.array_join(F.transform("xs", lambda x: x["po"]), " ;\n    "),

@@ -4,11 +4,18 @@ checked insert-ignore load of the five tables (SNK4), plus resume (INC1)."""
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from techmine import schemas as SC
 from techmine.operators import constraints as C
+from techmine.sources.csv_tables import POSITION
+
+# The five stored tables, in the order they are loaded.
+MODEL_SCHEMAS = {"topic": SC.TOPIC, "edge": SC.TOPIC_EDGE, "work": SC.WORK, "technology": SC.TECHNOLOGY,
+                 "mention": SC.MENTION}
 
 
 def first_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
@@ -29,10 +36,12 @@ def insert_ignore(existing: DataFrame, incoming: DataFrame, key: str = "id",
     """SNK4 per table: INSERT ... ON CONFLICT (key) DO NOTHING.
 
     Returns the rows that the insert adds: the first incoming row per key,
-    minus keys already stored.  Rows with a null key are never inserted.
+    minus keys already stored.  "First" is by ``order_cols``: the position in the
+    input files where the reader carried it (``POSITION``), else all columns.  A
+    null key stays in the result, so that the key check (CON1) reports it.
     """
-    order_cols = order_cols or list(incoming.columns)
-    firsts = first_per_key(incoming.where(F.col(key).isNotNull()), key, order_cols)
+    order_cols = order_cols or ([POSITION] if POSITION in incoming.columns else list(incoming.columns))
+    firsts = first_per_key(incoming, key, order_cols).drop(POSITION)
     return firsts.join(existing.select(key), key, "left_anti")
 
 
@@ -95,20 +104,57 @@ def model_checks(topic: DataFrame, edge: DataFrame, work: DataFrame,
     }
 
 
+def checked_additions(stored: dict[str, DataFrame], incoming: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The rows that an insert-ignore of the five tables adds, written once to
+    the checkpoint folder; raises if stored and added rows together break a rule."""
+    # Materialised once, so the rows that are checked are the rows written.
+    added = {t: insert_ignore(stored[t], incoming[t]).checkpoint(eager=True) for t in MODEL_SCHEMAS}
+    after = {t: stored[t].unionByName(added[t]) for t in MODEL_SCHEMAS}
+    C.require_clean(model_checks(after["topic"], after["edge"], after["work"],
+                                 after["technology"], after["mention"]))
+    return added
+
+
 def load_tables(stored: dict[str, DataFrame], incoming: dict[str, DataFrame],
                 paths: dict[str, str]) -> dict[str, DataFrame]:
     """SNK4: insert-ignore all five tables as one unit.
 
     The would-be tables (stored + inserted rows) are checked first; if any
     rule fails nothing is written.  Then each table's new rows are appended,
-    topic -> edge -> work -> technology -> mention.
+    topic -> edge -> work -> technology -> mention.  ``load_committed`` does the
+    same with one commit for all five.
     """
-    order = ["topic", "edge", "work", "technology", "mention"]
-    # Materialised once, so the rows that are checked are the rows written.
-    added = {t: insert_ignore(stored[t], incoming[t]).checkpoint(eager=True) for t in order}
-    after = {t: stored[t].unionByName(added[t]) for t in order}
-    C.require_clean(model_checks(after["topic"], after["edge"], after["work"],
-                                 after["technology"], after["mention"]))
-    for t in order:
+    added = checked_additions(stored, incoming)
+    for t in MODEL_SCHEMAS:
         append(added[t], paths[t])
     return added
+
+
+# A load is a folder with a part of every table; it counts once this file exists.
+COMMITTED = "_COMMITTED"
+
+
+def _hadoop(spark, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def committed_tables(spark, root: str) -> dict[str, DataFrame]:
+    """The five tables over all committed loads below ``root``."""
+    pattern, fs = _hadoop(spark, f"{root}/load-*/{COMMITTED}")
+    loads = [str(s.getPath().getParent()) for s in fs.globStatus(pattern) or []]
+    return {t: spark.read.schema(s).parquet(*[f"{p}/{t}" for p in loads]) if loads else spark.createDataFrame([], s)
+            for t, s in MODEL_SCHEMAS.items()}
+
+
+def load_committed(spark, root: str, incoming: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """SNK4 in one commit: the added rows of all five tables are written to a new
+    load folder, then one file makes them count.  A load that stops half-way
+    leaves a folder that no reader sees."""
+    added = checked_additions(committed_tables(spark, root), incoming)
+    load = f"{root}/load-{uuid.uuid4().hex}"
+    for t, s in MODEL_SCHEMAS.items():
+        added[t].select(*s.fieldNames()).write.parquet(f"{load}/{t}")
+    mark, fs = _hadoop(spark, f"{load}/{COMMITTED}")
+    fs.create(mark, False).close()
+    return added

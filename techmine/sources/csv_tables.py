@@ -27,9 +27,15 @@ CSV_SCHEMAS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
+# Position of a row in the files read: (file name, place in it).  The loader
+# keeps the first row of a repeated key by it.
+POSITION = "__position"
+
+
+def read_csv(spark: SparkSession, path: str, kind: str, position: bool = False) -> DataFrame:
     """Raw string columns of one CSV table.  Columns missing from the file's
-    header (e.g. ``tipo`` in the technology file) come back null."""
+    header (e.g. ``tipo`` in the technology file) come back null.  A file is read
+    by one task (``multiLine``), so row numbers within a file ascend."""
     header = spark.read.options(**CSV_OPTIONS).csv(path).columns
     schema = CSV_SCHEMAS[kind]
     df = spark.read.options(**CSV_OPTIONS).schema(
@@ -38,7 +44,9 @@ def read_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
         if f.name not in df.columns:
             df = df.withColumn(f.name, F.lit(None).cast("string"))
     # CRLF files leave a carriage return on the last field of each line.
-    return df.select(*[F.regexp_replace(F.col(f.name), "\r$", "").alias(f.name) for f in schema.fields])
+    place = [F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")).alias(POSITION)]
+    return df.select(*[F.regexp_replace(F.col(f.name), "\r$", "").alias(f.name) for f in schema.fields],
+                     *place * position)
 
 
 def _subset(schema, names):
@@ -52,16 +60,22 @@ def _txt(c, na_values):
 
 
 def to_model(df: DataFrame, kind: str, na_values=("",)) -> DataFrame:
-    """Typed model table from raw CSV strings (the loader's casts and trims)."""
+    """Typed model table from raw CSV strings (the loader's casts and trims); the
+    position, if read, is kept."""
+    return _to_model(df, kind, na_values, [F.col(POSITION)] * (POSITION in df.columns))
+
+
+def _to_model(df: DataFrame, kind: str, na_values, place: list) -> DataFrame:
     if kind == "topic":
-        return df.select(F.col("id").try_cast("long").alias("id"), _txt("nombre_campo", na_values).alias("name"))
+        return df.select(F.col("id").try_cast("long").alias("id"), _txt("nombre_campo", na_values).alias("name"), *place)
     if kind == "topic_edge":
         return df.select(F.col("id").try_cast("long").alias("id"),
                          F.col("id_padre").try_cast("long").alias("parent_id"),
-                         F.col("id_hijo").try_cast("long").alias("child_id"))
+                         F.col("id_hijo").try_cast("long").alias("child_id"), *place)
     if kind == "technology":
         return df.select(F.col("id").try_cast("long").alias("id"), _txt("nombre", na_values).alias("name"),
-                         _txt("tipo", na_values).alias("kind"), _txt("version", na_values).alias("version"))
+                         _txt("tipo", na_values).alias("kind"), _txt("version", na_values).alias("version"),
+                         *place)
     if kind == "work":
         return df.select(
             F.col("id").try_cast("long").alias("id"),
@@ -73,11 +87,11 @@ def to_model(df: DataFrame, kind: str, na_values=("",)) -> DataFrame:
             _txt("idioma", na_values).alias("language"),
             int_or(F.col("num_citas"), 0).alias("citations"),
             float_or(F.col("fwci"), 0.0).alias("fwci"),
-            F.col("tematica_id").try_cast("long").alias("topic_id"))
+            F.col("tematica_id").try_cast("long").alias("topic_id"), *place)
     if kind == "mention":
         return df.select(F.col("id").try_cast("long").alias("id"),
                          F.col("obra_id").try_cast("long").alias("work_id"),
-                         F.col("tecnologia_id").try_cast("long").alias("technology_id"))
+                         F.col("tecnologia_id").try_cast("long").alias("technology_id"), *place)
     raise ValueError(kind)
 
 
@@ -103,8 +117,14 @@ def malformed_values(raw: DataFrame, kind: str) -> DataFrame:
     return out.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def read_model_table(spark: SparkSession, path: str, kind: str, na_values=("",)) -> DataFrame:
-    return to_model(read_csv(spark, path, kind), kind, na_values)
+def read_model_table(spark: SparkSession, path: str, kind: str, na_values=("",),
+                     position: bool = False) -> DataFrame:
+    """Typed table of CSV files; stops on values that do not parse (SC6)."""
+    raw = read_csv(spark, path, kind, position)
+    bad = malformed_values(raw, kind).limit(5).collect()  # a few, for the message
+    if bad:
+        raise ValueError(f"{kind}: values that do not parse: {[(r['column'], r['value']) for r in bad]}")
+    return to_model(raw, kind, na_values)
 
 
 def to_parquet(spark: SparkSession, csv_path: str, kind: str, out_path: str) -> None:
@@ -113,5 +133,6 @@ def to_parquet(spark: SparkSession, csv_path: str, kind: str, out_path: str) ->
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """SNK1 for CSV consumers: header plus RFC-4180 quoting."""
-    df.write.mode("overwrite").options(header="true", escape='"', quote='"').csv(path)
+    """SNK1 for CSV consumers: header plus RFC-4180 quoting; spaces stay."""
+    df.write.mode("overwrite").options(header="true", escape='"', quote='"', ignoreLeadingWhiteSpace="false",
+                                       ignoreTrailingWhiteSpace="false").csv(path)

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from techmine.functions.text import reconstruct_abstract
 from techmine.operators.dimensions import register_names
-from techmine.operators.ids import dense_ids
+from techmine.operators.ids import dense_ids, dense_ids_by_key
 from techmine.schemas import RESPONSE_PAGE
+from techmine.session import shared_dir
 
 # The extractor's selection (keyword ids, subfield, language)
 # and its defaults.
@@ -31,9 +32,12 @@ UNKNOWN_TOPIC = "Unknown Topic"
 PAGE_SIZE = 200
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per work record of every landed page."""
-    pages = spark.read.schema(RESPONSE_PAGE).json(path)
+def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """One row per work record of every landed page: one page per line, or, with
+    ``multi_line``, one (pretty-printed) page per file.  Text that is no page
+    fails the read instead of adding no rows."""
+    pages = (spark.read.schema(RESPONSE_PAGE).option("mode", "FAILFAST")
+                  .option("multiLine", str(multi_line).lower()).json(path))
     return pages.select(F.explode("results").alias("w")).select("w.*")
 
 
@@ -65,9 +69,10 @@ def project(records: DataFrame) -> DataFrame:
                            F.coalesce("publication_date", F.lit("")).alias("published"),
                            F.coalesce("language", F.lit(LANGUAGE)).alias("language"),
                            F.coalesce("cited_by_count", F.lit(0)).cast("long").alias("citations"),
-                           F.col("fwci").alias("fwci"),
+                           F.coalesce("fwci", F.lit(0.0)).alias("fwci"),
                            F.coalesce("primary_topic.display_name", F.lit(UNKNOWN_TOPIC)).alias("topic_name"),
-                           F.coalesce("doi", F.lit("")).alias("doi")))
+                           # A missing doi is null: blanks would count as repeated values.
+                           F.when(F.col("doi") != "", F.col("doi")).alias("doi")))
 
 
 def works_and_topics(records: DataFrame, existing_topics: DataFrame | None = None):
@@ -78,7 +83,12 @@ def works_and_topics(records: DataFrame, existing_topics: DataFrame | None = Non
     first work (in that order) naming the topic, after any stored topics.
     """
     cand = project(records)
-    ranked = dense_ids(cand, [F.desc("citations"), F.asc("source_id")]).checkpoint(eager=True)
+    # The rows are stored once, with a row number as key; only (key, citations,
+    # source id) are sorted for the ids, abstracts move in the join alone.
+    path = f"{shared_dir(records.sparkSession, 'candidate-works')}/t"
+    cand.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = records.sparkSession.read.parquet(path)
+    ranked = dense_ids_by_key(rows, [("citations", False), ("source_id", True), ("__row", True)], "__row")
     spark = records.sparkSession
     stored = existing_topics if existing_topics is not None else spark.createDataFrame([], "id long, name string")
     new_topics = register_names(stored, ranked.select(F.col("topic_name").alias("name"), "id"), "name", ["id"])

@@ -41,8 +41,16 @@ def test_large_dense_ids_avoid_single_partition(spark):
     for sec in sections:
         cols = sec.split("Input [", 1)[1].split("\n", 1)[0]
         assert "__tm_pid" in cols and "__tm_n" in cols and "k#" not in cols
-    small = plan(dense_ids(df, ["k"], small_rows=10_000))
-    assert "SinglePartition" in small   # only behind the bounded count
+
+
+def test_ids_by_key_sort_no_wide_column(spark):
+    from techmine.operators.ids import dense_ids_by_key
+    df = spark.range(100).select("id", (F.col("id") % 7).alias("k"), F.lit("long text").alias("abstract"))
+    df = df.withColumnRenamed("id", "row")
+    text = plan(dense_ids_by_key(df, [("k", False), ("row", True)], "row"))
+    assert "rangepartitioning" not in text  # sorted and checkpointed before, key columns only
+    assert [r["id"] for r in dense_ids_by_key(df, [("k", False), ("row", True)], "row").orderBy(
+        F.desc("k"), "row").collect()] == list(range(1, 101))
 
 
 def test_pairs_join_is_salted(spark):

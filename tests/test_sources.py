@@ -62,7 +62,7 @@ def test_json_pages_to_works(spark):
     got = rows(works, "id", "source_id" if "source_id" in works.columns else "title", "abstract",
                "citations", "topic_id", "doi", "published", "language")
     # ids by citations desc then record id: W2 (9), W1 (5), W6 (0)
-    assert got == [(1, "", "", 9, 1, "", "", "en"), (2, "one", "the cat the", 5, 2, "", "", "en"),
+    assert got == [(1, "", "", 9, 1, None, "", "en"), (2, "one", "the cat the", 5, 2, None, "", "en"),
                    (3, "", "", 0, 2, "10.1/z", "", "en")]
     assert rows(topics) == [(1, "A"), (2, "B")]
 
