@@ -63,9 +63,10 @@ class ConstraintError(ValueError):
     pass
 
 
-def require_clean(checks: dict[str, DataFrame]) -> None:
-    """Raise if any check has a violation (one scalar per check to the driver)."""
-    bad = [(r["check"], r["n"]) for r in count_violations(checks).collect() if r["n"]]
+def require_clean(report: DataFrame) -> None:
+    """Raise if any check of a report (check, n) has a violation; one row per
+    check comes to the driver."""
+    bad = [(r["check"], r["n"]) for r in report.collect() if r["n"]]
     if bad:
         raise ConstraintError(f"constraint violations: {bad}")
 
@@ -99,6 +100,13 @@ def delete_restrict(child: DataFrame, fk: str, deleted_keys: DataFrame, key: str
         raise ConstraintError(f"delete restricted: rows still reference {fk}")
 
 
+def restricting_rows(child: DataFrame, fk: str, parent: DataFrame, key: str = "id") -> DataFrame:
+    """ON DELETE RESTRICT as a report: (key, n_children) of every parent row."""
+    n = child.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("key")).agg(F.count(F.lit(1)).alias("n_children"))
+    return (parent.select(F.col(key).alias("key")).join(n, "key", "left")
+                  .select("key", F.coalesce("n_children", F.lit(0)).alias("n_children")))
+
+
 def delete_rows(parent: DataFrame, deleted_keys: DataFrame, key: str = "id") -> DataFrame:
     return parent.join(deleted_keys.select(key), key, "left_anti")
 

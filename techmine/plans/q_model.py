@@ -372,7 +372,52 @@ UNION ALL SELECT 'edge.child.fk', (SELECT count(*) FROM e WHERE child_id IS NOT
 def constraint_report(spark, base):
     """Every key, not-null, check and reference rule of the five tables,
     counted together (the report the checked load runs before writing)."""
-    return C.count_violations(T.model_checks(*_model_tables(spark, base)))
+    # The inputs (a hierarchy, a join) are built once; each rule reads them stored.
+    from techmine.session import shared_dir
+    root = shared_dir(spark, "model-to-check")
+    names = ("topic", "edge", "work", "technology", "mention")
+    columns = (["id", "name"], ["id", "parent_id", "child_id"], ["id", "doi", "source_url", "title", "topic_id"],
+               ["id", "name"], ["id", "work_id", "technology_id"])
+    stored = {}
+    for name, cols, df in zip(names, columns, _model_tables(spark, base), strict=True):
+        df.select(*cols).write.parquet(f"{root}/{name}")
+        stored[name] = spark.read.parquet(f"{root}/{name}")
+    return T.model_report(**stored)
+
+
+@query("null_violations_of_joined", """
+WITH j AS (SELECT o_orderkey AS id, c_name AS name, c_nationkey AS nation
+           FROM orders LEFT JOIN customer ON o_custkey = c_custkey + 7)
+SELECT 'name' AS "column", id AS key FROM j WHERE name IS NULL
+UNION ALL SELECT 'nation', id FROM j WHERE nation IS NULL
+""")
+def null_violations_of_joined(spark, base):
+    """CON3 on a join with misses, so that nulls occur."""
+    c = table(spark, base, "customer").select((F.col("c_custkey") + 7).alias("o_custkey"), F.col("c_name").alias("name"),
+                                              F.col("c_nationkey").alias("nation"))
+    j = table(spark, base, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey").join(c, "o_custkey", "left")
+    return C.null_violations(j, ["name", "nation"])
+
+
+@query("default_zero_of_joined", """
+SELECT o_orderkey AS id, coalesce(c_nationkey, 0) AS nation FROM orders LEFT JOIN customer ON o_custkey = c_custkey + 7
+""")
+def default_zero_of_joined(spark, base):
+    """CON6: a missing value takes the default 0."""
+    c = table(spark, base, "customer").select((F.col("c_custkey") + 7).alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    j = table(spark, base, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey").join(c, "o_custkey", "left")
+    return C.default_zero(j.select("id", "nation"), "nation")
+
+
+@query("restricted_deletes", """
+SELECT r_regionkey AS key, count(n_nationkey) AS n_children
+FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey
+""")
+def restricted_deletes(spark, base):
+    """CON7 RESTRICT as a report: how many rows keep each parent from being
+    deleted (0: it may go)."""
+    return C.restricting_rows(table(spark, base, "nation").select(F.col("n_nationkey").alias("id"), "n_regionkey"),
+                              "n_regionkey", table(spark, base, "region").select(F.col("r_regionkey").alias("id")))
 
 
 @query("checked_load", f"""
