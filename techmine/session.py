@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +49,24 @@ def build_session(master: str | None = None, app: str = "techmine",
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers (once per application), so that functions
+    running there can import it from any working folder."""
+    sc = spark.sparkContext
+    if getattr(sc, "_techmine_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="techmine-zip-"), "techmine.zip")  # the driver serves it
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("techmine", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    sc._techmine_shipped = True
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
