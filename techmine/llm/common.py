@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from techmine.session import ensure_checkpoint_dir
+from techmine.session import ensure_checkpoint_dir, ship_package
 
 # Broadcast bounds: a side is hinted only after both are proven by a count.
 BROADCAST_ROWS = 500_000
@@ -21,8 +21,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Shared folder set, Arrow batches small enough for whole texts."""
+    """Shared folder set, package on the workers, Arrow batches small enough for
+    whole texts."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 
