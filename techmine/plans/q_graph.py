@@ -233,3 +233,62 @@ def turtle_blocks_query(spark, base):
     g = G.graph(topic=S.topic(spark, base), edge=_edges(spark, base),
                 technology=S.technology(spark, base, "p_name"))
     return turtle_blocks(g)
+
+
+@query("patterns_in_any_order", """
+SELECT n_name AS name, count(*) AS n_mentions
+FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_orderkey <> 0 AND l_partkey <> 0)
+JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey
+WHERE n_nationkey <> 0 GROUP BY n_name
+""")
+def patterns_in_any_order(spark, base):
+    """GR6: three patterns of which the first two share no variable, over a graph
+    where a literal has the text of every topic's IRI; it must not join as one."""
+    g = G.graph(topic=S.topic(spark, base), work=S.work(spark, base), mention=S.mention(spark, base))
+    fake = S.topic(spark, base).select(G.iri("fake", "id").alias("s"), F.lit(S_ + "about").alias("p"),
+                                       G.iri(G.KIND_TOPIC, "id").alias("o"), F.lit("literal").alias("o_kind"),
+                                       F.lit(None).cast("string").alias("datatype"))
+    said = fake.select("s", F.lit(S_ + "mentions").alias("p"), F.lit(G.OPENALEX + "tecnologia_1").alias("o"),
+                       F.lit("iri").alias("o_kind"), "datatype")
+    path = shared_dir(spark, "graph-with-literals")
+    G.write_triples(g.unionByName(fake).unionByName(said), path)
+    got = G.match(G.read_triples(spark, path), [("?t", G.SKOS_PREF_LABEL, "?name"), ("?w", S_ + "mentions", "?tech"),
+                                                ("?w", S_ + "about", "?t")])
+    return got.groupBy("name").agg(F.count(F.lit(1)).alias("n_mentions"))
+
+
+@query("notebook_profile_counts", """
+WITH w AS (SELECT o_orderkey AS id, o_orderpriority AS title, o_orderstatus AS lang, o_orderdate AS d,
+                  floor(o_totalprice / 1000) AS cites, o_totalprice AS fwci, c_nationkey AS t
+           FROM orders LEFT JOIN customer ON o_custkey = c_custkey)
+SELECT p, n FROM (
+  SELECT 'type' AS p, count(*) AS n FROM w UNION ALL SELECT 'sameAs', count(*) FROM w UNION ALL SELECT 'url', count(*) FROM w
+  UNION ALL SELECT 'name', count(*) FROM w WHERE title <> '' UNION ALL SELECT 'inLanguage', count(*) FROM w WHERE lang <> ''
+  UNION ALL SELECT 'datePublished', count(*) FROM w WHERE d IS NOT NULL
+  UNION ALL SELECT 'citationCount', count(*) FROM w WHERE cites <> 0 UNION ALL SELECT 'metric', count(*) FROM w WHERE fwci <> 0
+  UNION ALL SELECT 'about', count(*) FROM w WHERE t <> 0) WHERE n > 0
+""")
+def notebook_profile_counts(spark, base):
+    """GR4, notebook profile: triples per predicate of the works."""
+    t = G.work_triples(S.work(spark, base), profile="notebook")
+    return t.groupBy(F.regexp_extract("p", r"([^/#]*)$", 1).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("turtle_triples_per_subject", """
+WITH w AS (SELECT o_orderkey AS id, o_orderpriority AS title, o_orderstatus AS lang, o_orderdate AS d, o_totalprice AS f,
+                  c_nationkey AS t FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
+m AS (SELECT l_orderkey AS id, count(DISTINCT l_partkey) AS n FROM lineitem WHERE l_orderkey <> 0 AND l_partkey <> 0 GROUP BY 1)
+SELECT 'openalex:obra_' || coalesce(w.id, m.id) AS subject,
+       (CASE WHEN w.id IS NULL THEN 0 ELSE 5 + (title <> '')::INT + (lang <> '')::INT + (d IS NOT NULL)::INT
+             + (coalesce(t, 0) <> 0)::INT - (f IS NULL)::INT END + coalesce(m.n, 0))::BIGINT AS n_triples
+FROM w FULL JOIN m ON w.id = m.id
+""")
+def turtle_triples_per_subject(spark, base):
+    """SNK5 over works and mentions: the triples that the Turtle blocks of each
+    subject state, counted in the written blocks."""
+    g = G.graph(work=S.work(spark, base), mention=S.mention(spark, base))
+    blocks = turtle_blocks(g, block_triples=4)  # most works take several blocks
+    lines = F.size(F.split("block", " ;\n"))
+    return blocks.groupBy(F.substring_index("block", " ", 1).alias("subject")).agg(
+        F.sum(lines).cast("long").alias("n_triples"))

@@ -317,3 +317,80 @@ def resolve_chain(spark, base):
                      pdf_url.alias("url_for_pdf"))
     probe = spark.createDataFrame([], "url string, status int, content_type string")
     return resolve_text(works, responses, oa, probe)
+
+
+# Responses whose markup is stated here, so that SQL can state every outcome:
+# the rule of a work is its document number modulo 8.
+RESOLVE_RULES_SQL = f"""
+WITH d AS (SELECT doc_id AS k, doc_id % 8 AS rule, 'http://site.example/' || doc_id AS u,
+                  nullif({_strip_sql('text')}, '') AS body FROM documents)
+SELECT k AS work_id,
+  CASE WHEN k % 40 = 39 THEN NULL WHEN rule = 0 THEN body WHEN rule = 1 THEN 'open ' || k WHEN rule = 3 THEN 'viewer ' || k
+       WHEN rule = 4 THEN 'linked ' || k WHEN rule = 6 THEN 'probed ' || k END AS text,
+  CASE WHEN k % 40 = 39 THEN NULL WHEN rule = 0 AND body IS NOT NULL THEN u WHEN rule = 1 THEN 'http://oa.example/' || k || '.pdf'
+       WHEN rule = 3 THEN u WHEN rule = 4 THEN 'http://site.example/files/' || k || '.pdf'
+       WHEN rule = 6 THEN 'https://dl.acm.org/doi/pdf/10.5555/' || k END AS final_url,
+  CASE WHEN k % 40 = 39 THEN 0 WHEN rule IN (1, 4, 6) THEN 2 ELSE 1 END AS hops
+FROM d
+"""
+
+
+@query("resolve_rules", RESOLVE_RULES_SQL)
+def resolve_rules(spark, base):
+    """RES1 with every rule reached: 0 PDF, 1 blank PDF and open-access copy,
+    2 soft 404 without doi, 3 viewer text, 4 relative .pdf link, 5 link to
+    itself, 6 soft 404 and probe 200, 7 soft 404 and probe 404; every fortieth
+    work has no URL."""
+    d = table(spark, base, "documents").select(F.col("doc_id").alias("k"), "text")
+    k, rule = F.col("k").cast("string"), F.col("k") % 8
+    site = F.concat(F.lit("http://site.example/"), k)
+    url = F.when(rule == 5, F.concat(site, F.lit(".pdf"))).otherwise(site)
+    doi = F.when(rule == 2, "").when(rule != 5, F.concat(F.lit("10.5555/"), k))
+    works = d.select(F.col("k").alias("work_id"), F.when(F.col("k") % 40 != 39, url).alias("url"), doi.alias("doi"))
+    none, no_pages = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+
+    def response(rows, address, kind, body=none, pages=no_pages):
+        return rows.select(address.alias("url"), F.lit(200).alias("status"), F.lit(kind).alias("content_type"),
+                           body.alias("body_text"), pages.alias("page_texts"))
+
+    def pdf_of(r, prefix, word, suffix=".pdf"):
+        return response(d.where(rule == r), F.concat(F.lit(prefix), k, F.lit(suffix)), "application/pdf",
+                        pages=F.array(F.concat(F.lit(word + " "), k)))
+
+    soft = F.lit("<html><body><h1>Error 404</h1><p>gone</p></body></html>")
+    body = (F.when(rule == 3, F.concat(F.lit('<div class="textLayer">viewer '), k, F.lit("</div><p>rest</p>")))
+             .when(rule == 4, F.concat(F.lit('<a href="x.html">a</a><a href="files/'), k, F.lit('.pdf">b</a>')))
+             .when(rule == 5, F.concat(F.lit('<a href="/'), k, F.lit('.pdf">c</a>'))).otherwise(soft))
+    parts = [response(d.where(rule == 0), url, "application/pdf", pages=F.array("text")),
+             response(d.where(rule == 1), url, "application/pdf", pages=F.array(F.lit(" "))),
+             response(d.where(rule >= 2), url, "text/html; charset=utf-8", body=body),
+             pdf_of(1, "http://oa.example/", "open"), pdf_of(4, "http://site.example/files/", "linked"),
+             pdf_of(6, "https://dl.acm.org/doi/pdf/10.5555/", "probed", "")]
+    responses = parts[0]
+    for p in parts[1:]:
+        responses = responses.unionByName(p)
+    oa = d.where(rule == 1).select(doi.alias("doi"), F.concat(F.lit("http://oa.example/"), k, F.lit(".pdf")).alias("url_for_pdf"))
+    probe = d.where(rule >= 6).select(F.concat(F.lit("https://dl.acm.org/doi/pdf/10.5555/"), k).alias("url"),
+                                      F.when(rule == 6, 200).otherwise(404).alias("status"),
+                                      F.lit("application/pdf").alias("content_type"))
+    return resolve_text(works, responses, oa, probe)
+
+
+@query("html_rules", """
+SELECT doc_id, source || ' ' || lang || ' a<5 in L M base' AS visible_text, 'in ' AS viewer_text,
+       ['/f/' || doc_id || '.pdf', 'x.html'] AS links, 'http://h.example/f/' || doc_id || '.pdf' AS first_pdf
+FROM documents
+""")
+def html_rules(spark, base):
+    """SC17-SC19 on pages whose markup is stated here: stray "<", comment,
+    script, void and nested viewer elements, ruby, links."""
+    from techmine.functions.html import first_pdf_link
+    d = table(spark, base, "documents").select("doc_id", "source", "lang")
+    k = F.col("doc_id").cast("string")
+    html = F.concat(F.lit("<html><head><title>"), F.col("source"), F.lit("</title><script>var a = '<p>';</script></head><body><p>"),
+                    F.col("lang"), F.lit(' a<5 </p><!-- none --><div id="textLayer"><div>in</div></div><img class="textLayer">'
+                                         '<a href="/f/'), k,
+                    F.lit('.pdf">L</a><a href="x.html">M</a><ruby>base<rp>(</rp><rt>up</rt><rp>)</rp></ruby></body></html>'))
+    pages = d.select("doc_id", F.lit("http://h.example/dir/page").alias("url"), html.alias("html"))
+    x = extract_html(pages, "html", ["doc_id", "url"])
+    return x.select("doc_id", "visible_text", "viewer_text", "links", first_pdf_link("links", "url").alias("first_pdf"))
