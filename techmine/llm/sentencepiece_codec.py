@@ -35,6 +35,7 @@ from techmine.llm.common import prepare
 MARK = "▁"
 CACHE_RUNS = 500_000
 THREADS = 2
+JOINED = 512  # new runs that one text of a batch holds
 
 # Piece types and model types of the format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -156,6 +157,11 @@ class Codec:
         self.by_runs = (m.dummy_prefix and m.escape_spaces and not m.collapse_spaces and not m.charsmap
                         and not m.suffix_spaces and not inner and USER_DEFINED not in m.types and MARK in m.pieces)
         self.starts = np.array([p.startswith(MARK) for p in m.pieces])
+        self.double = np.array([p.startswith(MARK * 2) for p in m.pieces])
+        if self.by_runs:  # cuts a joined text into its runs before any merge
+            from tokenizers import pre_tokenizers
+            self.cutting = build_tokenizer(m)
+            self.cutting.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
         self._reset()
 
     def _reset(self) -> None:
@@ -170,6 +176,50 @@ class Codec:
         alike = [a == b for a, b in zip(ids, self.reference.encode(texts, num_threads=THREADS), strict=True)]
         return [np.array(i, "<u4").tobytes() for i in ids], alike
 
+    def _learn(self, new: list[str]) -> None:
+        """Ids of new runs.  Words without space or marker are joined, many to a
+        text, for both libraries; their ids part again at the marked pieces."""
+        words = [r for r in new if r and " " not in r and MARK not in r]
+        rest = [r for r in new if " " in r or MARK in r]
+        groups = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        texts = [" ".join(g) for g in groups]
+        found = self.cutting.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        wanted = self.reference.encode(texts, num_threads=THREADS) if texts else []
+        for group, e, want in zip(groups, found, wanted, strict=True):
+            ids = np.array(e.ids, "<u4")
+            at = np.flatnonzero(self.starts[ids])
+            if len(at) != len(group) or e.ids != want:
+                rest += group  # run by run
+                continue
+            raw = ids.tobytes()
+            for run, i, j in zip(group, (4 * at).tolist(), [*(4 * at[1:]).tolist(), len(raw)], strict=True):
+                self.runs[run] = raw[i:j]
+        if rest:
+            for run, ids, alike in zip(rest, *self._encode(rest), strict=True):
+                self.runs[run] = ids
+                if not alike:
+                    self.unlike.add(run)
+
+    def _read(self, new: list[bytes]) -> None:
+        """Texts of new runs of ids, joined in the same way."""
+        firsts = np.frombuffer(b"".join(r[:4] for r in new), "<u4")
+        plain = self.starts[firsts] & ~self.double[firsts]
+        words = [r for r, p in zip(new, plain.tolist(), strict=True) if p]
+        rest = [r for r, p in zip(new, plain.tolist(), strict=True) if not p]
+        groups = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        texts = self.tokenizer.decode_batch([np.frombuffer(b"".join(g), "<u4").tolist() for g in groups])
+        for group, text in zip(groups, texts, strict=True):
+            parts = text.split(" ")
+            if len(parts) == len(group):
+                self.texts.update(zip(group, [" " + p for p in parts], strict=True))
+            else:
+                rest += group
+        # The decoder drops one leading space, which every run but the first keeps.
+        found = self.tokenizer.decode_batch([np.frombuffer(r, "<u4").tolist() for r in rest])
+        for run, text in zip(rest, found, strict=True):
+            first = int(np.frombuffer(run, "<u4", 1)[0])
+            self.texts[run] = (" " if self.starts[first] else "") + text
+
     @staticmethod
     def _split(text: str) -> list[str]:
         """Runs of spaces with the word behind, less the one space that the
@@ -188,10 +238,7 @@ class Codec:
         parts = [self._split(t) if t else [] for t in texts]
         new = list(set().union(*parts).difference(self.runs))
         if new:
-            for run, ids, alike in zip(new, *self._encode(new), strict=True):
-                self.runs[run] = ids
-                if not alike:
-                    self.unlike.add(run)
+            self._learn(new)
         get = self.runs.__getitem__
         alike = [not self.unlike or self.unlike.isdisjoint(p) for p in parts]
         return [b"".join(map(get, p)) for p in parts], alike
@@ -207,11 +254,7 @@ class Codec:
             cut.append([raw[i:j] for i, j in zip(at, at[1:], strict=False) if j > i])
         new = list(set().union(*cut).difference(self.texts))
         if new:
-            # The decoder drops one leading space, which every run but the first keeps.
-            found = self.tokenizer.decode_batch([np.frombuffer(r, "<u4").tolist() for r in new])
-            for run, text in zip(new, found, strict=True):
-                first = int(np.frombuffer(run, "<u4", 1)[0])
-                self.texts[run] = (" " if self.starts[first] else "") + text
+            self._read(new)
         get = self.texts.__getitem__
         return [("".join(map(get, c))).removeprefix(" ") for c in cut]
 
