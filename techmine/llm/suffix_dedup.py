@@ -297,14 +297,43 @@ def _compare_suffixes(splitters: Splitters, length: int):
     return run
 
 
-def _strings(doc: int, text: bytes, asked: list[dict], length: int) -> np.ndarray:
+# What a document's texts meet, packed so that it stays small beside them.
+ASKED = np.dtype([("low", "<u4"), ("high", "<u4"), ("off", "u1"), ("sides", "u1")])
+RANGE = np.dtype([("low", "<u4"), ("high", "<u4")])
+
+
+def _packed(kind: np.dtype, merge: bool):
+    """(doc, rows): a document's list of structs as bytes; ranges are merged."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            lists = b.column(1)
+            ends = lists.offsets.to_numpy()
+            flat = lists.flatten()
+            cols = {n: flat.field(n).to_numpy() for n in kind.names}
+            for i, j in zip(ends, ends[1:], strict=False):
+                if merge:
+                    s = _spans(np.zeros(j - i, np.int64), cols["low"][i - ends[0]:j - ends[0]],
+                               cols["high"][i - ends[0]:j - ends[0]])
+                    rows = np.empty(len(s), kind)
+                    rows["low"], rows["high"] = s["low"], s["high"]
+                else:
+                    rows = np.empty(j - i, kind)
+                    for n in kind.names:
+                        rows[n] = cols[n][i - ends[0]:j - ends[0]]
+                out.append(rows.tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["doc", "rows"])
+    return run
+
+
+def _strings(doc: int, text: bytes, asked: np.ndarray, length: int) -> np.ndarray:
     """The strings of a document that are to be compared one by one."""
     side = _side(length)
     starts = []
-    for a in asked:
-        at = np.arange(a["low"], a["high"] + 1)
-        before = a["low"] + a["off"] - at  # bytes of the string left of the anchor
-        starts.append(at[np.where(before >= side, bool(a["sides"] & 1), bool(a["sides"] & 2))])
+    for low, high, off, sides in asked.tolist():
+        at = np.arange(low, high + 1)
+        before = low + off - at  # bytes of the string left of the anchor
+        starts.append(at[np.where(before >= side, bool(sides & 1), bool(sides & 2))])
     at = np.unique(np.concatenate(starts))
     rows = np.empty(len(at), STRING)
     w = _words(text)
@@ -335,7 +364,7 @@ def _emit_strings(length: int, n: int):
         held, rows = [], 0
         for b in batches:
             for doc, text, asked in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                found = _strings(doc, text.as_buffer().to_pybytes(), asked, length)
+                found = _strings(doc, text.as_buffer().to_pybytes(), np.frombuffer(asked, ASKED), length)
                 held.append(found)
                 rows += len(found)
                 if rows >= CHUNK:
@@ -390,21 +419,13 @@ def _by_part(df: DataFrame, n: int) -> DataFrame:
     return df.repartitionById(n, F.col("part"))
 
 
-def _cut(length: int):
+def _cut():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[] for _ in range(5)]
             for text, copy, spans in zip(b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                if copy and len(raw) >= length:
-                    merged = [(0, len(raw))]
-                else:
-                    merged = []
-                    for s in sorted((x["low"], x["high"]) for x in spans or ()):
-                        if merged and s[0] <= merged[-1][1]:
-                            merged[-1] = (merged[-1][0], max(merged[-1][1], s[1]))
-                        else:
-                            merged.append(s)
+                merged = [(0, len(raw))] if copy else np.frombuffer(spans or b"", RANGE).tolist()
                 digest, at = hashlib.sha256(), 0
                 for low, high in merged:
                     digest.update(raw[at:low])
@@ -450,14 +471,16 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_i
     compared = stored(_by_part(routed, n).mapInArrow(_compare_suffixes(splitters, length), OUT), "suffixes")
     asked = compared.where("sides > 0").groupBy("doc").agg(
         F.collect_list(F.struct("low", "high", "off", "sides")).alias("asked"))
+    asked = asked.mapInArrow(_packed(ASKED, merge=False), "doc long, rows binary").withColumnRenamed("rows", "asked")
     asked = small_side(stored(asked, "suffix-asked"))
     strings = rows.join(asked, "doc").select("doc", "text", "asked").mapInArrow(_emit_strings(length, n), ROUTED)
     more = stored(_by_part(strings, n).mapInArrow(_compare_strings(length), OUT), "strings")
     spans = compared.where("sides = 0").unionByName(more).groupBy("doc").agg(
         F.collect_list(F.struct("low", "high")).alias("spans"))
+    spans = spans.mapInArrow(_packed(RANGE, merge=True), "doc long, rows binary").withColumnRenamed("rows", "spans")
     spans = small_side(stored(spans, "suffix-spans"))
     out = flagged.join(spans, "doc", "left").select("doc", "text", "copy", "spans").mapInArrow(
-        _cut(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+        _cut(), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
         "removed array<struct<low:long,high:long>>")
     if names is not None:
         out = out.join(names, "id").drop("id").withColumnRenamed("name", "id")
