@@ -10,8 +10,8 @@ copies costs one set of band rows.  Within a bucket no pairs are spelled out:
 its smallest class is compared with every other one on the full sets (a star),
 the links found are joined into components, and buckets that still hold more
 than one component get a further star.  What then remains are pairs across
-components, which the triangle inequality of the Jaccard distance to the star's
-centre and the set sizes thin out without loss; every pair left is verified.
+components; a prefix filter on their rarest shingles names the candidates without
+loss, and every candidate is verified.
 
 With 42 bands of 6 rows a pair at similarity 0.8 shares no bucket with
 probability 3e-6, at 0.85 with 3e-9; set equality never misses.
@@ -38,7 +38,7 @@ from techmine.llm.components import components
 
 UNIVERSE_BITS = 22
 BANDS, ROWS = 42, 6
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 SEED = 20240607
 WORD_CACHE = 300_000
 
@@ -153,29 +153,30 @@ class _Corpus:
     def __init__(self, rows: DataFrame, width: int, similarity: tuple[int, int]):
         self.rows, self.width, self.similarity = rows, width, similarity
 
+    def sets_of(self, ids: DataFrame) -> DataFrame:
+        """(id, shingles) of the documents with these distinct ``ids``."""
+        wanted = small_side(stored(ids, "wanted"))
+        return stored(self.rows.join(wanted, "id", "left_semi").mapInArrow(
+            _sets(self.width), "id long, shingles array<long>"), "sets")
+
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b, distinct) with ``distance`` (1 - Jaccard) and
-        ``linked``, both from the full sets."""
+        """``pairs`` (a, b, distinct) with ``linked``, from the full sets."""
         pairs = stored(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        wanted = small_side(stored(wanted, "wanted"))
-        sets = stored(self.rows.join(wanted, "id", "left_semi").mapInArrow(_sets(self.width),
-                                                                          "id long, shingles array<long>"), "sets")
+        sets = self.sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
         x = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         y = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         both = F.size(F.array_intersect("sa", "sb"))
         num, den = self.similarity
         out = (pairs.join(x, "b").join(y, "a").withColumn("both", both)
                     .withColumn("either", F.size("sa") + F.size("sb") - F.col("both"))
-                    .select("a", "b", (1 - F.col("both") / F.col("either")).alias("distance"),
-                            (F.lit(den) * F.col("both") >= F.lit(num) * F.col("either")).alias("linked")))
+                    .select("a", "b", (F.lit(den) * F.col("both") >= F.lit(num) * F.col("either")).alias("linked")))
         return stored(out, "verified")
 
 
-def links_of_classes(docs: DataFrame, classes: DataFrame, signed: DataFrame, width: int,
-                     similarity: tuple[int, int]) -> DataFrame:
-    """Verified links (a, b) between class representatives that span the
-    components of all links at or above the similarity."""
+def components_of_classes(docs: DataFrame, classes: DataFrame, signed: DataFrame, width: int,
+                          similarity: tuple[int, int]) -> DataFrame:
+    """(node, component) of the class representatives that have verified links;
+    the components are those of all links at or above the similarity."""
     num, den = similarity
     rep = signed.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     rows = stored(rep.select("id", "n", F.explode("bands").alias("key")), "bands")
@@ -186,67 +187,84 @@ def links_of_classes(docs: DataFrame, classes: DataFrame, signed: DataFrame, wid
     corpus = _Corpus(docs.join(classes.select(F.col("rep").alias("id")), "id", "left_semi"), width, similarity)
     low, high = F.least("n", "an"), F.greatest("n", "an")
     found = None
-    for k in range(STAR_ROUNDS):
+    for _ in range(STAR_ROUNDS):
         centre_size = members.where("id = a").select("key", F.col("n").alias("an"))
         pairs = (members.where("id <> a").join(centre_size, "key")
                         .where(F.lit(den) * low >= F.lit(num) * high)  # the sizes alone can rule a link out
                         .select("a", F.col("id").alias("b")).distinct())
         star = corpus.verified(pairs)
         links = star.where("linked").select("a", "b")
-        found = stored(links if found is None else found.union(links), "links")
-        labels = components(found)
-        members = _open_buckets(members, star, labels, last=k == STAR_ROUNDS - 1)
+        found = links if found is None else found.union(links)
+        labels = stored(components(found), "labels")
+        members = _open_buckets(members, labels)
         if members.isEmpty():
-            return found
-    return found.union(corpus.verified(_across(members, similarity)).where("linked").select("a", "b"))
+            return labels
+    more = corpus.verified(_across(corpus, members, similarity)).where("linked").select("a", "b")
+    if more.isEmpty():
+        return labels
+    # Stars of the components found so far stand for their links.
+    spanning = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return stored(components(spanning.union(more)), "labels")
 
 
-def _open_buckets(members: DataFrame, star: DataFrame, labels: DataFrame, last: bool) -> DataFrame:
+def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets with an unverified pair across components; the next
     centre is the smallest class outside the old centre's component."""
-    labels = stored(labels.select(F.col("node").alias("id"), "component"), "labels")
+    labels = labels.select(F.col("node").alias("id"), "component")
     tagged = (members.select("id", "n", "key", "a").join(labels, "id", "left")
                      .withColumn("component", F.coalesce("component", "id")))
-    known = star.select("a", F.col("b").alias("id"), "distance")
-    centre = tagged.where("id = a").select("key", F.col("component").alias("centre"), F.col("n").alias("an"))
-    # Where the sizes ruled a link out, they bound the distance from below.
-    apart = 1 - F.least("n", "an") / F.greatest("n", "an")
-    tagged = stored(tagged.join(known, ["a", "id"], "left").join(centre, "key")
-                          .withColumn("near", F.coalesce("distance", apart))
-                          .withColumn("far", F.coalesce("distance", F.lit(1.0))).drop("an", "distance"), "tagged")
+    centre = tagged.where("id = a").select("key", F.col("component").alias("centre"))
+    tagged = stored(tagged.join(centre, "key"), "tagged")
     state = tagged.where("id <> a").groupBy("key", "a").agg(
         F.count(F.lit(1)).alias("others"), F.min("component").alias("lo"), F.max("component").alias("hi"),
         F.min(F.when(F.col("component") != F.col("centre"), F.col("id"))).alias("next"))
-    state = state.where("others > 1 and lo < hi").select("key", F.coalesce("next", "lo").alias("next"))
-    # The old centre has been compared with all: it leaves the bucket, its
-    # distances stay with the members for the last step.
-    rest = tagged.where("id <> a").join(stored(state, "state"), "key")
-    centre_col = F.col("a") if last else F.col("next")
-    return stored(rest.select("id", "n", "key", centre_col.alias("a"), "component", "near", "far"), "members")
+    state = state.where("others > 1 and lo < hi").select("key", "next")
+    # The old centre has been compared with all: it leaves the bucket.
+    rest = tagged.where("id <> a").join(state, "key")
+    return stored(rest.select("id", "n", "key", F.col("next").alias("a"), "component"), "members")
+
 
+# Owners up to which a shingle alone makes candidates.
+FEW_OWNERS = 64
 
-# Rows of one bucket compared in one task; larger buckets are split.
-SPLIT_ROWS = 256
 
+def _across(corpus: _Corpus, members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Candidate pairs (a, b) across components among the classes that are left,
+    without loss (prefix filter): sets of that similarity share one of their
+    rarest shingles, of each set as many as may be missing from the other, plus
+    one.  Of a shingle only the classes outside its most frequent component are
+    paired with the others, so a large component is not paired with itself.
 
-def _across(members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """The remaining pairs of each bucket across components, thinned without
-    loss: |d(x, c) - d(y, c)| <= d(x, y) for the common centre c, whose
-    distances lie from ``near`` to ``far``."""
+    A shared shingle with few owners makes a pair a candidate.  One with many
+    owners ranks behind all those with few, so a pair that meets there shares
+    none of these unless it also meets at one: it need only be a candidate if
+    the shingles with many owners alone can reach the similarity.
+    """
     num, den = similarity
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / SPLIT_ROWS).cast("int").alias("parts"))
-    tagged = members.join(stored(sizes, "sizes"), "key")
-    x = tagged.select("key", "id", "n", "component", "near", "far",
-                      F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
-    y = tagged.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("component").alias("component2"),
-                      F.col("near").alias("near2"), F.col("far").alias("far2"),
-                      F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    reach = 1 - num / den + 1e-9
-    pairs = x.join(y, ["key", "part"]).where(
-        (F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2"))
-        & (F.col("near") - F.col("far2") <= reach) & (F.col("near2") - F.col("far") <= reach)
-        & (F.lit(den) * F.least("n", "n2") >= F.lit(num) * F.greatest("n", "n2")))
-    return pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+    left = stored(members.select("id", "n", "component").distinct(), "left")
+    sets = corpus.sets_of(left.select("id"))
+    rows = sets.select("id", F.explode("shingles").alias("s"))
+    owners = rows.groupBy("s").agg(F.count(F.lit(1)).alias("owners")).where("owners > 1")
+    # Per set, at most its own shingles; those without another owner rank first.
+    ranked = rows.join(owners, "s", "left").groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("owners", F.lit(1)).alias("owners"), "s"))).alias("ranked"))
+    missing = F.expr(f"n - (({num} * n + {den} - 1) div {den}) + 1").cast("int")
+    common = F.size(F.filter("ranked", lambda r: r["owners"] > FEW_OWNERS)).alias("common")
+    rare = (ranked.join(left, "id").select("id", "n", "component", common,
+                                           F.explode(F.slice("ranked", F.lit(1), missing)).alias("r"))
+                  .where("r.owners > 1").select("id", "n", "component", "common", "r.s", "r.owners"))
+    rare = stored(rare, "rare")
+    per = rare.groupBy("s", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = per.groupBy("s").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    x = rare.join(stored(main.select("s", "m.component"), "main").withColumnRenamed("component", "main"), "s").where(
+        "component <> main")
+    y = rare.select("s", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("component").alias("component2"),
+                    F.col("common").alias("common2"))
+    both = F.least("common", "common2")
+    enough = (F.col("owners") <= FEW_OWNERS) | (F.lit(den) * both >= F.lit(num) * (F.col("n") + F.col("n2") - both))
+    pairs = x.join(y, "s").where((F.col("component") != F.col("component2")) & enough
+                                 & (F.lit(den) * F.least("n", "n2") >= F.lit(num) * F.greatest("n", "n2")))
+    return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
 
 def near_classes(docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (80, 100),
@@ -258,9 +276,9 @@ def near_classes(docs: DataFrame, width: int = 5, similarity: tuple[int, int] =
     signed = stored(rows.mapInArrow(_sign(width, BANDS, ROWS), SIGNED), "signed")
     classes = stored(signed.where("n > 0 and id is not null").groupBy("k1", "k2")
                            .agg(F.min("id").alias("rep")), "classes")
-    links = links_of_classes(rows, classes, signed, width, similarity)
-    labels = components(links).select(F.col("node").alias("rep"), "component")
-    named = stored(classes.join(stored(labels, "labels"), "rep", "left")
+    labels = components_of_classes(rows, classes, signed, width, similarity).select(
+        F.col("node").alias("rep"), "component")
+    named = stored(classes.join(labels, "rep", "left")
                           .select("k1", "k2", F.coalesce("component", "rep").alias("component")), "named")
     out = (signed.select("id", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
                  .withColumn("component_id", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component"))

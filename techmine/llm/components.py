@@ -40,7 +40,7 @@ def components(links: DataFrame) -> DataFrame:
         if now == mark or not now[0]:
             break
         mark = now
-        edges = stored(_small_star(stored(_large_star(edges).distinct(), "edges")), "edges")
+        edges = stored(_small_star(_large_star(edges).distinct()), "edges")
     tops = edges.select(F.col("v").alias("node")).distinct()
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
                  .union(tops.select("node", F.col("node").alias("component"))))
