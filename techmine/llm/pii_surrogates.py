@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from techmine.llm.common import prepare, small_side, stored
 
-TYPES = ("email", "ip", "card", "ssn", "phone", "name")
+TYPES = ("email", "ip", "ssn", "phone", "run", "name")
 
 # Forms of address: gender -> words.
 ADDRESS = {"m": ("Mr", "Herr", "Herrn", "Señor", "Sr", "Monsieur", "Г-н", "Господин", "Κύριος"),
@@ -36,15 +36,32 @@ ADDRESS = {"m": ("Mr", "Herr", "Herrn", "Señor", "Sr", "Monsieur", "Г-н", "Г
 _ADDRESS = "|".join(sorted((w for ws in ADDRESS.values() for w in ws), key=lambda w: -len(w)))
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
+_NATIONAL = r"(?<![0-9+])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])"
+_DOTTED = r"(?<![0-9+])[0-9]{3}(?:\.[0-9]{3}[.\-]|-[0-9]{3}\.)[0-9]{4}(?![0-9])"
+_EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)*+(?<=\.\p{L}{2,24})"
+_IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
+_SSN = r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"
+_FOURS = r"[0-9]{4}(?:(?:[ \-][0-9]{4}){2}[ \-][0-9]{1,4}|[ \-][0-9]{6}[ \-][0-9]{4,5})(?![0-9])"
+# What ends a phone number (behind a space) or a run of digits that goes on there.  Behind a
+# hyphen, a number with hyphens alone can still be part of a card: that is decided inside the run.
+_NEXT = f"(?!{_EMAIL}|{_IP}|{_SSN}|{_NATIONAL}|{_FOURS})"
+_OTHER = f"(?!{_EMAIL}|{_IP}|{_SSN}|{_DOTTED}|(?<!-){_NATIONAL})"
+
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)*+(?<=\.\p{L}{2,24})",
-    "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9])(?:[0-9][ \-]?){12,18}[0-9](?![0-9])",
-    "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9](?:[ .\-]?[0-9]){5,12}"
-             r"|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-][0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![0-9])",
+    "email": _EMAIL,
+    "ip": _IP,
+    "ssn": _SSN,
+    "phone": r"(?<![0-9+])(?:\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}(?![0-9])"
+             r"|\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9](?:[ .\-]?[0-9]){5}"
+             rf"(?:(?:[ ]{_NEXT}|[.\-])?[0-9]){{0,7}}"
+             rf"|\([0-9]{{3}}\)[ .\-]?[0-9]{{3}}[ .\-][0-9]{{4}}|{_NATIONAL})(?![0-9])",
+    # Digits with single spaces or hyphens, as far as they go: cards are looked for inside.
+    "run": rf"(?<![0-9]){_OTHER}[0-9](?:[ \-]?{_OTHER}[0-9]){{12,}}+",
     "name": rf"(?<![\p{{L}}])(?:{_ADDRESS})\.?[ ]\p{{Lu}}\p{{Ll}}+(?:[ \-]\p{{Lu}}\p{{Ll}}+){{0,2}}",
 }
+# Groups of digits as cards are usually written.
+CARD_GROUPS = "^(?:1[3-9]|4-4-4-4(?:-3)?|4-4-4-1|4-4-5|4-6-[45]|4-5-6|4-3-3-3|6-13)$"
+CARD_DIGITS = (13, 19)
 ANY = "|".join(f"(?:{PATTERNS[t]})" for t in TYPES)
 
 # Alphabets by script: vowels and consonants, lower and upper case.
@@ -69,12 +86,74 @@ def _luhn_sum(digits: Column) -> Column:
 
 
 def _type(m: Column) -> Column:
-    """Type of a match; null for digit runs that are no card."""
-    digits = _digits(m)
+    """Type of a match; ``run`` for digits in which cards are looked for."""
     kind = F.when(m.contains("@"), "email").when(m.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"), "ip")
     kind = kind.when(m.rlike(f"^(?:{PATTERNS['ssn']})$"), "ssn").when(m.rlike(r"^\p{L}"), "name")
-    kind = kind.when(m.rlike(f"^(?:{PATTERNS['phone']})$") & (F.length(digits) < 13), "phone")
-    return kind.when((F.length(digits) >= 13) & (_luhn_sum(digits) % 10 == 0), "card")
+    return kind.when(m.rlike(f"^(?:{PATTERNS['phone']})$"), "phone").otherwise("run")
+
+
+def _let(c: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
+def _marked(run: Column) -> Column:
+    """A run of digits with ``<`` and ``>`` around its cards: groups next to each
+    other whose digits have a valid check digit.
+
+    From left to right the longest card is taken; groups as cards are usually
+    written come before others, which must not reach into them."""
+    low, high = CARD_DIGITS
+
+    def longest(groups, i, more):
+        """Number of groups from ``i`` on that are a card, 0 if none."""
+        def card(k):
+            some = F.slice(groups, i + 1, k)
+            return _let(F.array_join(some, ""), lambda d: F.length(d).between(low, high) & more(some, k) & (
+                _luhn_sum(d) % 10 == 0))
+        sizes = F.sequence(F.lit(1), F.least(F.lit(high), F.size(groups) - i))
+        return F.coalesce(F.array_max(F.filter(sizes, card)), F.lit(0))
+
+    def usual(some, k):
+        return F.array_join(F.transform(some, lambda g: F.length(g).cast("string")), "-").rlike(CARD_GROUPS)
+
+    def scan(units, groups, firsts):
+        def step(a, i):
+            first = F.get(firsts, i)
+            free = lambda some, k: ~F.exists(F.slice(firsts, i + 2, k - 1), lambda x: x > 0)
+            take = F.when(i < a["end"], 0).when(first > 0, first).otherwise(longest(groups, i, free))
+            return _let(take, lambda t: _let(F.when(t > 0, i + t).otherwise(a["end"]), lambda end: F.struct(
+                end.alias("end"),
+                F.concat(a["out"], F.translate(F.get(units, i), "0123456789", ""), F.when(t > 0, "<").otherwise(""),
+                         F.get(groups, i), F.when(end == i + 1, ">").otherwise("")).alias("out"))))
+        start = F.struct(F.lit(0).alias("end"), F.lit("").alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, lambda a: a["out"])
+
+    def with_groups(units, groups):
+        firsts = F.transform(groups, lambda g, i: longest(groups, i, usual))
+        return _let(firsts, lambda x: scan(units, groups, x))
+
+    units = F.regexp_extract_all(run, F.lit("[ -]?[0-9]+"), F.lit(0))
+    return _let(units, lambda u: _let(F.transform(u, lambda x: F.translate(x, " -", "")), lambda g: with_groups(u, g)))
+
+
+def _pieces(kind: Column, m: Column) -> Column:
+    """The typed pieces of a match, with the text before them and behind the
+    last: the match itself, or the cards and other numbers inside a run."""
+    inner = f"<[^>]*>|{PATTERNS['ssn']}|{PATTERNS['phone']}"
+
+    def piece(before, kind, value, after):
+        return F.struct(before.alias("before"), kind.alias("type"), value.alias("value"), after.alias("after"))
+
+    def of(marked):
+        hits, gaps = F.regexp_extract_all(marked, F.lit(inner), F.lit(0)), F.split(marked, inner, -1)
+        return _let(F.struct(hits.alias("hits"), gaps.alias("gaps")), lambda x: F.transform(x["hits"], lambda h, i: piece(
+            F.get(x["gaps"], i),
+            F.when(h.startswith("<"), "card").when(h.rlike(f"^(?:{PATTERNS['ssn']})$"), "ssn").otherwise("phone"),
+            F.translate(h, "<>", ""),
+            F.when(i == F.size(x["hits"]) - 1, F.get(x["gaps"], i + 1)).otherwise(""))))
+
+    return F.when(kind == "run", _let(_marked(m), of)).otherwise(F.array(piece(F.lit(""), kind, m, F.lit(""))))
 
 
 def _keyed(key: str, *parts: Column) -> Column:
@@ -216,26 +295,32 @@ def surrogated(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         *columns, F.array().cast("array<string>").alias("__llm_types"))
     rows = stored(found.where(F.size("__llm_m") > 0).withColumn("__llm_row", F.monotonically_increasing_id()), "pii-rows")
     mentions = rows.select("__llm_row", F.posexplode("__llm_m").alias("pos", "match"))
-    mentions = mentions.withColumn("type", _type(F.col("match")))
-    parts = mentions.where("type is not null").withColumn("parts", _entities_of(F.col("type"), F.col("match")))
-    parts = stored(parts.select("__llm_row", "pos", "match", "type", F.posexplode("parts").alias("part", "e"))
-                        .select("__llm_row", "pos", "match", "type", "part", "e.value", "e.norm", "e.gender"), "pii-parts")
+    mentions = mentions.select("__llm_row", "pos", F.posexplode(_pieces(_type(F.col("match")), F.col("match"))).alias("piece", "p"))
+    mentions = mentions.select("__llm_row", "pos", "piece", "p.before", "p.type", F.col("p.value").alias("match"), "p.after")
+    parts = mentions.withColumn("parts", _entities_of(F.col("type"), F.col("match")))
+    where = ("__llm_row", "pos", "piece", "before", "type", "match", "after")
+    parts = stored(parts.select(*where, F.posexplode("parts").alias("part", "e"))
+                        .select(*where, "part", "e.value", "e.norm", "e.gender"), "pii-parts")
     # A word seen with and without a gender is one entity.
     entities = parts.groupBy("type", "norm").agg(F.max("gender").alias("gender"))
     given = small_side(stored(surrogates(entities, key), "pii-surrogates"))
     done = parts.join(given, ["type", "norm"]).withColumn("new", _like(F.col("value"), F.col("surrogate")))
-    per_match = done.groupBy("__llm_row", "pos").agg(
-        F.first("type").alias("type"), F.first("match").alias("match"),
+    # One exchange for the three steps from parts to rows.
+    per_piece = done.repartition("__llm_row").groupBy("__llm_row", "pos", "piece").agg(
+        *[F.first(c).alias(c) for c in ("before", "type", "match", "after")],
         F.sort_array(F.collect_list(F.struct("part", "value", "new"))).alias("parts"))
     # A name's words are replaced behind its form of address.
     address = F.regexp_extract("match", rf"^(?:{_ADDRESS})\.?[ ]", 0)
     gaps = F.regexp_extract_all(F.regexp_replace("match", rf"^(?:{_ADDRESS})\.?[ ]", ""), F.lit("[ -]"), F.lit(0))
     named = F.concat(address, F.array_join(F.transform("parts", lambda p, i: F.concat(
         p["new"], F.coalesce(F.get(gaps, i), F.lit("")))), ""))
-    per_match = per_match.withColumn("new", F.when(F.col("type") == "name", named).otherwise(F.get("parts", F.lit(0))["new"]))
+    new = F.when(F.col("type") == "name", named).otherwise(F.get("parts", F.lit(0))["new"])
+    per_piece = per_piece.withColumn("new", F.concat("before", new, "after"))
+    per_match = per_piece.groupBy("__llm_row", "pos").agg(F.sort_array(F.collect_list(F.struct("piece", "type", "new"))).alias("p"))
     per_row = per_match.groupBy("__llm_row").agg(
-        F.map_from_entries(F.collect_list(F.struct("pos", "new"))).alias("__llm_new"),
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "type"))), lambda x: x["type"]).alias("__llm_types"))
+        F.map_from_entries(F.collect_list(F.struct("pos", F.array_join("p.new", "").alias("new")))).alias("__llm_new"),
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.col("p.type").alias("types")))),
+                              lambda x: x["types"])).alias("__llm_types"))
     joined = rows.join(per_row, "__llm_row", "left")
     between = F.split(F.col(text), ANY, -1)
     rebuilt = F.array_join(F.transform(between, lambda part, i: F.concat(part, F.coalesce(

@@ -82,3 +82,26 @@ def test_no_entity_survives_in_documents(spark):
 
 def test_empty(spark, empty):
     assert ps.surrogated(empty, KEY).count() == 0
+
+
+def test_numbers_beside_each_other(spark, documents):
+    lines = [("call 555-123-4567 555-987-6543", "phone phone"), ("tel 555-123-4567 100 Main", "phone"),
+             ("100 555-123-4567 x", "phone"), ("card 4111 1111 1111 1111 123", "card"),
+             ("12 4111 1111 1111 1111", "card"), ("4111 1111 1111 1111-555-123-4567", "card phone"),
+             ("123-45-6789 987-65-4321", "ssn ssn"), ("+86 138 0013 8000 and +55 11 91234 5678", "phone phone"),
+             ("+1 555 123 4567 555-987-6543", "phone phone"), ("+49 30 123456 4111 1111 1111 1111", "phone card"),
+             ("1234500000000 192.168.3.4", "ip"), ("1234500000000 42a@b.example.com", "email"),
+             ("4111 1111 1111 1111 555.123.4567 4111111111111111", "card phone card"),
+             ("4465758382889438 4465 7583 8288 9438", "")]
+    out = ps.surrogated(documents(spark, [(k, t, "s") for k, (t, _) in enumerate(lines)]), KEY)
+    rows = {r["doc_id"]: r for r in out.collect()}
+    cards = set()
+    for k, (old, types) in enumerate(lines):
+        new = rows[k]["text"]
+        assert rows[k]["__llm_types"] == types.split(), old
+        assert re.sub(r"\w", "", new) == re.sub(r"\w", "", old) and (len(new) == len(old) or types == "ip")
+        for real in ("4567", "987-6543", "1111 1111", "6789", "65-4321", "0013", "91234", "168.3.4", "42a@"):
+            assert real not in new, (old, new)
+        cards.update(re.sub(r"\D", "", c) for c in re.findall(r"4\d{3} \d{4} \d{4} \d{4}|4\d{15}", new) if "446" not in old)
+    assert rows[1]["text"].endswith(" 100 Main") and rows[3]["text"].endswith(" 123")
+    assert len(cards) == 1 and luhn(cards.pop())
