@@ -10,7 +10,9 @@ top level, a phone number its country code, a name the gender that the form of
 address tells (in its last letter).
 
 Entities are compared in a normal form (letters lower-case, separators of
-numbers dropped), so mentions in several formats, and full and short names,
+numbers dropped; the country code of a phone number is known from its digits,
+numbers written in the national form 3-3-4 have code 1, a trunk zero in
+parentheses does not count), so mentions in several formats, and full and short names,
 keep pointing to the same person.  Candidates that equal an entity of the corpus
 or another surrogate are drawn again with the next attempt, until all are
 distinct.
@@ -62,6 +64,8 @@ PATTERNS = {
 # Groups of digits as cards are usually written.
 CARD_GROUPS = "^(?:1[3-9]|4-4-4-4(?:-3)?|4-4-4-1|4-4-5|4-6-[45]|4-5-6|4-3-3-3|6-13)$"
 CARD_DIGITS = (13, 19)
+# Country codes; none starts another.
+COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 ANY = "|".join(f"(?:{PATTERNS[t]})" for t in TYPES)
 
 # Alphabets by script: vowels and consonants, lower and upper case.
@@ -253,9 +257,10 @@ def _entities_of(kind: Column, m: Column) -> Column:
     # The last word is the family name unless it is the only one; it has no gender.
     named = F.transform(words, lambda w, i: F.struct(
         w.alias("value"), F.lower(w).alias("norm"), F.when(i < n - 1, gender).otherwise("").alias("gender")))
-    code = F.regexp_extract(m, r"^\+([0-9]{1,3})(?![0-9])", 1)
     digits = _digits(m)
-    phone = F.concat(code, F.lit(":"), F.substring(digits, F.length(code) + 1, F.length(digits)))
+    dialled = F.when(m.startswith("+"), _digits(F.replace(m, F.lit("(0)"), F.lit("")))).otherwise(F.concat(F.lit("1"), digits))
+    code = F.regexp_extract(dialled, COUNTRY, 0)
+    phone = F.concat(code, F.lit(":"), F.substring(dialled, F.length(code) + 1, F.length(dialled)))
     norm = F.when(kind.isin("card", "ssn"), digits).when(kind == "phone", phone).otherwise(F.lower(m))
     whole = F.array(F.struct(m.alias("value"), norm.alias("norm"), F.lit("").alias("gender")))
     return F.when(kind == "name", named).otherwise(whole)
@@ -264,13 +269,16 @@ def _entities_of(kind: Column, m: Column) -> Column:
 def _like(value: Column, surrogate: Column) -> Column:
     """``surrogate`` (normal form) written as ``value`` is: its separators, its
     case (all capitals, or capitals in their places)."""
-    digits = F.split(_digits(surrogate), "")
+    # A number without its country code, and a trunk zero, are written so again.
+    digits = F.split(_digits(F.when(value.startswith("+"), surrogate).otherwise(F.substring_index(surrogate, ":", -1))), "")
+    trunk = F.when(value.startswith("+"), F.replace(value, F.lit("(0)"), F.lit("(o)"))).otherwise(value)
     spread = F.array_join(F.aggregate(
-        F.split(value, ""), F.struct(F.lit(0).alias("i"), F.array().cast("array<string>").alias("out")),
+        F.split(trunk, ""), F.struct(F.lit(0).alias("i"), F.array().cast("array<string>").alias("out")),
         lambda a, ch: F.struct(
             (a["i"] + ch.rlike("^[0-9]$").cast("int")).alias("i"),
             F.concat(a["out"], F.array(F.when(ch.rlike("^[0-9]$"), F.get(digits, a["i"])).otherwise(ch))).alias("out")),
         lambda a: a["out"]), "")
+    spread = F.replace(spread, F.lit("(o)"), F.lit("(0)"))
     letters = F.split(value, "")
     cased = F.array_join(F.transform(F.split(surrogate, ""), lambda ch, i: F.when(
         F.coalesce(F.get(letters, i).rlike(r"^\p{Lu}$"), F.lit(False)), F.upper(ch)).otherwise(ch)), "")

@@ -105,3 +105,17 @@ def test_numbers_beside_each_other(spark, documents):
         cards.update(re.sub(r"\D", "", c) for c in re.findall(r"4\d{3} \d{4} \d{4} \d{4}|4\d{15}", new) if "446" not in old)
     assert rows[1]["text"].endswith(" 100 Main") and rows[3]["text"].endswith(" 123")
     assert len(cards) == 1 and luhn(cards.pop())
+
+
+def test_one_phone_number_in_several_formats(spark, documents):
+    forms = ["+15551234567", "+1 555 123 4567", "+1 (555) 123-4567", "+1-555-123-4567", "(555) 123-4567", "555-123-4567", "555.123.4567"]
+    other = ["+442079460958", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+44 (20) 7946-0958", "+351 912 345 678", "+351912345678"]
+    rows = [(k, f"call {t} now", "s") for k, t in enumerate([*forms, *other])]
+    new = {r["doc_id"]: r["text"][5:-4] for r in ps.surrogated(documents(spark, rows), KEY).collect()}
+    for k, t in enumerate([*forms, *other]):
+        assert re.sub(r"\d", "", new[k]) == re.sub(r"\d", "", t) and new[k] != t
+    digits = [re.sub(r"\D", "", new[k].replace("(0)", "")) for k in range(len(rows))]
+    assert len({d[-10:] for d in digits[:7]}) == 1 and all(d.startswith("1") for d in digits[:4])
+    assert [len(d) for d in digits[:7]] == [11, 11, 11, 11, 10, 10, 10]
+    assert len(set(digits[7:11])) == 1 and digits[7].startswith("44") and "(0)" in new[9]
+    assert digits[11] == digits[12] and digits[11].startswith("351")
