@@ -46,6 +46,15 @@ def _letters(word: str) -> bool:
     return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
 
 
+def _runs(text: str) -> list[bytes]:
+    """Runs between ASCII white space (where bytes.split cuts).  ASCII runs are
+    lower-cased; others stay, as NFC composes some letters in one case only."""
+    raw = text.encode("utf-8", "replace")
+    if raw.isascii():
+        return raw.lower().split()
+    return [w.lower() if w.isascii() else w for w in raw.split()]
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
@@ -111,8 +120,7 @@ class Encoder:
             runs.clear()
         # Special tokens are matched with their case and across white space.
         plain = [k for k, t in enumerate(texts) if self.special is not None and self.special.search(t)]
-        # bytes.lower changes A-Z only, bytes.split cuts at ASCII white space only.
-        words = [t.encode("utf-8", "replace").lower().split() for t in texts]
+        words = [_runs(t) for t in texts]
         new = set().union(*words).difference(runs) if words else set()
         if any(b"<|" in w for w in new):  # lower-casing must not make a special token
             risky = [k for k, ws in enumerate(words) if any(b"<|" in w for w in ws)]

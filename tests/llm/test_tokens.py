@@ -34,6 +34,13 @@ def test_encoder_equals_the_library(spark, path):
     assert (tokens.encoder(path).runs is not None) == (path == WORD)
 
 
+def test_capitals_that_compose_in_lower_case_only():
+    texts = ["J\u030cx", "H\u0331amza T\u0308a, W\u030a Y\u030a. j\u030cx h\u0331amza", "ABC J\u030cX abc", "É É <|Endoftext|>"]
+    want = [ids_of(WORD, t) + [1] for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(i, "<u4").tolist() for i in tokens.encode(WORD, texts)] == want
+
+
 # ---------------------------------------------------------------- token store
 
 
