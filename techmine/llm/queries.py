@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from techmine.llm import (circulant_minhash, host_rules, html_wrappers, pii_surrogates, quotient_dedup,
-                          residual_packing, secret_scan, sentencepiece_codec, suffix_dedup, token_store)
+from techmine.llm import (circulant_minhash, fill_middle, host_rules, html_wrappers,
+                          pii_surrogates, quotient_dedup, residual_packing, secret_scan, sentencepiece_codec, suffix_dedup, token_store)
 from techmine.llm.common import prepare, stored
 from techmine.sources.tables import table
 
@@ -196,3 +196,26 @@ def op2_pii_surrogates(spark, sf_dir):
 def op4_suffix_dedup(spark, sf_dir):
     out = suffix_dedup.repeated_strings(_documents(spark, sf_dir, "doc_id", "text"), length=100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op13_fill_middle", """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1,
+         ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3,
+         ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+f AS (
+  SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+                 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM u),
+p AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+""")
+def op13_fill_middle(spark, sf_dir):
+    out = fill_middle.transformed(_documents(spark, sf_dir, "doc_id", "text"), with_output=False)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
