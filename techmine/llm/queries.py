@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from techmine.llm import (circulant_minhash, fill_middle, host_rules, html_wrappers,
-                          pii_surrogates, quotient_dedup, residual_packing, secret_scan, sentencepiece_codec, suffix_dedup, token_store)
+                          mixing, pii_surrogates, quotient_dedup, residual_packing, secret_scan, sentencepiece_codec, suffix_dedup, token_store)
 from techmine.llm.common import prepare, stored
 from techmine.sources.tables import table
 
@@ -219,3 +219,9 @@ FROM p
 def op13_fill_middle(spark, sf_dir):
     out = fill_middle.transformed(_documents(spark, sf_dir, "doc_id", "text"), with_output=False)
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+@query("op12_source_mix")
+def op12_source_mix(spark, sf_dir):
+    plan = mixing.planned(_documents(spark, sf_dir, "doc_id", "text", "source"))
+    return plan.select("doc_id", "size", "source_size", "target", mixing.taken().alias("taken"))
