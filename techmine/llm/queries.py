@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from techmine.llm import (circulant_minhash, fill_middle, host_rules, html_wrappers,
-                          mixing, pii_surrogates, quotient_dedup, residual_packing, secret_scan, sentencepiece_codec, suffix_dedup, token_store)
+                          mixing, pii_surrogates, quotient_dedup, residual_packing, secret_scan, sentencepiece_codec, suffix_dedup, token_store,
+                          whitening)
 from techmine.llm.common import prepare, stored
 from techmine.sources.tables import table
 
@@ -225,3 +226,9 @@ def op13_fill_middle(spark, sf_dir):
 def op12_source_mix(spark, sf_dir):
     plan = mixing.planned(_documents(spark, sf_dir, "doc_id", "text", "source"))
     return plan.select("doc_id", "size", "source_size", "target", mixing.taken().alias("taken"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    vectors = table(prepare(spark), sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whitened(vectors)
