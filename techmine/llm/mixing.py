@@ -18,8 +18,7 @@ All randomness is hashed from the seed: reruns agree.
 Bounds: the driver holds two sums at a time; a row of the tree holds one number per
 shard (``shards`` is a parameter), a level of the tree at most one row per source.
 A document's draws are computed in its own row, so a hot source is never gathered:
-its prefix sums are taken per bucket of documents, and buckets are counted from the
-table's rows.
+its prefix sums are taken per bucket of documents, then over buckets.
 
 Defined results: a null text has no words and is never taken; sources without words
 have the target 0.  A null source is one source, last in order.  Rows that repeat
@@ -43,9 +42,11 @@ BLOCK = 4096         # words of a block
 SHARDS = 64
 SEED = 20240611
 
-# Rounds of the block permutation; documents of a bucket of the prefix sums.
+# Rounds of the block permutation.
 ROUNDS = 48
-BUCKET_ROWS = 20_000
+# About as many documents make a bucket of the prefix sums, and buckets a shelf.
+BUCKET_ROWS = 1000
+SHELF = 1000
 # Half-width, in standard deviations, of the range a variate is drawn from; what
 # lies beyond weighs less than a double can hold beside the rest.
 SPREAD = 12
@@ -225,26 +226,35 @@ def splitting_tree(sources: DataFrame, shards: int, seed: int) -> DataFrame:
     return stored(at.select(F.col("node").alias("rank"), "per_shard"), "mix-leaves")
 
 
-def _starts(rows: DataFrame) -> DataFrame:
+def _starts(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """``rows`` (id, source, size) with the source's words before each row, in an
-    order hashed from the id.
+    order hashed from the id; ``counts`` (source, rows) is a stored table.
 
-    Buckets of documents are summed by themselves; offsets come from the bucket
-    sums, one row per bucket and source.
+    Every source has buckets in proportion to its documents; they are summed by
+    themselves, then the buckets of a shelf, then the shelves of a source.
     """
-    n = rows.count()
-    buckets = max(1, -(-n // BUCKET_ROWS))
-    keyed = rows.withColumn("hash", F.xxhash64(F.lit(SEED), "id")).withColumn(
-        "bucket", F.pmod(F.xxhash64(F.lit(SEED + 1), "id"), F.lit(buckets)))
-    sums = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = stored(sums.select("source", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset")),
-                  "mix-bucket-offsets").select(F.col("source").alias("s2"), F.col("bucket").alias("b2"), "offset")
+    sides = small_side(counts.select(F.col("source").alias("s0"), F.expr(f"rows div {BUCKET_ROWS} + 1").alias("buckets")))
+    keyed = (rows.join(sides, F.col("source").eqNullSafe(F.col("s0")))
+                 .withColumn("hash", F.xxhash64(F.lit(SEED), "id"))
+                 .withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED + 1), "id"), F.col("buckets"))).drop("s0", "buckets"))
+    shelf = F.expr(f"bucket div {SHELF}").alias("shelf")
+    sums = stored(keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words")).select("*", shelf), "mix-buckets")
+    before = lambda w: F.coalesce(F.sum("words").over(
+        w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shelves = sums.groupBy("source", "shelf").agg(F.sum("words").alias("words")).select(
+        F.col("source").alias("s1"), F.col("shelf").alias("h1"),
+        before(Window.partitionBy("source").orderBy("shelf")).alias("to_shelf"))
+    shelves = small_side(stored(shelves, "mix-shelves"))
+    sums = (sums.withColumn("in_shelf", before(Window.partitionBy("source", "shelf").orderBy("bucket")))
+                .join(shelves, F.col("source").eqNullSafe(F.col("s1")) & (F.col("shelf") == F.col("h1")))
+                .select(F.col("source").alias("s2"), F.col("bucket").alias("b2"),
+                        (F.col("to_shelf") + F.col("in_shelf")).alias("offset")))
     inside = Window.partitionBy("source", "bucket").orderBy("hash", "id", "size").rowsBetween(
         Window.unboundedPreceding, -1)
     own = keyed.withColumn("own", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return (own.join(small_side(sums), F.col("source").eqNullSafe(F.col("s2")) & (F.col("bucket") == F.col("b2")))
-               .withColumn("start", F.col("offset") + F.col("own")))
+    return (own.join(small_side(stored(sums, "mix-starts")),
+                     F.col("source").eqNullSafe(F.col("s2")) & (F.col("bucket") == F.col("b2")))
+               .withColumn("start", F.col("offset") + F.col("own")).drop("s2", "b2"))
 
 
 def planned(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_pct: int = SHARE_PCT, most: int = MOST,
@@ -257,8 +267,9 @@ def planned(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_pct: int
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     rows = stored(docs.select(F.col(id_col).alias("id"), F.col(source).cast("string").alias("source"),
                               words.alias("size")), "mix-sizes")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("size"))
-    plan = stored(quotas(targets(sizes, weights, share_pct, most), block, seed), "mix-quotas")
+    sizes = stored(rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")),
+                   "mix-source-sizes")
+    plan = stored(quotas(targets(sizes.drop("rows"), weights, share_pct, most), block, seed), "mix-quotas")
     leaves = splitting_tree(plan.select("rank", "draws"), shards, seed)
     # Runs of draws of the shards, as their ends.
     ends = F.aggregate("per_shard", F.array().cast("array<long>"),
@@ -267,7 +278,7 @@ def planned(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_pct: int
         F.col("source").alias("s1"), "rank", F.col("size").alias("source_size"), "target", "blocks", "passes", "draws",
         "last_words", ends.alias("ends"))
     side = small_side(stored(side, "mix-side"))
-    at = _starts(rows).join(side, F.col("source").eqNullSafe(F.col("s1")))
+    at = _starts(rows, sizes).join(side, F.col("source").eqNullSafe(F.col("s1")))
     first, last = F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")
 
     def in_pass(b: Column, p: Column) -> Column:
