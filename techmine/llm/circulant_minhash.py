@@ -8,10 +8,10 @@ permutation shifted circularly by k.  Bands of coordinates name buckets.
 Documents with the same shingle set are one class from the start, so a group of
 copies costs one set of band rows.  Within a bucket no pairs are spelled out:
 its smallest class is compared with every other one on the full sets (a star),
-the links found are joined into components, and buckets that still hold more
-than one component get a further star.  What then remains are pairs across
-components; a prefix filter on their rarest shingles names the candidates without
-loss, and every candidate is verified.
+and the links found are joined into components.  Pairs across components of a
+bucket then remain.  They are held against each other by parities, short bit
+vectors that bound the difference of two sets from below: only pairs that can
+still be linked become rows, and these are verified on the full sets.
 
 With 42 bands of 6 rows a pair at similarity 0.8 shares no bucket with
 probability 3e-6, at 0.85 with 3e-9; set equality never misses.
@@ -30,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from techmine.llm.common import prepare, small_side, stored
@@ -38,7 +38,7 @@ from techmine.llm.components import components
 
 UNIVERSE_BITS = 22
 BANDS, ROWS = 42, 6
-STAR_ROUNDS = 2
+MOST_CELLS = 1 << 14   # of a parity; larger sets share cells, which only rules less out
 SEED = 20240607
 WORD_CACHE = 300_000
 
@@ -180,25 +180,21 @@ def components_of_classes(docs: DataFrame, classes: DataFrame, signed: DataFrame
     num, den = similarity
     rep = signed.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     rows = stored(rep.select("id", "n", F.explode("bands").alias("key")), "bands")
-    # Buckets of at least two classes, their smallest one the first centre.
+    # Buckets of at least two classes; the smallest one is the centre of the star.
     buckets = (rows.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z"))
                    .where("a < z").select("key", "a"))
     members = stored(rows.join(stored(buckets, "buckets"), "key"), "members")
     corpus = _Corpus(docs.join(classes.select(F.col("rep").alias("id")), "id", "left_semi"), width, similarity)
     low, high = F.least("n", "an"), F.greatest("n", "an")
-    found = None
-    for _ in range(STAR_ROUNDS):
-        centre_size = members.where("id = a").select("key", F.col("n").alias("an"))
-        pairs = (members.where("id <> a").join(centre_size, "key")
-                        .where(F.lit(den) * low >= F.lit(num) * high)  # the sizes alone can rule a link out
-                        .select("a", F.col("id").alias("b")).distinct())
-        star = corpus.verified(pairs)
-        links = star.where("linked").select("a", "b")
-        found = links if found is None else found.union(links)
-        labels = stored(components(found), "labels")
-        members = _open_buckets(members, labels)
-        if members.isEmpty():
-            return labels
+    centre_size = members.where("id = a").select("key", F.col("n").alias("an"))
+    pairs = (members.where("id <> a").join(centre_size, "key")
+                    .where(F.lit(den) * low >= F.lit(num) * high)  # the sizes alone can rule a link out
+                    .select("a", F.col("id").alias("b")).distinct())
+    found = corpus.verified(pairs).where("linked").select("a", "b")
+    labels = stored(components(found), "labels")
+    members = _open_buckets(members, labels)
+    if members.isEmpty():
+        return labels
     more = corpus.verified(_across(corpus, members, similarity)).where("linked").select("a", "b")
     if more.isEmpty():
         return labels
@@ -208,62 +204,78 @@ def components_of_classes(docs: DataFrame, classes: DataFrame, signed: DataFrame
 
 
 def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets with an unverified pair across components; the next
-    centre is the smallest class outside the old centre's component."""
+    """(key, id, n, component) of buckets with a pair across components that was not
+    compared; the centre has been compared with all and is left out."""
     labels = labels.select(F.col("node").alias("id"), "component")
-    tagged = (members.select("id", "n", "key", "a").join(labels, "id", "left")
+    tagged = (members.where("id <> a").select("id", "n", "key").join(labels, "id", "left")
                      .withColumn("component", F.coalesce("component", "id")))
-    centre = tagged.where("id = a").select("key", F.col("component").alias("centre"))
-    tagged = stored(tagged.join(centre, "key"), "tagged")
-    state = tagged.where("id <> a").groupBy("key", "a").agg(
-        F.count(F.lit(1)).alias("others"), F.min("component").alias("lo"), F.max("component").alias("hi"),
-        F.min(F.when(F.col("component") != F.col("centre"), F.col("id"))).alias("next"))
-    state = state.where("others > 1 and lo < hi").select("key", "next")
-    # The old centre has been compared with all: it leaves the bucket.
-    rest = tagged.where("id <> a").join(state, "key")
-    return stored(rest.select("id", "n", "key", F.col("next").alias("a"), "component"), "members")
+    tagged = stored(tagged, "tagged")
+    state = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return stored(tagged.join(state.where("lo < hi").select("key"), "key"), "members")
+
 
+def parity(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """For each of ``bits`` hash cells, whether an odd number of shingles lies in
+    it, as 64-bit words.  Cells where two sets differ are at most as many as the
+    shingles that only one of them has."""
+    cell = (_mix(shingles ^ _U64(SEED + 1)) & _U64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
 
-# Owners up to which a shingle alone makes candidates.
-FEW_OWNERS = 64
+
+def parity_bits(n: int) -> int:
+    """Cells for a set of ``n``: a power of two, about four to eight a shingle."""
+    return max(64, min(MOST_CELLS, 1 << max(0, 4 * n - 1).bit_length()))
+
+
+def _parities(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(width)
+        for b in batches:
+            words = [parity(s, parity_bits(len(s))) for s in map(shingler, b.column(1).to_pylist())]
+            ends = np.cumsum([0, *map(len, words)], dtype=np.int32)
+            flat = np.concatenate(words) if words else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "cells"])
+    return run
+
+
+def _differing(x: Column, y: Column) -> Column:
+    """Cells in which two parities differ: never more than the symmetric difference
+    of the sets.  Half as many cells are made by folding; parities of yet other
+    sizes rule nothing out."""
+    def fold(c: Column) -> Column:
+        half = (F.size(c) / 2).cast("int")
+        return F.zip_with(F.slice(c, F.lit(1), half), F.slice(c, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+
+    def count(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
+
+    return (F.when(F.size(x) == F.size(y), count(x, y)).when(F.size(x) == 2 * F.size(y), count(fold(x), y))
+             .when(2 * F.size(x) == F.size(y), count(x, fold(y))).otherwise(F.lit(0)))
 
 
 def _across(corpus: _Corpus, members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Candidate pairs (a, b) across components among the classes that are left,
-    without loss (prefix filter): sets of that similarity share one of their
-    rarest shingles, of each set as many as may be missing from the other, plus
-    one.  Of a shingle only the classes outside its most frequent component are
-    paired with the others, so a large component is not paired with itself.
-
-    A shared shingle with few owners makes a pair a candidate.  One with many
-    owners ranks behind all those with few, so a pair that meets there shares
-    none of these unless it also meets at one: it need only be a candidate if
-    the shingles with many owners alone can reach the similarity.
+    """Candidate pairs (a, b) of a bucket across components, without loss.
+
+    In each bucket the members outside its most frequent component meet the others;
+    a pair comes out only if the sizes and the parities of both sets leave room for
+    the similarity.  A pair of this similarity differs in few shingles, so in few
+    cells; one that falls short is ruled out by the cells with near certainty, and
+    one that is linked never.
     """
     num, den = similarity
-    left = stored(members.select("id", "n", "component").distinct(), "left")
-    sets = corpus.sets_of(left.select("id"))
-    rows = sets.select("id", F.explode("shingles").alias("s"))
-    owners = rows.groupBy("s").agg(F.count(F.lit(1)).alias("owners")).where("owners > 1")
-    # Per set, at most its own shingles; those without another owner rank first.
-    ranked = rows.join(owners, "s", "left").groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("owners", F.lit(1)).alias("owners"), "s"))).alias("ranked"))
-    missing = F.expr(f"n - (({num} * n + {den} - 1) div {den}) + 1").cast("int")
-    common = F.size(F.filter("ranked", lambda r: r["owners"] > FEW_OWNERS)).alias("common")
-    rare = (ranked.join(left, "id").select("id", "n", "component", common,
-                                           F.explode(F.slice("ranked", F.lit(1), missing)).alias("r"))
-                  .where("r.owners > 1").select("id", "n", "component", "common", "r.s", "r.owners"))
-    rare = stored(rare, "rare")
-    per = rare.groupBy("s", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = per.groupBy("s").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    x = rare.join(stored(main.select("s", "m.component"), "main").withColumnRenamed("component", "main"), "s").where(
-        "component <> main")
-    y = rare.select("s", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("component").alias("component2"),
-                    F.col("common").alias("common2"))
-    both = F.least("common", "common2")
-    enough = (F.col("owners") <= FEW_OWNERS) | (F.lit(den) * both >= F.lit(num) * (F.col("n") + F.col("n2") - both))
-    pairs = x.join(y, "s").where((F.col("component") != F.col("component2")) & enough
-                                 & (F.lit(den) * F.least("n", "n2") >= F.lit(num) * F.greatest("n", "n2")))
+    cells = stored(corpus.rows.join(small_side(stored(members.select("id").distinct(), "left")), "id", "left_semi")
+                   .mapInArrow(_parities(corpus.width), "id long, cells array<long>"), "cells")
+    per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = stored(per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m")).select(
+        "key", F.col("m.component").alias("main")), "main")
+    rows = stored(members.join(cells, "id"), "cell-members")
+    x = rows.join(main, "key").where("component <> main").drop("main")
+    y = rows.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component", "cells")])
+    room = (F.lit(den) * F.least("n", "n2") >= F.lit(num) * F.greatest("n", "n2"))
+    near = F.lit(num + den) * _differing(F.col("cells"), F.col("cells2")) <= F.lit(den - num) * (F.col("n") + F.col("n2"))
+    pairs = x.join(y, (x["key"] == y["key"]) & (F.col("component") != F.col("component2")) & room & near)
     return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
 

@@ -148,3 +148,38 @@ def test_signature_coordinates_are_circular_shifts():
     at = (cm._mix(s ^ np.uint64(cm.SEED)) >> np.uint64(64 - cm.UNIVERSE_BITS)).astype(int)
     size = 1 << cm.UNIVERSE_BITS
     assert sig.tolist() == [min(ranks[(a + k) % size] for a in at) for k in range(12)]
+
+
+def test_parities_bound_the_difference():
+    r = np.random.default_rng(8)
+    for n in (1, 5, 40, 700, 9000):
+        x = np.unique(r.integers(0, 1 << 62, n, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: len(x) * 3 // 4], r.integers(0, 1 << 62, n // 3, dtype=np.uint64)]))
+        bits = cm.parity_bits(len(x))
+        a, b = cm.parity(x, bits), cm.parity(y, bits)
+        differ = int(np.unpackbits((a ^ b).view(np.uint8)).sum())
+        assert differ <= len(np.setxor1d(x, y))
+        assert len(a) * 64 == bits and 64 <= bits <= cm.MOST_CELLS
+        # Folding gives the parity of half as many cells.
+        if bits > 64:
+            assert (a[: len(a) // 2] ^ a[len(a) // 2:]).tolist() == cm.parity(x, bits // 2).tolist()
+
+
+def test_group_of_variants_equals_all_pairs(spark, documents):
+    """Many edits of one text: one large component, some documents just outside it,
+    and pairs of these that are linked with each other alone."""
+    r = random.Random(11)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.choice((1, 2, 3, 4, 5, 6))):
+            w[r.randrange(60)] = f"x{i}_{r.randrange(9)}"
+        rows.append((1000 - i, " ".join(w), "s"))
+        if i % 10 == 0:
+            rows.append((3000 + i, " ".join([*w, f"tail{i}"]), "s"))
+    for width in (2, 5):
+        got = {q.doc_id: (q.n_shingles, q.component_id, q.kept)
+               for q in cm.near_classes(documents(spark, rows), width).collect()}
+        assert got == near([(i, t) for i, t, _ in rows], width)
+        assert 3 < len({c for _, c, _ in got.values()}) < len(rows) - 10
