@@ -36,6 +36,9 @@ TYPES = ("email", "ip", "ssn", "phone", "run", "name")
 ADDRESS = {"m": ("Mr", "Herr", "Herrn", "Señor", "Sr", "Monsieur", "Г-н", "Господин", "Κύριος"),
            "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Г-жа", "Госпожа", "Κυρία")}
 _ADDRESS = "|".join(sorted((w for ws in ADDRESS.values() for w in ws), key=lambda w: -len(w)))
+# Words inside family names that are not capitalised.
+_PARTICLES = "|".join(("de", "del", "della", "da", "das", "di", "do", "dos", "du", "la", "las", "los", "le", "van", "von",
+                       "der", "den", "ten", "ter", "zu", "zum", "zur", "bin", "ibn", "al", "el", "y", "e"))
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 _NATIONAL = r"(?<![0-9+])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])"
@@ -59,7 +62,7 @@ PATTERNS = {
              rf"|\([0-9]{{3}}\)[ .\-]?[0-9]{{3}}[ .\-][0-9]{{4}}|{_NATIONAL})(?![0-9])",
     # Digits with single spaces or hyphens, as far as they go: cards are looked for inside.
     "run": rf"(?<![0-9]){_OTHER}[0-9](?:[ \-]?{_OTHER}[0-9]){{12,}}+",
-    "name": rf"(?<![\p{{L}}])(?:{_ADDRESS})\.?[ ]\p{{Lu}}\p{{Ll}}+(?:[ \-]\p{{Lu}}\p{{Ll}}+){{0,2}}",
+    "name": rf"(?<![\p{{L}}])(?:{_ADDRESS})\.?[ ]\p{{Lu}}\p{{Ll}}+(?:[ \-](?:(?:{_PARTICLES})[ ])*\p{{Lu}}\p{{Ll}}+)*+",
 }
 # Groups of digits as cards are usually written.
 CARD_GROUPS = "^(?:1[3-9]|4-4-4-4(?:-3)?|4-4-4-1|4-4-5|4-6-[45]|4-5-6|4-3-3-3|6-13)$"
@@ -68,9 +71,16 @@ CARD_DIGITS = (13, 19)
 COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 ANY = "|".join(f"(?:{PATTERNS[t]})" for t in TYPES)
 
-# Alphabets by script: vowels and consonants, lower and upper case.
-SCRIPTS = (("aeiou", "bcdfghklmnprstvwyz"), ("àáâäèéêëìíòóôöùúûü", "çñß"),
-           ("аеиоуыэюя", "бвгджзклмнпрстфхцчшщ"), ("αεηιοω", "βγδζθκλμνπρστφχψ"))
+# Every match holds one of these: an at sign, seven digits with at most two other
+# characters between them, four numbers with dots, or a form of address.
+MAYBE = (r"@|[0-9](?:[ .()\-]{0,2}[0-9]){6}|[0-9]\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]"
+         rf"|(?=[{''.join(sorted({w[0] for ws in ADDRESS.values() for w in ws}))}])(?:{_ADDRESS})\.?[ ]\p{{Lu}}")
+
+# Alphabets by script: vowels and consonants (lower case).  Letters beyond them are drawn
+# from the first consonants of their script.
+SCRIPTS = (("aeiou", "bcdfghjklmnpqrstvwxyz"), ("àáâãäåæèéêëìíîïòóôõöøùúûüýÿāăąēęěīįōőūůű", "çćčďđğłñńňřśşšßťźżž"),
+           ("аеиоуыэюя", "бвгджзйклмнпрстфхцчшщъь"), ("αεηιουωάέήίόύώ", "βγδζθκλμνξπρσςτφχψ"))
+OTHERS = ((r"\p{IsCyrillic}", SCRIPTS[2][1]), (r"\p{IsGreek}", SCRIPTS[3][1]), (r"\p{L}", SCRIPTS[0][1]))
 FIRST_OCTETS = (11, 126)     # public surrogates
 PRIVATE = r"^(?:10\.|127\.|192\.168\.|172\.(?:1[6-9]|2[0-9]|3[01])\.)"
 GROW_EVERY = 4               # attempts after which a surrogate with letters gets one more
@@ -178,6 +188,8 @@ def _letter(ch: Column, hashed: Column, i: Column) -> Column:
         for alphabet in pair:
             pick = F.substring(F.lit(alphabet), _draw(hashed, i, len(alphabet)) + 1, F.lit(1))
             out = out.when(F.lit(alphabet).contains(ch), pick)
+    for letters, alphabet in OTHERS:
+        out = out.when(ch.rlike(letters), F.substring(F.lit(alphabet), _draw(hashed, i, len(alphabet)) + 1, F.lit(1)))
     return out.otherwise(ch)
 
 
@@ -297,7 +309,8 @@ def surrogated(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """
     prepare(docs.sparkSession)
     columns = docs.columns
-    matches = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
+    # The cheap test first: few texts hold anything the whole expression must look at.
+    matches = F.when(F.col(text).rlike(MAYBE), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)))
     found = docs.withColumn("__llm_m", F.coalesce(matches, F.array().cast("array<string>")))
     plain = found.where(F.size("__llm_m") == 0).select(
         *columns, F.array().cast("array<string>").alias("__llm_types"))

@@ -119,3 +119,25 @@ def test_one_phone_number_in_several_formats(spark, documents):
     assert [len(d) for d in digits[:7]] == [11, 11, 11, 11, 10, 10, 10]
     assert len(set(digits[7:11])) == 1 and digits[7].startswith("44") and "(0)" in new[9]
     assert digits[11] == digits[12] and digits[11].startswith("351")
+
+
+def test_cheap_test_loses_nothing():
+    import regex
+
+    texts = ["a@b.co", "+1 (555) 123-4567", "+44 (0)20 7946 0958", "1.2.3.4", "123-45-6789", "555.123.4567",
+             "4111 1111 1111 1111", "+1.(555).123.4567", "+999 (1234) 1-2-3-4-5-6", "Frau Erika", "Sr. Juan de la Vega",
+             "Г-н Иванов", "Κυρία Ελένη", "3782 822463 10005", "(555) 123-4567", "10.20.30.140"]
+    java = lambda p: regex.compile(re.sub(r"\\p\{Is(\w+)\}", r"\\p{\1}", p))
+    maybe, full = java(ps.MAYBE), java(ps.ANY)
+    for t in texts:
+        for around in ("{}", "so {}.", "x\n{} y"):
+            assert full.search(around.format(t)) and maybe.search(around.format(t)), t
+
+
+def test_every_letter_is_drawn_and_long_names_are_whole(spark, documents):
+    text = "write to xj.q@jqx.com or łódź@ßđø.pl; Mr. Juan Carlos de la Vega and Herr Otto von der Heide Müller left"
+    out = ps.surrogated(documents(spark, [(k, text, "s") for k in range(3)]), "k").collect()
+    assert len({r.text for r in out}) == 1
+    for word in ("xj.q", "jqx", "łódź", "ßđø", "Juan", "Carlos", "Vega", "Otto", "Heide", "Müller"):
+        assert word not in out[0].text
+    assert out[0].text.startswith("write to ") and out[0].text.endswith(" left") and "Mr. " in out[0].text
