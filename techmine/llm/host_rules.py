@@ -16,6 +16,8 @@ names start with ``__llm_``).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ MAX_REPEAT_PCT = 50          # base: words in repeated 3-word windows
 MAX_SYMBOLS_PER_100 = 20     # rule symbols: symbol characters per 100 words
 MAX_DUP_LINES_PCT = 30       # rule dup_lines: repeated lines per 100 lines
 WORD_CHARS = (2, 12)         # rule word_chars: mean code points of a word
-HOST_RATE = 0.5              # a host fails a rule habitually above this shrunken rate
+HOST_DEVIATIONS = 2.0        # a host fails a rule habitually this far above the prior's mean, in its deviations
 PRIOR_STRENGTH = (1.0, 1e6)  # bounds of alpha + beta of the fitted prior
 
 RULES = ("symbols", "dup_lines", "word_chars")
@@ -101,11 +103,13 @@ def measured(docs: DataFrame, text: str = "text", carry: list[str] | None = None
 
 
 def host_rates(figures: DataFrame, host: str) -> DataFrame:
-    """One row per host: documents, failures and shrunken rate of each rule.
+    """One row per host: documents, shrunken rate and verdict of each rule.
 
     The prior of a rule is beta(m s, (1 - m) s) with m and v the mean and
     variance of the hosts' raw rates and s = m (1 - m) / v - 1, kept within
-    ``PRIOR_STRENGTH``; the shrunken rate is (failures + m s) / (documents + s).
+    ``PRIOR_STRENGTH``; the shrunken rate is (failures + m s) / (documents + s).  A
+    host fails a rule habitually if this rate lies ``HOST_DEVIATIONS`` standard
+    deviations of the prior, sqrt(m (1 - m) / (s + 1)), above its mean.
     """
     counts = figures.groupBy(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("__llm_host")).agg(
         F.count(F.lit(1)).alias("__llm_docs"),
@@ -120,8 +124,10 @@ def host_rates(figures: DataFrame, host: str) -> DataFrame:
         m, v = moments[f"m_{r}"] or 0.0, moments[f"v_{r}"] or 0.0
         low, high = PRIOR_STRENGTH
         s = max(low, min(high, m * (1 - m) / v - 1)) if v > 0 else high
-        out = out.withColumn(f"__llm_rate_{r}", (F.col(f"__llm_k_{r}") + m * s) / (F.col("__llm_docs") + s))
-    return out.select("__llm_host", "__llm_docs", *[f"__llm_rate_{r}" for r in RULES])
+        rate_r = (F.col(f"__llm_k_{r}") + m * s) / (F.col("__llm_docs") + s)
+        limit = m + HOST_DEVIATIONS * math.sqrt(m * (1 - m) / (s + 1))
+        out = out.withColumn(f"__llm_rate_{r}", rate_r).withColumn(f"__llm_bad_{r}", rate_r > limit)
+    return out.select("__llm_host", "__llm_docs", *[f"__llm_{k}_{r}" for k in ("rate", "bad") for r in RULES])
 
 
 def with_quality(docs: DataFrame, text: str = "text", host: str = "source",
@@ -139,7 +145,7 @@ def with_quality(docs: DataFrame, text: str = "text", host: str = "source",
     out = figures.join(rates, key == F.col("__llm_host"), "left")
     habitual = F.lit(False)
     for r in RULES:
-        habitual = habitual | (F.col(f"__llm_f_{r}") & (F.col(f"__llm_rate_{r}") > HOST_RATE))
+        habitual = habitual | (F.col(f"__llm_f_{r}") & F.col(f"__llm_bad_{r}"))
     return (out.withColumn("__llm_host_failed", habitual)
                .withColumn("__llm_kept", ~F.col("__llm_base_failed") & ~habitual))
 

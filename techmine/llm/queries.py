@@ -80,8 +80,9 @@ s AS (
          CASE WHEN v2 > 0 THEN greatest(1.0, least(1e6, m2 * (1 - m2) / v2 - 1)) ELSE 1e6 END AS s2,
          CASE WHEN v3 > 0 THEN greatest(1.0, least(1e6, m3 * (1 - m3) / v3 - 1)) ELSE 1e6 END AS s3 FROM p),
 q AS (
-  SELECT host, (k1 + m1 * s1) / (d + s1) > 0.5 AS b1, (k2 + m2 * s2) / (d + s2) > 0.5 AS b2,
-         (k3 + m3 * s3) / (d + s3) > 0.5 AS b3 FROM h, s)
+  SELECT host, (k1 + m1 * s1) / (d + s1) > m1 + 2 * sqrt(m1 * (1 - m1) / (s1 + 1)) AS b1,
+         (k2 + m2 * s2) / (d + s2) > m2 + 2 * sqrt(m2 * (1 - m2) / (s2 + 1)) AS b2,
+         (k3 + m3 * s3) / (d + s3) > m3 + 2 * sqrt(m3 * (1 - m3) / (s3 + 1)) AS b3 FROM h, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT ((f1 AND b1) OR (f2 AND b2) OR (f3 AND b3)) AS kept
 FROM r JOIN q ON r.host = q.host
