@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from techmine.operators import aliases as AL
+from techmine.operators import variants as VA
 from techmine.plans.registry import query
 from techmine.sources.tables import table
 
@@ -82,6 +83,65 @@ def listed_technologies(spark, base):
     return yes.withColumn("listed", F.lit(True)).unionByName(no.withColumn("listed", F.lit(False)))
 
 
+# Part names as written in texts: with other spaces, a letter doubled or dropped, or a word in front.
+_SPELLED = """
+p AS (SELECT DISTINCT p_name AS b FROM part),
+s AS (SELECT b AS name FROM p UNION SELECT replace(b, ' ', '') FROM p UNION SELECT replace(b, ' ', '-') FROM p
+      UNION SELECT b || substr(b, length(b), 1) FROM p UNION SELECT substr(b, 1, 3) || substr(b, 5) FROM p
+      UNION SELECT 'Featherweight ' || b FROM p UNION SELECT split_part(b, ' ', 2) FROM p),
+f AS (SELECT name, trim(regexp_replace(lower(name), '[\\s._\\-]+', ' ', 'g')) AS form FROM s)
+"""
+
+
+def _spelled(spark, base):
+    b = F.col("b")
+    p = table(spark, base, "part").select(F.col("p_name").alias("b")).distinct()
+    forms = F.array(b, F.replace(b, F.lit(" "), F.lit("")), F.replace(b, F.lit(" "), F.lit("-")),
+                    F.concat(b, F.substring(b, F.char_length(b), F.lit(1))),
+                    F.concat(F.substring(b, 1, 3), F.substring(b, F.lit(5), F.char_length(b))),
+                    F.concat(F.lit("Featherweight "), b), F.split_part(b, F.lit(" "), F.lit(2)))
+    return p.select(F.explode(forms).alias("name")).distinct()
+
+
+@query("spelling_variants", f"""
+WITH {_SPELLED}, l AS (SELECT name, replace(form, ' ', '') AS w FROM f),
+x AS (SELECT name, w, CASE WHEN length(w) >= 9 THEN 2 WHEN length(w) >= 5 THEN 1 ELSE 0 END AS t FROM l WHERE w <> '')
+SELECT a.name AS "left", b.name AS "right", levenshtein(a.w, b.w)::INT AS edits
+FROM x a JOIN x b ON a.name < b.name AND abs(length(a.w) - length(b.w)) <= 2
+WHERE levenshtein(a.w, b.w) <= least(a.t, b.t)
+""")
+def spelling_variants(spark, base):
+    """CAN1: names that are the same but for spaces or a few letters."""
+    return VA.spelling_variants(_spelled(spark, base))
+
+
+@query("derived_names", f"""
+WITH {_SPELLED}, g AS (SELECT form, min(name) AS base FROM f WHERE form <> '' GROUP BY form),
+h AS (SELECT f.name AS derived, g.base, g.form,
+             row_number() OVER (PARTITION BY f.name ORDER BY len(string_split(g.form, ' ')) DESC, length(g.form) DESC, g.form) AS r
+      FROM f JOIN g ON f.form <> g.form AND contains(' ' || f.form || ' ', ' ' || g.form || ' '))
+SELECT derived, base FROM h WHERE r = 1
+""")
+def derived_names(spark, base):
+    """CAN2: names that hold another name as whole words."""
+    return VA.derived_names(_spelled(spark, base))
+
+
+@query("derived_links_by_name", """
+WITH n AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE split_part(p_name, ' ', 2) END AS name FROM part),
+b AS (SELECT name, min(id) AS id FROM n GROUP BY name),
+d AS (SELECT n.id, coalesce(b.id, n.id) AS to_id FROM n LEFT JOIN b ON contains(n.name, ' ') AND split_part(n.name, ' ', 2) = b.name)
+SELECT DISTINCT l_orderkey AS work_id, d.to_id AS technology_id FROM lineitem JOIN d ON l_partkey = d.id
+""")
+def derived_links_by_name(spark, base):
+    """CAN2 end to end: derived technologies found by name, links moved to their
+    base.  Every second part is known by the last word of its name."""
+    name = F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.split_part("p_name", F.lit(" "), F.lit(2)))
+    t = table(spark, base, "part").select(F.col("p_partkey").alias("id"), name.alias("name"))
+    li = table(spark, base, "lineitem").select(F.col("l_orderkey").alias("work_id"), F.col("l_partkey").alias("technology_id"))
+    return AL.replace_derived(t, li, VA.derived_ids(t))[1]
+
+
 @query("json_load_graph_counts", """
 WITH f AS (SELECT doc_id, text, source, lang FROM documents
            WHERE source NOT IN ('src0', 'src1', 'src2', 'src3') AND lang = 'en'),
