@@ -14,6 +14,7 @@ from techmine.session import shared_dir
 from techmine.sources import works_json as WJ
 from techmine.sources.csv_tables import read_csv, write_csv
 from techmine.sources.tables import table
+from techmine.streaming import commit_log as CL
 from techmine.streaming.incremental import run_registration_stream
 
 
@@ -154,3 +155,48 @@ def incremental_links(spark, base):
     rows = _mentioned_names(spark, base).withColumn("drop", F.col("l_linenumber") % 2)
     _dim, links_path = _run_drops(spark, rows)
     return spark.read.parquet(links_path)
+
+
+@query("committed_ranges", """
+WITH s AS (SELECT DISTINCT l_orderkey AS w, p_brand || ' ' || p_name AS name, l_linenumber % 2 AS k
+           FROM lineitem JOIN part ON l_partkey = p_partkey),
+n AS (SELECT k, count(*) AS n FROM (SELECT name, min(k) AS k FROM s GROUP BY name) GROUP BY k),
+p AS (SELECT k, count(*) AS n FROM (SELECT w, name, min(k) AS k FROM s GROUP BY w, name) GROUP BY k),
+d AS (SELECT DISTINCT k FROM s),
+a AS (SELECT CAST(d.k AS BIGINT) AS seq, coalesce(n.n, 0) AS n_names, coalesce(p.n, 0) AS n_links
+      FROM d LEFT JOIN n ON d.k = n.k LEFT JOIN p ON d.k = p.k)
+SELECT seq, CAST(1 + sum(n_names) OVER (ORDER BY seq) - n_names AS BIGINT) AS first_name, n_names,
+       CAST(1 + sum(n_links) OVER (ORDER BY seq) - n_links AS BIGINT) AS first_link, n_links FROM a
+""")
+def committed_ranges(spark, base):
+    """INC2 by the commit log: id ranges of the commits when the names of a work come
+    in two drops; each drop is registered twice, as after a replay."""
+    rows = _mentioned_names(spark, base).withColumn("drop", F.col("l_linenumber") % 2)
+    root = shared_dir(spark, "commit-log")
+    for d in (0, 1):
+        batch = rows.where(F.col("drop") == d).select("work_id", "o_orderdate", "name")
+        for _ in range(2):
+            CL.register_batch(spark, root, f"drop {d}", batch, ["o_orderdate", "work_id"])
+    return CL.CommitLog(spark, root).table().select("seq", "first_name", "n_names", "first_link", "n_links")
+
+
+@query("committed_links", """
+WITH s AS (SELECT DISTINCT l_orderkey AS w, o_orderdate AS d, p_brand || ' ' || p_name AS name
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+f AS (SELECT name, d, w FROM s QUALIFY row_number() OVER (PARTITION BY name ORDER BY d, w) = 1),
+dim AS (SELECT CAST(row_number() OVER (ORDER BY d, w, name) AS BIGINT) AS technology_id, name FROM f)
+SELECT CAST(row_number() OVER (ORDER BY year(s.d), s.w, s.name) AS BIGINT) AS id, s.w AS work_id, technology_id
+FROM (SELECT w, name, min(d) AS d FROM s GROUP BY w, name) s JOIN dim USING (name)
+""")
+def committed_links(spark, base):
+    """INC2 by the commit log, fed by the stream: one drop per order year lands,
+    oldest first; the result is the links of all commits."""
+    rows = _mentioned_names(spark, base).withColumn("drop", F.year("o_orderdate"))
+    staging, landing = f"{shared_dir(spark, 'staging')}/t", shared_dir(spark, "landing")
+    rows.select("work_id", "o_orderdate", "name", "drop").write.partitionBy("drop").parquet(staging)
+    staged = spark.read.parquet(staging)
+    root, checkpoint = shared_dir(spark, "commit-log"), shared_dir(spark, "stream-checkpoint")
+    for r in staged.select("drop").distinct().orderBy("drop").collect():  # a few years
+        staged.where(F.col("drop") == r[0]).drop("drop").write.mode("append").parquet(landing)
+        CL.run_stream(spark, landing, STREAM_SCHEMA, root, checkpoint, ["o_orderdate", "work_id"])
+    return CL.CommitLog(spark, root).read("links")
