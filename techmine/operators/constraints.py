@@ -119,3 +119,61 @@ def update_keys(df: DataFrame, col: str, mapping: DataFrame) -> DataFrame:
               .withColumn(col, F.coalesce(F.col("__new"), F.col(col)).cast(df.schema[col].dataType))
               .drop("__new")
               .select(*df.columns))
+
+
+# The references of the five tables: (child, column, parent, action on delete).
+REFERENCES = (("work", "topic_id", "topic", "set null"), ("mention", "work_id", "work", "cascade"),
+              ("mention", "technology_id", "technology", "restrict"),
+              ("edge", "parent_id", "topic", "cascade"), ("edge", "child_id", "topic", "cascade"))
+
+
+def keys_gone(tables: dict[str, DataFrame], doomed: dict[str, DataFrame], references=REFERENCES,
+              key: str = "id") -> dict[str, DataFrame]:
+    """Keys of all rows that go with the ``doomed`` keys (per table, column ``key``):
+    CASCADE references are followed until no further row is found, also around
+    cycles and within one table."""
+    gone = {t: d.select(key).where(F.col(key).isNotNull()).distinct().checkpoint(eager=True) for t, d in doomed.items()}
+    new = dict(gone)
+    while new:
+        hits: dict[str, DataFrame] = {}
+        for child, fk, parent, action in references:
+            if action == "cascade" and parent in new:
+                hit = tables[child].join(new[parent].select(F.col(key).alias("__gone")), F.col(fk) == F.col("__gone"),
+                                         "left_semi").select(key)
+                hits[child] = hits[child].union(hit) if child in hits else hit
+        new = {}
+        for child, keys in hits.items():
+            keys = keys.where(F.col(key).isNotNull()).distinct()
+            if child in gone:
+                keys = keys.join(gone[child], key, "left_anti")
+            keys = keys.checkpoint(eager=True)
+            if not keys.isEmpty():
+                new[child] = keys
+                gone[child] = gone[child].union(keys).checkpoint(eager=True) if child in gone else keys
+    return gone
+
+
+def delete_through(tables: dict[str, DataFrame], doomed: dict[str, DataFrame], references=REFERENCES,
+                   key: str = "id") -> dict[str, DataFrame]:
+    """CON7 over all tables: the tables after deleting the ``doomed`` keys with every
+    referential action, transitively.  A RESTRICT reference from a row that stays
+    refuses the whole delete; rows that go by a cascade restrict nothing."""
+    gone = keys_gone(tables, doomed, references, key)
+
+    def without(df: DataFrame, column: str, table: str) -> DataFrame:
+        return df.join(gone[table].select(F.col(key).alias("__gone")), F.col(column) == F.col("__gone"), "left_anti")
+
+    left = {}
+    for t, df in tables.items():
+        left[t] = without(df, key, t) if t in doomed else df
+        # By reference, not by key: rows whose keys repeat are told apart.
+        for child, fk, parent, action in references:
+            if child == t and action == "cascade" and parent in gone:
+                left[t] = without(left[t], fk, parent)
+    for child, fk, parent, action in references:
+        if action == "restrict" and parent in gone:
+            delete_restrict(left[child], fk, gone[parent], key)
+    for child, fk, parent, action in references:
+        if action == "set null" and parent in gone:
+            left[child] = delete_set_null(left[child], fk, gone[parent], key)
+    return left

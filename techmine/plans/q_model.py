@@ -13,7 +13,9 @@ from techmine.operators.ids import dense_ids
 from techmine.plans import standins as S
 from techmine.plans.q_graph import HI1_EDGES_SQL
 from techmine.plans.registry import query
+from techmine.session import shared_dir
 from techmine.sinks import tables as T
+from techmine.sinks.tables import commit_state
 from techmine.sources.tables import table
 
 BASE_VALUES = ", ".join(f"({i + 1}, '{n}')" for i, n in enumerate(H.BASE_TOPICS))
@@ -445,3 +447,46 @@ def checked_load(spark, base):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@query("delete_through_tables", """
+WITH topic AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation
+               UNION ALL SELECT CAST(1000 + r_regionkey AS BIGINT), r_name FROM region),
+edge AS (SELECT CAST(1000 + n_regionkey AS BIGINT) AS p, CAST(n_nationkey AS BIGINT) AS c FROM nation),
+gone AS (SELECT id FROM topic WHERE id = 1000 OR name LIKE '%A'),
+w AS (SELECT o_orderkey AS id, CAST(c_nationkey AS BIGINT) AS topic_id FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+      WHERE o_orderstatus <> 'F')
+SELECT 'topic' AS "table", id AS a, CAST(NULL AS BIGINT) AS b FROM topic WHERE id NOT IN (SELECT id FROM gone)
+UNION ALL SELECT 'edge', p, c FROM edge WHERE p NOT IN (SELECT id FROM gone) AND c NOT IN (SELECT id FROM gone)
+UNION ALL SELECT 'work', id, CASE WHEN topic_id IN (SELECT id FROM gone) THEN NULL ELSE topic_id END FROM w
+UNION ALL SELECT 'mention', l_orderkey, l_partkey FROM lineitem
+          WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+UNION ALL SELECT 'technology', p_partkey, NULL FROM part WHERE p_partkey NOT IN (
+            SELECT p_partkey FROM part WHERE p_size = 1 AND p_partkey NOT IN (
+              SELECT l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')))
+""")
+def delete_through_tables(spark, base):
+    """CON7 over the five tables in one commit: some topics, all finished works, and
+    the technologies that only those works mention go."""
+    nation, region = table(spark, base, "nation"), table(spark, base, "region")
+    long = lambda c: F.col(c).cast("long")
+    topic = nation.select(long("n_nationkey").alias("id"), F.col("n_name").alias("name")).unionByName(
+        region.select((long("r_regionkey") + 1000).alias("id"), F.col("r_name").alias("name")))
+    edge = nation.select(long("n_nationkey").alias("id"), (long("n_regionkey") + 1000).alias("parent_id"),
+                         long("n_nationkey").alias("child_id"))
+    tables = {"topic": topic, "edge": edge, "work": S.work(spark, base).select("id", "topic_id"),
+              "technology": table(spark, base, "part").select(F.col("p_partkey").alias("id"), "p_size"),
+              "mention": S.mention_with_id(spark, base)}
+    works = table(spark, base, "orders").where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("id"))
+    staying = C.delete_cascade(tables["mention"], "work_id", works).select(F.col("technology_id").alias("id"))
+    unused = tables["technology"].where("p_size = 1").join(staying, "id", "left_anti")
+    doomed = {"topic": topic.where((F.col("id") == 1000) | F.col("name").endswith("A")), "work": works, "technology": unused}
+    left = commit_state(spark, shared_dir(spark, "model-state"), C.delete_through(tables, doomed))
+    shown = {"topic": ("id", None), "edge": ("parent_id", "child_id"), "work": ("id", "topic_id"),
+             "mention": ("work_id", "technology_id"), "technology": ("id", None)}
+    parts = [left[t].select(F.lit(t).alias("table"), F.col(a).cast("long").alias("a"),
+                            (F.col(b) if b else F.lit(None)).cast("long").alias("b")) for t, (a, b) in shown.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

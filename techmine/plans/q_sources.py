@@ -200,3 +200,24 @@ def committed_links(spark, base):
         staged.where(F.col("drop") == r[0]).drop("drop").write.mode("append").parquet(landing)
         CL.run_stream(spark, landing, STREAM_SCHEMA, root, checkpoint, ["o_orderdate", "work_id"])
     return CL.CommitLog(spark, root).read("links")
+
+
+@query("pages_kept_and_bad", """
+SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN 'cut' WHEN doc_id % 10 = 7 THEN 'type' ELSE 'kept' END AS outcome FROM documents
+""")
+def pages_kept_and_bad(spark, base):
+    """SRC1 with faults: every document as a page of one record; some pages are cut
+    short, in some the results are no list.  All others load."""
+    d = table(spark, base, "documents").select("doc_id", "text", "source")
+    whole = F.to_json(F.struct(F.array(F.struct(F.concat(F.lit("W"), "doc_id").alias("id"), F.col("text").alias("title"))
+                                       ).alias("results")))
+    wrong = F.concat(F.lit('{"results": {"W": "W'), "doc_id", F.lit('"}, "meta": 5}'))
+    line = F.when(F.col("doc_id") % 10 == 3, F.substring(whole, F.lit(1), F.char_length(whole) - 3)).when(
+        F.col("doc_id") % 10 == 7, wrong).otherwise(whole)
+    landing = f"{shared_dir(spark, 'pages-with-faults')}/t"
+    d.select(line.alias("value")).write.text(landing)
+    records, bad = WJ.read_pages_kept(spark, landing)
+    number = lambda c: F.regexp_extract(c, "W([0-9]+)", 1).cast("long").alias("doc_id")
+    why = F.when(F.col("page").endswith("}"), "type").otherwise("cut")
+    return records.select(number("id"), F.lit("kept").alias("outcome")).unionByName(
+        bad.select(number("page"), why.alias("outcome")))

@@ -203,3 +203,30 @@ def load_committed(spark, root: str, incoming: dict[str, DataFrame]) -> dict[str
     mark, fs = _hadoop(spark, f"{load}/{COMMITTED}")
     fs.create(mark, False).close()
     return added
+
+
+def commit_state(spark, root: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Replace all tables below ``root`` in one commit and return them as stored.
+
+    They are written to a new folder; a log entry that two writers cannot both
+    place makes it the current state.  Raises if another state was committed
+    meanwhile, and nothing changes."""
+    from techmine.streaming.commit_log import CommitLog
+    log = CommitLog(spark, root)
+    seq = len(log.entries())
+    folder = f"{log.root}/data/{seq:012d}-{uuid.uuid4().hex[:12]}"
+    for t, df in tables.items():
+        df.write.parquet(f"{folder}/{t}")
+    if not log.append({"seq": seq, "batch": f"state {seq}", "folder": folder, "first_name": 0, "n_names": 0,
+                       "first_link": 0, "n_links": 0}):
+        raise C.ConstraintError("another state was committed meanwhile")
+    return {t: spark.read.schema(df.schema).parquet(f"{folder}/{t}") for t, df in tables.items()}
+
+
+def current_state(spark, root: str, schemas: dict) -> dict[str, DataFrame]:
+    """The tables of the last ``commit_state``; empty ones before the first."""
+    from techmine.streaming.commit_log import CommitLog
+    entries = CommitLog(spark, root).entries()
+    if not entries:
+        return {t: spark.createDataFrame([], s) for t, s in schemas.items()}
+    return {t: spark.read.schema(s).parquet(f"{entries[-1]['folder']}/{t}") for t, s in schemas.items()}

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from techmine.functions.text import reconstruct_abstract
 from techmine.operators.dimensions import register_names
@@ -30,6 +31,7 @@ SUBFIELD_ID = "subfields/1702"
 LANGUAGE = "languages/en"
 UNKNOWN_TOPIC = "Unknown Topic"
 PAGE_SIZE = 200
+BAD_PAGE = "__bad_page"
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -41,6 +43,24 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     return pages.select(F.explode("results").alias("w")).select("w.*")
 
 
+def read_pages_kept(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records, bad): the work records of all pages that can be read, and of every
+    other page its file and its text.  One broken page costs no other page; a page
+    without ``results`` is no fault.  Both are lazy reads of the same files, and
+    ``bad`` is usually written to a side table, from which pages are landed anew
+    once mended."""
+    schema = T.StructType([*RESPONSE_PAGE.fields, T.StructField(BAD_PAGE, T.StringType())])
+    # Parsed as text: the reader would not look at fields that a query leaves out.
+    text = spark.read.text(path, wholetext=multi_line).select(
+        "value", F.col("_metadata.file_path").alias("file")).where(F.btrim("value", F.lit(" \t\r\n")) != "")
+    page = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_PAGE})
+    # Exploded, so that every use of the page shares one parse.
+    pages = text.select("value", "file", F.explode(F.array(page)).alias("page"))
+    fault = F.col("page").isNull() | F.col(f"page.{BAD_PAGE}").isNotNull()
+    records = pages.where(~fault).select(F.explode("page.results").alias("w")).select("w.*")
+    return records, pages.where(fault).select("file", F.col("value").alias("page"))
+
+
 def last_part(c: Column) -> Column:
     """Ids arrive as URLs; compare on the last path part."""
     return F.regexp_extract(c, r"([^/]*)$", 1)
