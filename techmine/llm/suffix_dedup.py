@@ -5,8 +5,8 @@ A byte goes if a string of ``length`` bytes that covers it also starts earlier
 same smallest k-mer (by hash) at the same place, so only the suffixes that start
 at such anchors, about 2.5 % of all, need to be sorted.
 
-Suffixes carry their leading tokens (words of 8 bytes) and a hash of their
-stretch: all bytes of the strings that have this anchor.  Splitters sampled from
+Suffixes carry their leading tokens (words of 8 bytes) and a 128-bit hash of
+their stretch: all bytes of the strings that have this anchor.  Splitters sampled from
 the corpus range-partition them by leading tokens; a key that spans several
 splitters is spread over their buckets by stretch.  Buckets sort by multikey
 quicksort and neighbours are compared:
@@ -24,12 +24,13 @@ copies of documents are set aside first by their digest.
 Defined results: a null text is empty and nothing is removed.  Where ids repeat
 or are null, rows are ordered by id (nulls first) and text digest, and of equal
 rows one is the first.  An empty table gives an empty result.  Only the id and
-text columns are read.
+text columns are read.  ``length`` can be 32 to 65,000 bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,12 +50,14 @@ SAMPLE_PER_BUCKET = 200       # suffixes expected of these, times buckets
 SAMPLE_SUFFIXES = 400_000     # and at most in all
 CHUNK = 400_000               # suffixes that a task collapses at once
 BLOCK = 1 << 23               # bytes of a document handled at once
+BUCKET_BYTES = 1 << 26        # suffix rows expected in a bucket
+LENGTHS = (32, 65_000)        # lengths that the anchors and the fields below allow
 
 _U64 = np.uint64
 _POSITION = _U64((1 << 24) - 1)
 
-SUFFIX = np.dtype([("t", "<u8", TOKENS), ("stretch", "<u8"), ("left", "<u4"), ("right", "<u4"),
-                   ("doc", "<i8"), ("low", "<u4"), ("off", "u1"), ("span", "u1")])
+SUFFIX = np.dtype([("t", "<u8", TOKENS), ("stretch", "<u8"), ("stretch2", "<u8"), ("left", "<u4"), ("right", "<u4"),
+                   ("doc", "<i8"), ("low", "<u4"), ("off", "<u2"), ("span", "<u2")])
 STRING = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("low", "<u4")])
 OUT = "doc long, low long, high long, off int, sides int"
 ROUTED = "part int, kind int, rows binary"
@@ -102,7 +105,7 @@ def _side(length: int) -> int:
 def suffixes_of(doc: int, text: bytes, length: int) -> list[np.ndarray]:
     out = []
     side = _side(length)
-    h32, h64 = xxhash.xxh3_64_intdigest, xxhash.xxh3_64_intdigest
+    h32, h128 = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_digest
     for start in range(0, max(1, len(text) - length + 1), BLOCK):
         b = text[start:start + BLOCK + length - 1]
         if len(b) < length:
@@ -115,8 +118,9 @@ def suffixes_of(doc: int, text: bytes, length: int) -> list[np.ndarray]:
         rows["off"], rows["span"] = at - low, high - low
         view = memoryview(b)
         ats = at.tolist()
-        rows["stretch"] = np.fromiter((h64(view[i:j + length], a - i) for a, i, j in zip(
-            ats, low.tolist(), high.tolist(), strict=True)), _U64, len(at))
+        stretch = np.frombuffer(b"".join([h128(view[i:j + length], a - i) for a, i, j in zip(
+            ats, low.tolist(), high.tolist(), strict=True)]), _U64).reshape(-1, 2)
+        rows["stretch"], rows["stretch2"] = stretch[:, 0], stretch[:, 1]
         rows["left"] = np.fromiter((h32(view[max(0, a - side):a]) & 0xFFFFFFFF for a in ats), np.uint32, len(at))
         rows["right"] = np.fromiter((h32(view[a + KMER:a + KMER + side]) & 0xFFFFFFFF for a in ats), np.uint32, len(at))
         out.append(rows)
@@ -131,9 +135,9 @@ def _repeats(group_of_sorted: np.ndarray) -> np.ndarray:
 
 def collapsed(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first of equal stretches, and all the others."""
-    order = np.lexsort((rows["low"], rows["doc"], rows["stretch"]))
+    order = np.lexsort((rows["low"], rows["doc"], rows["stretch2"], rows["stretch"]))
     rows = rows[order]
-    again = _repeats(rows["stretch"])
+    again = _repeats(rows["stretch"]) & _repeats(rows["stretch2"])
     return rows[~again], rows[again]
 
 
@@ -298,7 +302,7 @@ def _compare_suffixes(splitters: Splitters, length: int):
 
 
 # What a document's texts meet, packed so that it stays small beside them.
-ASKED = np.dtype([("low", "<u4"), ("high", "<u4"), ("off", "u1"), ("sides", "u1")])
+ASKED = np.dtype([("low", "<u4"), ("high", "<u4"), ("off", "<u2"), ("sides", "u1")])
 RANGE = np.dtype([("low", "<u4"), ("high", "<u4")])
 
 
@@ -444,8 +448,9 @@ def _cut():
 def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256 and
     ``removed``, the byte ranges (low, high) that go."""
+    if not LENGTHS[0] <= length <= LENGTHS[1]:
+        raise ValueError(f"length must be {LENGTHS[0]} to {LENGTHS[1]}")
     spark = prepare(docs.sparkSession)
-    n = partitions(spark)
     sha = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text"))
@@ -466,6 +471,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_i
     firsts = flagged.where(~F.col("copy") & long_enough).select("doc", "text")
 
     n_docs, n_bytes = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n = max(partitions(spark), math.ceil(n_bytes * 2 / (length - KMER + 2) * SUFFIX.itemsize / BUCKET_BYTES))
     splitters = _sampled_splitters(rows.where(long_enough), n_docs, n_bytes, n, length)
     routed = firsts.mapInArrow(_emit_suffixes(splitters, length, n), ROUTED)
     compared = stored(_by_part(routed, n).mapInArrow(_compare_suffixes(splitters, length), OUT), "suffixes")

@@ -44,9 +44,9 @@ def corpus(seed=3):
     return docs
 
 
-def run(spark, rows):
+def run(spark, rows, length=100):
     df = spark.createDataFrame([(i, t, "clash", "clash") for i, t in rows], SCHEMA).repartition(5)
-    got = sd.repeated_strings(df).collect()
+    got = sd.repeated_strings(df, length).collect()
     return {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got}, got
 
 
@@ -60,6 +60,31 @@ def test_against_all_strings(spark):
         assert sum(s["high"] - s["low"] for s in r["removed"]) == r["n_removed"]
 
 
+@pytest.mark.parametrize("length", [32, 400])
+def test_other_lengths(spark, length):
+    passage = " ".join(f"p{k * k % 91}" for k in range(400))
+    rows = list(enumerate([*corpus(7), "head " + passage, passage[50:] + " tail", passage[:700]]))
+    got, raw = run(spark, rows, length)
+    assert got == {i: w for (i, _), w in zip(rows, brute(rows, length), strict=True)}
+    assert max(s["high"] - s["low"] for r in raw for s in r["removed"]) > 600
+    with pytest.raises(ValueError, match="length"):
+        sd.repeated_strings(spark.createDataFrame([], SCHEMA), 70_000)
+
+
+def test_buckets_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 1 << 11)
+    rows = list(enumerate(corpus(11)))
+    got, _ = run(spark, rows)
+    assert got == {i: w for (i, _), w in zip(rows, brute(rows), strict=True)}
+
+
+def test_equal_stretches_need_all_128_bits():
+    rows = np.zeros(3, sd.SUFFIX)
+    rows["stretch"], rows["stretch2"], rows["doc"] = 5, [1, 2, 1], [0, 1, 2]
+    first, again = sd.collapsed(rows)
+    assert first["doc"].tolist() == [0, 1] and again["doc"].tolist() == [2]
+
+
 def test_long_text_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(sd, "BLOCK", 333)
     rows = list(enumerate(corpus(5)))
