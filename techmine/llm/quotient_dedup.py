@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from techmine.llm.common import ascii_lower, partitions, prepare, small_side, stored, text_or_empty
 
 SLICE_BITS_MIN = 4
+SLICE_ROWS = 1 << 22  # fingerprints expected in a slice, copies included
 
 
 class CountingQuotientFilter:
@@ -135,25 +136,33 @@ def _slices(bits: int):
 
 
 def _merge_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by slice: one merged filter is held at a time."""
-    def repeated(m):
+    """Rows arrive sorted by slice: the filters of one slice are held at a time,
+    each of them of more entries than all behind it, so that a fingerprint is
+    merged a logarithmic number of times however many partitions send one."""
+    held: list[CountingQuotientFilter] = []
+
+    def repeated():
+        while len(held) > 1:
+            last = held.pop()
+            held[-1] = held[-1].merged(last)
+        m = held.pop()
         return pa.RecordBatch.from_arrays([pa.array(m.fingerprints()[m.counts > 1].view(np.int64))], ["fingerprint"])
 
-    merged = None
     for b in batches:
         for raw in b.column(1):
             s = CountingQuotientFilter.from_bytes(raw.as_buffer().to_pybytes())
-            if merged is not None and merged.prefix != s.prefix:
-                yield repeated(merged)
-                merged = None
-            merged = s if merged is None else merged.merged(s)
-    if merged is not None:
-        yield repeated(merged)
+            if held and held[-1].prefix != s.prefix:
+                yield repeated()
+            while held and len(held[-1].remainders) <= 2 * len(s.remainders):
+                s = held.pop().merged(s)
+            held.append(s)
+    if held:
+        yield repeated()
 
 
 def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
     """The fingerprints (one bigint column) that occur more than once."""
-    n = partitions(fingerprints.sparkSession)
+    n = max(partitions(fingerprints.sparkSession), fingerprints.count() // SLICE_ROWS)
     bits = max(SLICE_BITS_MIN, (n - 1).bit_length())
     slices = fingerprints.mapInArrow(_slices(bits), "slice int, filter binary")
     return (slices.repartition(n, "slice").sortWithinPartitions("slice")

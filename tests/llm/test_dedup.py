@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from techmine.llm import circulant_minhash as cm
@@ -28,6 +29,22 @@ def test_quotient_filter_counts_and_merges():
         assert np.concatenate([p.counts for p in back]).tolist() == n.tolist()
 
 
+def test_slices_of_many_partitions_merge_few_times(monkeypatch):
+    merges = []
+    merged = qd.CountingQuotientFilter.merged
+    monkeypatch.setattr(qd.CountingQuotientFilter, "merged",
+                        lambda a, b: merges.append(len(a.remainders) + len(b.remainders)) or merged(a, b))
+    r = np.random.default_rng(2)
+    all_of = [np.sort(r.choice(np.arange(1, 60_000, dtype=np.uint64), 100, replace=False)) for _ in range(256)]
+    rows = [qd.CountingQuotientFilter.of(f, np.ones(100, np.uint64), 0, 4).to_bytes() for f in all_of]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 256, pa.int32()), pa.array(rows, pa.binary())], ["slice", "filter"])
+    got = np.concatenate([b.column(0).to_numpy() for b in qd._merge_slices(iter([batch]))])
+    f, n = np.unique(np.concatenate(all_of), return_counts=True)
+    assert got.tolist() == f[n > 1].tolist()
+    assert sum(merges) <= 256 * 100 * 10  # one after the other: about 2,700,000 entries
+
+
+
 def exact(rows):
     groups = {}
     for i, t, *_ in rows:
