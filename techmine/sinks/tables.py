@@ -31,6 +31,12 @@ def first_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     return firsts.select(*[F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
+def first_rows(incoming: DataFrame, key: str = "id", order_cols: list[str] | None = None) -> DataFrame:
+    """The row per key that an insert takes: the first by ``order_cols``."""
+    order_cols = order_cols or ([POSITION] if POSITION in incoming.columns else list(incoming.columns))
+    return first_per_key(incoming, key, order_cols).drop(POSITION)
+
+
 def insert_ignore(existing: DataFrame, incoming: DataFrame, key: str = "id",
                   order_cols: list[str] | None = None) -> DataFrame:
     """SNK4 per table: INSERT ... ON CONFLICT (key) DO NOTHING.
@@ -40,9 +46,7 @@ def insert_ignore(existing: DataFrame, incoming: DataFrame, key: str = "id",
     input files where the reader carried it (``POSITION``), else all columns.  A
     null key stays in the result, so that the key check (CON1) reports it.
     """
-    order_cols = order_cols or ([POSITION] if POSITION in incoming.columns else list(incoming.columns))
-    firsts = first_per_key(incoming, key, order_cols).drop(POSITION)
-    return firsts.join(existing.select(key), key, "left_anti")
+    return first_rows(incoming, key, order_cols).join(existing.select(key), key, "left_anti")
 
 
 def append_unseen(existing: DataFrame, incoming: DataFrame, key: str,
@@ -121,13 +125,8 @@ def _counts(df: DataFrame, counts: dict) -> DataFrame:
     return row.select(F.expr(f"stack({len(counts)}, {pairs}) AS (check, n)"))
 
 
-def model_report(topic: DataFrame, edge: DataFrame, work: DataFrame,
-                 technology: DataFrame, mention: DataFrame) -> DataFrame:
-    """(check, n): the violations of every CON1-CON5 rule, as ``model_checks``
-    counts them.  A table's keys and all its row-local rules are one pass (an
-    aggregate by key, then over the keys); only unique values and references
-    read a table again."""
-    tables = {"topic": topic, "edge": edge, "work": work, "technology": technology, "mention": mention}
+def row_counts(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """(check, n) of the key and row-local rules of each table, one pass each."""
     parts = []
     for t, df in tables.items():
         nulls = {name: sum((F.col(c).isNull().cast("long") for c in cols), F.lit(0)) for name, cols in ROW_RULES[t]}
@@ -138,6 +137,16 @@ def model_report(topic: DataFrame, edge: DataFrame, work: DataFrame,
         parts.append(_counts(by_key, {
             f"{t}.pk": F.sum((F.col("id").isNull() | (F.col("k") > 1)).cast("long")),
             **{name: F.sum(f"r{i}") for i, name in enumerate(nulls)}}))
+    return parts
+
+
+def model_report(topic: DataFrame, edge: DataFrame, work: DataFrame,
+                 technology: DataFrame, mention: DataFrame) -> DataFrame:
+    """(check, n): the violations of every CON1-CON5 rule, as ``model_checks``
+    counts them.  A table's keys and all its row-local rules are one pass (an
+    aggregate by key, then over the keys); only unique values and references
+    read a table again."""
+    tables = {"topic": topic, "edge": edge, "work": work, "technology": technology, "mention": mention}
     more = {"work.doi.unique": C.unique_violations(work, "doi"),
             "work.topic.fk": C.fk_violations(work, "topic_id", topic),
             "mention.work.fk": C.fk_violations(mention, "work_id", work),
@@ -145,7 +154,7 @@ def model_report(topic: DataFrame, edge: DataFrame, work: DataFrame,
             "edge.parent.fk": C.fk_violations(edge, "parent_id", topic),
             "edge.child.fk": C.fk_violations(edge, "child_id", topic)}
     out = C.count_violations(more)
-    for p in parts:
+    for p in row_counts(tables):
         out = out.unionByName(p)
     return out
 
