@@ -1,16 +1,14 @@
 """Topic hierarchy: build (HI1), leaves (HI2), transitive closure and roll-up
 (HI3), listing with depth and path (HI4).
 
-The closure is a semi-naive fixpoint: each round joins only the pairs found in
-the previous round with the edges and keeps the ones not seen before
-(anti-join), so it ends on cyclic input too.  Each round's result is
-checkpointed to the shared checkpoint folder to cut lineage.
+The closure doubles its reach in each round: the pairs at the largest distance
+are joined with all pairs and those not seen before are kept (anti-join), so it
+ends on cyclic input too, and a hierarchy of depth d takes about log2(d) rounds.
+Each round's result is checkpointed to the shared checkpoint folder to cut lineage.
 """
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,38 +70,85 @@ def leaf_topics(topic: DataFrame, edge: DataFrame) -> DataFrame:
     return topic.join(edge.select(F.col("parent_id").alias("id")), "id", "left_anti")
 
 
-def closure(edge: DataFrame) -> DataFrame:
+def closure(edge: DataFrame, paths: bool = True) -> DataFrame:
     """HI3/HI4: (ancestor_id, descendant_id, depth, path) over parent->child
     edges; depth is the shortest distance, path the smallest id path (root
-    side first) among shortest ones."""
-    e = (edge.select(F.col("parent_id").cast("long").alias("p"), F.col("child_id").cast("long").alias("c"))
-             .where(F.col("p").isNotNull() & F.col("c").isNotNull()).distinct())
-    e = broadcast_if_small(e.checkpoint(eager=True))
-    found = (e.select(F.col("p").alias("ancestor_id"), F.col("c").alias("descendant_id"),
-                      F.lit(1).alias("depth"), F.array("p", "c").alias("path"))
-              .groupBy("ancestor_id", "descendant_id")
-              .agg(F.min("depth").alias("depth"), F.min("path").alias("path"))
-              .checkpoint(eager=True))
-    frontier = found
-    for round_no in itertools.count(1):
-        step = (frontier.join(e, frontier["descendant_id"] == e["p"])
-                        .select("ancestor_id", F.col("c").alias("descendant_id"),
-                                (F.col("depth") + 1).alias("depth"),
-                                F.concat("path", F.array("c")).alias("path")))
-        new = (step.join(found.select("ancestor_id", "descendant_id"),
-                         ["ancestor_id", "descendant_id"], "left_anti")
-                   .groupBy("ancestor_id", "descendant_id")
-                   .agg(F.min("depth").alias("depth"), F.min("path").alias("path"))
-                   .checkpoint(eager=True))
-        if new.isEmpty():  # reads the checkpoint just written
-            break
-        # A union of checkpointed pieces has shallow lineage; fold it into one
-        # checkpoint only every few rounds so deep hierarchies keep small plans.
+    side first) among shortest ones.  ``paths=False`` leaves the paths out."""
+    e = (edge.select(F.col("parent_id").cast("long").alias("ancestor_id"), F.col("child_id").cast("long").alias("descendant_id"))
+             .where(F.col("ancestor_id").isNotNull() & F.col("descendant_id").isNotNull()).distinct())
+    found = e.withColumn("depth", F.lit(1))
+    if paths:
+        found = found.withColumn("path", F.array("ancestor_id", "descendant_id"))
+    found = found.checkpoint(eager=True)
+    reach = 1
+    while True:
+        new = _doubled(found, reach).checkpoint(eager=True)
+        deepest = new.agg(F.max("depth")).first()[0]
+        if deepest is None:
+            return found
         found = found.unionByName(new)
-        if round_no % 8 == 0:
-            found = found.checkpoint(eager=True)
-        frontier = new
-    return found
+        reach *= 2
+        if deepest < reach:
+            return found
+
+
+def _doubled(found: DataFrame, reach: int) -> DataFrame:
+    """The pairs at distances from ``reach`` + 1 to twice ``reach``, from all those up
+    to ``reach``: each has a node at distance ``reach`` on every shortest path, and
+    the smallest shortest path is made of smallest ones."""
+    left = found.where(F.col("depth") == reach).withColumnsRenamed({"descendant_id": "__mid", "path": "__path"}).drop("depth")
+    step = left.join(found.withColumnRenamed("ancestor_id", "__mid"), "__mid").withColumn("depth", F.col("depth") + reach)
+    return _shortest(_path_joined(step).join(found.select(*PAIR), PAIR, "left_anti"))
+
+
+PAIR = ["ancestor_id", "descendant_id"]
+
+
+def _path_joined(step: DataFrame) -> DataFrame:
+    if "__path" not in step.columns:
+        return step.select(*PAIR, "depth")
+    tail = F.slice("path", F.lit(2), F.size("path") - 1)
+    return step.select(*PAIR, "depth", F.concat("__path", tail).alias("path"))
+
+
+def _shortest(pairs: DataFrame) -> DataFrame:
+    """Per pair the smallest depth and, of equal ones, the smallest path."""
+    rest = [c for c in pairs.columns if c not in PAIR]
+    return pairs.groupBy(*PAIR).agg(F.min(F.struct(*rest)).alias("b")).select(*PAIR, *[F.col(f"b.{c}") for c in rest])
+
+
+def extended_closure(closed: DataFrame, new_edges: DataFrame) -> DataFrame:
+    """The closure (with paths) after adding ``new_edges``, from the closure before.
+
+    Pairs that use one new edge come from what reaches its parent and what its child
+    reaches; these are joined with each other until no pair improves, which takes as
+    many rounds as the logarithm of the new edges on a path.  Old pairs away from the
+    new edges are only read."""
+    e = (new_edges.select(F.col("parent_id").cast("long").alias("__p"), F.col("child_id").cast("long").alias("__c"))
+                  .where(F.col("__p").isNotNull() & F.col("__c").isNotNull()).distinct().checkpoint(eager=True))
+
+    def with_self(node: str) -> DataFrame:
+        one = e.select(F.col(node).alias("ancestor_id")).distinct()
+        return one.select("ancestor_id", F.col("ancestor_id").alias("descendant_id"), F.lit(0).alias("depth"),
+                          F.array("ancestor_id").alias("path"))
+
+    above = closed.join(e.select(F.col("__p").alias("descendant_id")).distinct(), "descendant_id", "left_semi")
+    below = closed.join(e.select(F.col("__c").alias("ancestor_id")).distinct(), "ancestor_id", "left_semi")
+    above = above.unionByName(with_self("__p")).select("ancestor_id", F.col("descendant_id").alias("__p"),
+                                                       F.col("depth").alias("__up"), F.col("path").alias("__path"))
+    below = below.unionByName(with_self("__c")).withColumnRenamed("ancestor_id", "__c")
+    through = _shortest(e.join(above, "__p").join(below, "__c").select(
+        *PAIR, (F.col("__up") + 1 + F.col("depth")).alias("depth"), F.concat("__path", "path").alias("path")))
+    through = through.checkpoint(eager=True)
+    while True:
+        left = through.withColumnsRenamed({"descendant_id": "__mid", "path": "__path", "depth": "__up"})
+        step = left.join(through.withColumnRenamed("ancestor_id", "__mid"), "__mid").withColumn(
+            "depth", F.col("__up") + F.col("depth"))
+        better = _shortest(_path_joined(step).unionByName(through)).checkpoint(eager=True)
+        if better.join(through, [*PAIR, "depth", "path"], "left_anti").isEmpty():
+            break
+        through = better
+    return _shortest(closed.select(*PAIR, "depth", "path").unionByName(through))
 
 
 def cycles(closure_df: DataFrame) -> DataFrame:

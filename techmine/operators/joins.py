@@ -29,8 +29,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
 
 
 def pairs_within_groups(items: DataFrame, group: str, key: str,
-                        bucket_rows: int = PAIR_BUCKET_ROWS) -> DataFrame:
-    """All ordered pairs (left, right) of rows that share ``group``.
+                        bucket_rows: int = PAIR_BUCKET_ROWS, left_where=None) -> DataFrame:
+    """All ordered pairs (left, right) of rows that share ``group``, the left ones
+    limited to rows of ``left_where`` (a condition on ``items``) if it is given.
 
     ``items`` must already be reduced to distinct rows per (group, key), so a
     group's size is bounded by its distinct keys, not by the raw rows.  Groups
@@ -52,7 +53,7 @@ def pairs_within_groups(items: DataFrame, group: str, key: str,
     hot = broadcast_if_small(hot)
     tagged = (items.join(hot, group, "left")
                    .withColumn("__tm_b", F.coalesce("__tm_b", F.lit(1))))
-    left = tagged.select(
+    left = (tagged if left_where is None else tagged.where(left_where)).select(
         group,
         F.pmod(F.xxhash64(F.col(key)), F.col("__tm_b")).cast("int").alias("__tm_salt"),
         *[F.col(c).alias(f"l_{c}") for c in other])

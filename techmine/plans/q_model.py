@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from techmine.operators import constraints as C
 from techmine.operators import dimensions as D
 from techmine.operators import hierarchy as H
-from techmine.operators.ids import dense_ids
+from techmine.operators.ids import dense_ids, next_id, next_id_from_lines
+from techmine.operators.pages import with_row_count
 from techmine.plans import standins as S
 from techmine.plans.q_graph import HI1_EDGES_SQL
 from techmine.plans.registry import query
@@ -57,8 +58,7 @@ c(ancestor_id, descendant_id, depth, path) AS (
 SELECT ancestor_id, descendant_id, CAST(min(depth) AS INTEGER) AS depth FROM c GROUP BY 1, 2
 """)
 def topic_closure(spark, base):
-    return H.closure(H.build_hierarchy(_topics(spark, base))).select(
-        "ancestor_id", "descendant_id", "depth")
+    return H.closure(H.build_hierarchy(_topics(spark, base)), paths=False)
 
 
 @query("topic_paths", CLOSURE_SQL + """
@@ -69,6 +69,20 @@ def topic_paths(spark, base):
         "ancestor_id", "descendant_id", "depth", F.array_join("path", "/").alias("path"))
 
 
+@query("topic_paths_after_new_edges", CLOSURE_SQL + """
+SELECT ancestor_id, descendant_id, CAST(depth AS INTEGER) AS depth, path FROM c
+""")
+def topic_paths_after_new_edges(spark, base):
+    """HI4 kept up to date: a third of the edges come later and are added to the
+    closure of the others, once as many edges and once as few."""
+    edge = H.build_hierarchy(_topics(spark, base)).checkpoint(eager=True)
+    third = F.pmod(F.xxhash64("id"), F.lit(3))
+    closed = H.closure(edge.where(third == 0))
+    for k in (1, 2):
+        closed = H.extended_closure(closed, edge.where(third == k)).checkpoint(eager=True)
+    return closed.select("ancestor_id", "descendant_id", "depth", F.array_join("path", "/").alias("path"))
+
+
 @query("topic_rollup", CLOSURE_SQL + """,
 pairs AS (SELECT ancestor_id, descendant_id FROM c
           UNION SELECT x, x FROM (SELECT ancestor_id AS x FROM c UNION SELECT descendant_id FROM c))
@@ -77,7 +91,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN pairs ON descendant_id =
 GROUP BY ancestor_id
 """)
 def topic_rollup(spark, base):
-    cl = H.closure(H.build_hierarchy(_topics(spark, base)))
+    cl = H.closure(H.build_hierarchy(_topics(spark, base)), paths=False)
     return H.rollup(S.work(spark, base), cl)
 
 
@@ -490,3 +504,59 @@ def delete_through_tables(spark, base):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@query("indexed_loads", """
+SELECT l_orderkey * 10 + l_linenumber AS id, min(l_orderkey) AS work_id, min(l_partkey) AS technology_id
+FROM lineitem GROUP BY 1
+""")
+def indexed_loads(spark, base):
+    """SNK4 with a key index: works and mentions land in two loads, the second of which
+    has all rows again; then a load with a mention of no technology is refused."""
+    from techmine.sinks import key_index as K
+    topic, edge, work, tech, mention = _model_tables(spark, base)
+    root = shared_dir(spark, "indexed-model")
+    even = F.pmod("work_id", F.lit(2)) == 0
+    K.load_indexed(spark, root, {"topic": topic, "edge": edge, "technology": tech,
+                                 "work": work.where(F.pmod("id", F.lit(2)) == 0), "mention": mention.where(even)})
+    none = {t: spark.createDataFrame([], schema) for t, schema in T.MODEL_SCHEMAS.items()}
+    K.load_indexed(spark, root, none | {"work": work, "mention": mention})
+    dangling = mention.agg(F.max("id").alias("id"), F.max("work_id").alias("work_id")).select(
+        (F.col("id") + 1).alias("id"), "work_id", F.lit(-1).cast("long").alias("technology_id"))
+    try:
+        K.load_indexed(spark, root, none | {"mention": dangling})
+    except C.ConstraintError:
+        return K.indexed_tables(spark, root)["mention"]
+    raise AssertionError("a load with a dangling reference was taken")
+
+
+@query("next_ids", """
+SELECT 'work' AS "table", max(o_orderkey) + 1 AS next_id, max(o_orderkey) + 1 AS next_id_of_lines FROM orders
+UNION ALL SELECT 'technology', max(p_partkey) + 1, max(p_partkey) + 1 FROM part
+UNION ALL SELECT 'mention', max(l_orderkey * 10 + l_linenumber) + 1, max(l_orderkey * 10 + l_linenumber) + 1 FROM lineitem
+""")
+def next_ids(spark, base):
+    """SC16: the id after the largest of each table, and the same from its rows as the
+    text lines of a damaged file (a header, an id that is no number, an empty line)."""
+    out = []
+    for name, df in (("work", S.work(spark, base)), ("technology", S.technology(spark, base)),
+                     ("mention", S.mention_with_id(spark, base))):
+        damaged = spark.createDataFrame([("id,name",), ("12x4,broken",), ("",)], "value string")
+        lines = df.select(F.concat_ws(",", F.col("id").cast("string"), F.lit('a "name", cut')).alias("value"))
+        out.append((name, next_id(df), next_id_from_lines(lines.unionByName(damaged))))
+    return spark.createDataFrame(out, "table string, next_id long, next_id_of_lines long")
+
+
+@query("rows_written", """
+SELECT 'work' AS "table", count(*) AS n_rows FROM orders UNION ALL SELECT 'technology', count(*) FROM part
+UNION ALL SELECT 'mention', count(*) FROM lineitem
+""")
+def rows_written(spark, base):
+    """AG4: rows counted while each table is written, without a job of their own."""
+    out = []
+    for name, df in (("work", S.work(spark, base)), ("technology", S.technology(spark, base)),
+                     ("mention", S.mention(spark, base))):
+        df, seen = with_row_count(df, f"rows of {name}")
+        df.write.mode("overwrite").parquet(f"{shared_dir(spark, 'counted')}/{name}")
+        out.append((name, seen.get["rows"]))
+    return spark.createDataFrame(out, "table string, n_rows long")

@@ -60,13 +60,43 @@ def shared_group_pairs(rows: DataFrame, group: str, iri: str, name: str,
     g = (rows.where(F.col(group).isNotNull() & F.col(name).isNotNull())
              .groupBy(group, F.col(name).alias("nm"))
              .agg(F.countDistinct(iri).alias("n"), F.min(iri).alias("i")))
-    pairs = pairs_within_groups(g, group, "nm")
-    valid = pairs.where(~((F.col("l_n") == 1) & (F.col("r_n") == 1) & (F.col("l_i") == F.col("r_i"))))
-    out = (valid.groupBy(F.col("l_nm").alias("tech_a"), F.col("r_nm").alias("tech_b"))
-                .agg(F.count(F.lit(1)).alias("common_topics")))
     if top is not None:
-        out = order_by_count(out, "common_topics", "tech_a", "tech_b").limit(top)
-    return out
+        return _top_pairs(g, group, top)
+    return _scored(pairs_within_groups(g, group, "nm"))
+
+
+def _scored(pairs: DataFrame) -> DataFrame:
+    valid = pairs.where(~((F.col("l_n") == 1) & (F.col("r_n") == 1) & (F.col("l_i") == F.col("r_i"))))
+    return (valid.groupBy(F.col("l_nm").alias("tech_a"), F.col("r_nm").alias("tech_b"))
+                 .agg(F.count(F.lit(1)).alias("common_topics")))
+
+
+# Names that are paired first, times ``top``, to learn what the last place takes.
+FIRST_NAMES = 4
+
+
+def _top_pairs(g: DataFrame, group: str, top: int) -> DataFrame:
+    """The first ``top`` pairs by count, then names, without pairing all names.
+
+    A pair shares at most as many groups as the rarer of its names has.  The pairs
+    among the most frequent names give ``top`` candidates; the last one (count ``low``,
+    first name ``last``) bounds all others: a pair that comes before it has two names
+    with more than ``low`` groups, or two with at least ``low`` and a first name up to
+    ``last``.  Only those are paired, so the answer is exact.
+    """
+    sizes = g.groupBy("nm").agg(F.count(F.lit(1)).alias("c"))
+    g = g.join(sizes, "nm").checkpoint(eager=True)
+    first = sizes.orderBy(F.desc("c"), "nm").limit(FIRST_NAMES * top).select("nm")
+    seeds = _scored(pairs_within_groups(g.join(F.broadcast(first), "nm", "left_semi"), group, "nm"))
+    best = order_by_count(seeds, "common_topics", "tech_a", "tech_b").limit(top).collect()  # ``top`` rows
+    if len(best) < top:  # too few pairs to bound the others
+        pairs = pairs_within_groups(g, group, "nm")
+    else:
+        low, last = best[-1]["common_topics"], best[-1]["tech_a"]
+        pairs = pairs_within_groups(g.where(F.col("c") >= low), group, "nm",
+                                    left_where=(F.col("c") > low) | (F.col("nm") <= last))
+        pairs = pairs.where((F.least("l_c", "r_c") > low) | (F.col("l_nm") <= last))
+    return order_by_count(_scored(pairs), "common_topics", "tech_a", "tech_b").limit(top)
 
 
 def tech_pairs_shared_topics(work: DataFrame, mention: DataFrame,
