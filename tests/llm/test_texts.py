@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import html
 import re
@@ -123,7 +124,11 @@ def test_scan_and_redact_tables(spark, edge, empty, documents):
 class Brute(HTMLParser):
     """Article text by the standard parser, for pages with marked articles."""
 
-    BLOCK = hw.BLOCKS | {"br", "hr"}
+    # What the given pages hold, listed here and not taken from the implementation.
+    BLOCK = set("""html head body header nav footer aside article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd
+                table thead tbody tr td th form figure figcaption blockquote pre br hr""".split())
+    APART = {"nav", "header", "footer", "aside", "form", "button"}
+    CLASSES = {"ad", "ads", "sidebar", "comments", "comment", "cookie", "newsletter", "related", "share", "notice"}
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -137,7 +142,7 @@ class Brute(HTMLParser):
         if tag == "article":
             self.article += 1
         words = re.split(r"[^a-z]+", " ".join(str(v) for k, v in attrs if k in ("class", "id")).lower())
-        if tag in hw.APART or set(words) & hw.APART_WORDS:
+        if tag in self.APART or set(words) & self.CLASSES:
             self.skip.append(tag)
 
     def handle_endtag(self, tag):
@@ -189,6 +194,77 @@ def test_parts_of_a_page():
     assert hw.main_text(long, None) == " ".join(f"h{k} text {k}" for k in range(3000))
 
 
+def read(pages):
+    """The text of each page, by the wrapper and the kind of container of all."""
+    trees = [hw.parse(p) for p in pages]
+    wrapper = functools.reduce(hw.aligned, [hw.expression(t[1]) for t in trees])
+    kind = hw._kind([sum(m) for m in zip(*map(hw.masses, trees), strict=True)])
+    return [hw.main_text(p, hw.to_text(wrapper), kind) for p in pages]
+
+
+MARKED = [  # page with the number k, its text
+    ('<article class="teaser">Other</article><main><h1>T{k}</h1><p>story {k}</p></main>', "T{k} story {k}"),
+    ("<article>Other</article><main><h1>T{k}</h1><p>the long story {k}</p></main>", "T{k} the long story {k}"),
+    ('<main><div>Path</div><article><p>the story {k}</p></article></main>', "the story {k}"),
+    ('<article><section id="related-work">r {k}</section><p class="market-share">m</p></article>', "r {k} m"),
+    ('<article>t {k}<h2 id="Alert_systems">A</h2><p id="notice">n</p><span class="reply"> r</span></article>', "t {k} A n r"),
+    ('<article>t {k}<div class="widget-text">w</div><section id="recommendations">x</section></article>', "t {k} w x"),
+    ('<article>t {k}<svg><title>no</title><text>s</text></svg><math><mi>x</mi></math></article>', "t {k}sx"),
+    ('<form><nav>Menu</nav><article>in a form {k}</article></form>', "in a form {k}"),
+    ('<article>t {k}<form>Ask us</form><div class="cookie-banner">c</div><div class="ad">b {k}</div></article>', "t {k}"),
+    ('<article>t {k}<div class="share-buttons">s</div><div id="comments">c {k}</div><p class="notice">n</p></article>', "t {k}"),
+    ('<article>t {k}<div class="mid-article-ad">a</div><ul class="social-links"><li>f</ul></article>', "t {k}"),
+    ("<div>" * 50 + "<article><p>deep {k}</p></article>" + "</div>" * 50 + "<div>Legal</div>", "deep {k}"),
+    ("<div>" * 10 + "<article><p>deep {k}</p></article>" + "</div>" * 10 + "<div>Legal</div>", "deep {k}")]
+
+
+@pytest.mark.parametrize(("page", "text"), MARKED)
+def test_pages_with_a_container(page, text):
+    assert read([page.format(k=k) for k in range(4)]) == [text.format(k=k) for k in range(4)]
+
+
+def paragraphs(tag, k, n):
+    return "".join(f"<{tag}>par {k} {j}</{tag}>" for j in range(n)), " ".join(f"par {k} {j}" for j in range(n))
+
+
+def test_pages_without_a_container():
+    """Constants of the template go, in whatever element; all else stays."""
+    assert read([f"<div>Site name</div><div>story {k}</div><div>Contact us</div>" for k in range(5)]) == [
+        f"story {k}" for k in range(5)]
+    assert read([f"<body>\n<div>story {k}</div>\nby author {k}\n<div>footer</div></body>" for k in range(5)]) == [
+        f"story {k} by author {k}" for k in range(5)]
+    for tag, sizes in (("p", [1, 3, 2, 0, 7]), ("div", [1, 31, 61, 2, 500])):
+        pages = [(f"<ul><li><a>Home</a><li>News <b>now</b></ul><div>Path</div>{paragraphs(tag, k, n)[0]}"
+                  "<div>Contact</div><ul><li>About<li>Imprint</ul>", paragraphs(tag, k, n)[1]) for k, n in enumerate(sizes)]
+        assert read([p for p, _ in pages]) == [t for _, t in pages]
+    # A text that only resembles the template, or that a page alone has, stays.
+    assert read(["<div>Site</div><p>a</p>", "<div>Site!</div><p>b</p>", "<div>Site</div><p>c</p><h2>only here</h2>"]) == [
+        "Site a", "Site! b", "Site c only here"]
+    # One page, or equal pages, say nothing about a template.
+    assert read(["<div>Site</div><p>a</p>"] * 3) == ["Site a"] * 3
+
+
+def test_long_and_repeated_pages(spark):
+    long, text = paragraphs("p", 1, 20_000)
+    rows = [(1, "http://h/1", f"<div>Top</div>{long}")] * 2 + [(2, "http://h/2", "<div>Top</div><p>short</p>"),
+                                                               (None, "http://h/3", ""), (3, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [(r["page_id"], r["__llm_text"]) for r in hw.extracted(df).collect()]
+    assert sorted(got, key=repr) == sorted([(1, text), (1, text), (2, "short"), (None, ""), (3, "")], key=repr)
+
+
+def test_the_kind_of_container_is_the_hosts(spark):
+    """A short story is read from the host's containers, though a longer teaser
+    stands beside it on that page."""
+    def page(story):
+        return f"<article>{'teaser ' * 20}</article><main>{story}</main>"
+    stories = [f"story {k} " + "long " * 100 for k in range(5)] + ["short story"]
+    df = spark.createDataFrame([(k, "http://h/x", page(t)) for k, t in enumerate(stories)],
+                               "page_id long, url string, html string").repartition(4)
+    assert {r["page_id"]: r["__llm_text"] for r in hw.extracted(df).collect()} == {
+        k: " ".join(t.split()) for k, t in enumerate(stories)}
+
+
 def stream(items):
     """All label sequences of length 1 that an expression requires."""
     return [(i[0], i[1], i[2]) for i in items]
