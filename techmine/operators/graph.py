@@ -54,21 +54,14 @@ def truthy(c: Column, numeric: bool = False) -> Column:
 def plain_double(c: Column) -> Column:
     """Lexical form of a double: plain digits from 1e-4 to below 1e16, else the
     shortest digits with a signed exponent of two digits or more."""
-    s = c.cast("double").cast("string")
-    parts = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
-    sign, lead, e = (F.regexp_extract(s, parts, k) for k in (1, 2, 4))
-    rest = F.regexp_replace(F.regexp_extract(s, parts, 3), "0+$", "")
-    e = e.try_cast("int")
-    digits = F.concat(lead, rest)
-    whole = F.rpad(F.substring(digits, F.lit(1), e + 1), e + 1, F.lit("0"))
-    tail = F.substring(digits, e + 2, F.lit(1 << 20))
-    large = F.concat(sign, whole, F.lit("."), F.when(tail == "", "0").otherwise(tail))
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
-    power = F.concat(F.when(e < 0, "-").otherwise("+"), F.lpad(F.abs(e).cast("string"),
-                     F.greatest(F.lit(2), F.length(F.abs(e).cast("string"))), F.lit("0")))
-    scientific = F.concat(sign, lead, F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.lit("e"), power)
-    return (F.when(~s.contains("E"), s).when((e >= 0) & (e < 16), large).when((e < 0) & (e >= -4), small)
-             .otherwise(scientific))
+    # Short on purpose: it is evaluated inside the one generated method per work.
+    s, size = c.cast("double").cast("string"), F.abs(c.cast("double"))
+    # 17 digits before the point and 21 behind hold every shortest form of the range.
+    plain = F.regexp_replace(s.try_cast("decimal(38,21)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    scientific = s
+    for form, to in ((r"\.0E", "E"), ("E([0-9])", r"e+$1"), ("E-([0-9])$", r"e-0$1"), ("E-", "e-")):
+        scientific = F.regexp_replace(scientific, form, to)
+    return F.when(~s.contains("E"), s).when((size >= 1e-4) & (size < 1e16), plain).otherwise(scientific)
 
 
 def _t(pred: str, obj: Column, kind: str, datatype: str | None = None) -> Column:

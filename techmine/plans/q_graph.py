@@ -128,11 +128,8 @@ def inverse_edges(spark, base):
 def _stored_graph(spark, base, tech_name: str):
     """Export the whole graph once (partitioned by predicate) and read it back,
     as a graph store would hold it; pattern scans then prune by ``p``."""
-    g = G.graph(topic=S.topic(spark, base), edge=_edges(spark, base),
-                technology=S.technology(spark, base, tech_name), work=S.work(spark, base),
-                mention=S.mention(spark, base))
     path = shared_dir(spark, "graph")
-    G.write_triples(g, path)
+    G.write_triples(_whole_graph(spark, base, tech_name), path)
     return G.read_triples(spark, path)
 
 
@@ -190,9 +187,23 @@ def tech_pairs_shared_topics_triples(spark, base):
     return tech_pairs_from_graph(_stored_graph(spark, base, "p_name"))
 
 
-@query("ntriples_roundtrip", ENTITY_TRIPLES_SQL)
+WHOLE_GRAPH_SQL = f"""
+WITH w AS ({WORK_SQL})
+SELECT DISTINCT * FROM ({TOPIC_TRIPLES_SQL} UNION ALL {TECH_TRIPLES_SQL} UNION ALL {WORK_TRIPLES_SQL}
+  UNION ALL {MENTION_TRIPLES_SQL} UNION ALL SELECT * FROM ({EDGE_TRIPLES_SQL}))
+"""
+
+
+def _whole_graph(spark, base, tech_name: str = "p_name"):
+    """All five families."""
+    return G.graph(topic=S.topic(spark, base), edge=_edges(spark, base),
+                   technology=S.technology(spark, base, tech_name), work=S.work(spark, base),
+                   mention=S.mention(spark, base))
+
+
+@query("ntriples_roundtrip", WHOLE_GRAPH_SQL)
 def ntriples_roundtrip(spark, base):
-    g = entity_triples(spark, base)
+    g = _whole_graph(spark, base)
     path = shared_dir(spark, "ntriples")
     write_ntriples(g, path)
     return read_ntriples(spark, path)
@@ -214,8 +225,7 @@ def _esc_sql(x: str) -> str:
 
 
 TURTLE_SQL = f"""
-WITH t AS (SELECT DISTINCT * FROM ({TOPIC_TRIPLES_SQL} UNION ALL {TECH_TRIPLES_SQL}
-           UNION ALL SELECT * FROM ({EDGE_TRIPLES_SQL}))),
+WITH t AS ({WHOLE_GRAPH_SQL}),
 po AS (SELECT s, p, o,
          (CASE WHEN p = '{G.RDF_TYPE}' THEN 'a' ELSE {_short_sql('p')} END) || ' ' ||
          (CASE WHEN o_kind = 'iri' THEN {_short_sql('o')}
@@ -230,9 +240,7 @@ FROM po GROUP BY s
 
 @query("turtle_blocks", TURTLE_SQL)
 def turtle_blocks_query(spark, base):
-    g = G.graph(topic=S.topic(spark, base), edge=_edges(spark, base),
-                technology=S.technology(spark, base, "p_name"))
-    return turtle_blocks(g)
+    return turtle_blocks(_whole_graph(spark, base))
 
 
 @query("patterns_in_any_order", """

@@ -31,4 +31,5 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so its decorators run."""
-    from techmine.plans import q_curation, q_graph, q_model, q_reports, q_sources, q_text, q_vectors  # noqa: F401
+    from techmine.plans import (  # noqa: F401
+        q_curation, q_graph, q_kept, q_model, q_reports, q_sources, q_text, q_vectors)
