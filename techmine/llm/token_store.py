@@ -1,7 +1,7 @@
 """Binary token store with a minimal perfect hash index.
 
 Payload: shards of raw ids in ascending document order, one per range of ids of
-documents, written as the texts are encoded (unsigned 16-bit where the
+documents, written from the encoded texts (unsigned 16-bit where the
 vocabulary allows, else 32-bit, little-endian).  Index: keys are hashed into
 buckets of bounded size; each bucket has a file with a minimal perfect hash
 (bit arrays by level: a key sits in the first level where it is alone in its
@@ -134,7 +134,18 @@ class TokenStore:
     entries: DataFrame  # id, occurrence, shard, offset, length, start
 
 
-def _write_shards(folder: str, tokenizer_path: str, end_id: int, width: int):
+def _encode_texts(tokenizer_path: str, end_id: int, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = encode(tokenizer_path, b.column(1).to_pylist(), end_id)
+            if width != 4:
+                ids = [np.frombuffer(i, "<u4").astype("<u2").tobytes() for i in ids]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(ids, pa.binary())],
+                                             ["id", "tie", "payload"])
+    return run
+
+
+def _write_shards(folder: str, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, at, file = None, 0, ""
         for b in batches:
@@ -144,16 +155,16 @@ def _write_shards(folder: str, tokenizer_path: str, end_id: int, width: int):
                 file = f"{folder}/shard-{int(b.column(2)[0].as_py()):06d}-{uuid.uuid4().hex[:12]}.bin"
                 out = open_write(file)
             offsets, lengths = [], []
-            for ids in encode(tokenizer_path, b.column(1).to_pylist(), end_id):
+            for ids in b.column(1):
+                raw = ids.as_py()
                 offsets.append(at)
-                lengths.append(len(ids) // 4)
-                at += len(ids) // 4
-                out.write(ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes())
-            if len(offsets):
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(2).cast(pa.int32()), pa.array([file] * len(b)),
-                     pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())],
-                    ["id", "shard", "file", "offset", "length"])
+                lengths.append(len(raw) // width)
+                at += len(raw) // width
+                out.write(raw)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(2).cast(pa.int32()), pa.array([file] * len(b)),
+                 pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())],
+                ["id", "shard", "file", "offset", "length"])
         if out is not None:
             out.close()
     return run
@@ -216,9 +227,13 @@ def write_store(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", te
     order = [F.col("id").asc_nulls_first(), F.col("tie")]
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"),
                        F.xxhash64(text).alias("tie"))
-    ranged = (rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                  .select("id", "text", F.spark_partition_id().alias("shard")))
-    written = stored(ranged.mapInArrow(_write_shards(f"{folder}/payload", tokenizer_path, end_id, width),
+    # Encoded where they are read: ids take less room than texts, and no task sorts
+    # texts while its worker encodes.
+    coded = stored(rows.select("id", "text", "tie").mapInArrow(_encode_texts(tokenizer_path, end_id, width),
+                                                               "id long, tie long, payload binary"), "encoded")
+    ranged = (coded.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                   .select("id", "payload", F.spark_partition_id().alias("shard")))
+    written = stored(ranged.mapInArrow(_write_shards(f"{folder}/payload", width),
                                        "id long, shard int, file string, offset long, length long"), "manifest")
     # One row per shard: bounded by the number of tasks.
     shards = written.groupBy("shard", "file").agg(F.sum("length").alias("ids"))

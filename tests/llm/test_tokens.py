@@ -227,3 +227,12 @@ def test_codec_tables(spark, edge, empty):
     back = {r["doc_id"]: r["text"] for r in sc.decoded(sc.encoded(edge, PIECE), PIECE).collect()}
     assert back == {i: t or "" for i, t, _ in EDGE}
     assert sc.encoded(empty, PIECE).count() == 0
+
+
+def test_texts_are_encoded_where_they_are_read(spark, edge, monkeypatch):
+    """No task sorts texts while its worker encodes: what is sorted are ids."""
+    plans, stored = {}, ts.stored
+    monkeypatch.setattr(ts, "stored", lambda df, name: (
+        plans.update({name: df._jdf.queryExecution().toString()}), stored(df, name))[1])
+    ts.write_store(edge, WORD)
+    assert "Exchange rangepartitioning" in plans["manifest"] and "text#" not in plans["manifest"]
