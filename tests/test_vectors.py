@@ -118,3 +118,44 @@ def test_recall_of_the_given_tables(spark):
         index, asked = V.build_index(rows, 16), rows.where("id % 20 = 0")
         r = V.recall(V.nearest(index, asked), V.nearest(index, asked, exact=True)).first()
         assert r.n_queries == asked.count() and r.recall >= 0.9
+
+
+def test_queries_that_are_not_broadcast_move_no_rows(spark, monkeypatch):
+    """Queries beyond the broadcast bound: rows of an index stay where they are, and
+    no task gathers a list with its queries."""
+    from techmine.operators import joins
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 1)
+    x = blobs(240, 5, 7)
+    rows = V.points(frame(spark, x), unit=True)
+    index = V.build_index(rows, 7)
+    got = V.nearest(index, rows.where("id % 20 = 0"), 3, exact=True)
+    plan = got._jdf.queryExecution().toString()
+    assert "hashpartitioning(list" not in plan and "SortMergeJoin [list" not in plan
+    want = brute_nearest(x, list(range(240)), range(0, 240, 20))
+    assert {r["id"]: r["nearest_id"] for r in got.collect()} == {q: k for q, (k, _) in want.items()}
+
+
+def test_blocks_keep_ties_and_repeated_ids(spark):
+    """Equal vectors, equal ids with other vectors, and null ids, over several blocks."""
+    rng = np.random.default_rng(4)
+    pool = rng.normal(size=(30, 4))
+    data = [(int(i) if i % 37 else None, [float(v) for v in pool[rng.integers(30)]], "") for i in rng.integers(0, 500, 900)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, cluster string")
+    rows = V.points(df, unit=True)
+    got = {r["id"]: (r["nearest_id"], r["distance"]) for r in V.nearest(
+        V.build_index(rows, 5), rows.where("id % 20 = 0"), 2, exact=True).collect()}
+    held = [(r["id"], r["vector"]) for r in rows.collect() if r["id"] is not None]
+
+    def cost(a, b):
+        total = 0.0
+        for p, q in zip(a, b, strict=True):
+            total += (p - q) * (p - q)
+        return total
+
+    want = {}
+    for q, v in held:
+        if q % 20 == 0:
+            best = min((cost(v, w), i) for i, w in held if i != q)
+            want[q] = min(want.get(q, best), best)
+    assert {q: i for q, (i, _) in got.items()} == {q: i for q, (_, i) in want.items()}
+    assert all(got[q][1] == np.sqrt(c) for q, (c, _) in want.items())
