@@ -11,7 +11,9 @@ its smallest class is compared with every other one on the full sets (a star),
 and the links found are joined into components.  Pairs across components of a
 bucket then remain.  They are held against each other by parities, short bit
 vectors that bound the difference of two sets from below: only pairs that can
-still be linked become rows, and these are verified on the full sets.
+still be linked become rows, and these are verified on the full sets.  A few members of
+a bucket at a time meet the others, and the links found join components before more
+do, so a large group of near copies does not come out pair by pair.
 
 With 42 bands of 6 rows a pair at similarity 0.8 shares no bucket with
 probability 3e-6, at 0.85 with 3e-9; set equality never misses.
@@ -30,7 +32,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from techmine.llm.common import prepare, small_side, stored
@@ -41,6 +43,7 @@ BANDS, ROWS = 42, 6
 MOST_CELLS = 1 << 14   # of a parity; larger sets share cells, which only rules less out
 SEED = 20240607
 WORD_CACHE = 300_000
+FEW = (1, 8, 64)       # members of a bucket that meet the others, round by round; then all
 
 _U64 = np.uint64
 _M1, _M2 = _U64(0x9E3779B97F4A7C15), _U64(0xC2B2AE3D27D4EB4F)
@@ -192,28 +195,52 @@ def components_of_classes(docs: DataFrame, classes: DataFrame, signed: DataFrame
                     .select("a", F.col("id").alias("b")).distinct())
     found = corpus.verified(pairs).where("linked").select("a", "b")
     labels = stored(components(found), "labels")
-    members = _open_buckets(members, labels)
+    members = _open_buckets(members.where("id <> a").select("id", "n", "key"), labels)
     if members.isEmpty():
         return labels
-    more = corpus.verified(_across(corpus, members, similarity)).where("linked").select("a", "b")
-    if more.isEmpty():
-        return labels
-    # Stars of the components found so far stand for their links.
-    spanning = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    return stored(components(spanning.union(more)), "labels")
+    cells = stored(corpus.rows.join(small_side(stored(members.select("id").distinct(), "left")), "id", "left_semi")
+                   .mapInArrow(_parities(corpus.width), "id long, cells array<long>"), "cells")
+    for few in (*FEW, None):
+        outside = _outside(members, few)
+        more = corpus.verified(_across(outside, members, cells, similarity)).where("linked").select("a", "b")
+        if not more.isEmpty():
+            # Stars of the components found so far stand for their links.
+            spanning = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+            labels = stored(components(spanning.union(more)), "labels")
+        if few is None:
+            break
+        met = outside.select("key", "id")
+        members = _open_buckets(members.select("id", "n", "key").join(met, ["key", "id"], "left_anti"), labels)
+        if members.isEmpty():
+            break
+    return labels
 
 
 def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, id, n, component) of buckets with a pair across components that was not
-    compared; the centre has been compared with all and is left out."""
+    compared; ``members`` (id, n, key) are those that have not met all others."""
     labels = labels.select(F.col("node").alias("id"), "component")
-    tagged = (members.where("id <> a").select("id", "n", "key").join(labels, "id", "left")
+    tagged = (members.join(labels, "id", "left")
                      .withColumn("component", F.coalesce("component", "id")))
     tagged = stored(tagged, "tagged")
     state = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     return stored(tagged.join(state.where("lo < hi").select("key"), "key"), "members")
 
 
+def _outside(members: DataFrame, few: int | None) -> DataFrame:
+    """The rows of ``members`` outside the most frequent component of their bucket, at
+    most ``few`` of each bucket."""
+    per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m")).select(
+        "key", F.col("m.component").alias("main"))
+    out = members.join(stored(main, "main"), "key").where("component <> main").drop("main")
+    if few is not None:
+        # The same ids in all buckets, so that these compare fewer pairs.
+        out = out.withColumn("at", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")))
+        out = out.where(F.col("at") <= few).drop("at")
+    return stored(out, "outside")
+
+
 def parity(shingles: np.ndarray, bits: int) -> np.ndarray:
     """For each of ``bits`` hash cells, whether an odd number of shingles lies in
     it, as 64-bit words.  Cells where two sets differ are at most as many as the
@@ -255,24 +282,17 @@ def _differing(x: Column, y: Column) -> Column:
              .when(2 * F.size(x) == F.size(y), count(x, fold(y))).otherwise(F.lit(0)))
 
 
-def _across(corpus: _Corpus, members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _across(outside: DataFrame, members: DataFrame, cells: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Candidate pairs (a, b) of a bucket across components, without loss.
 
-    In each bucket the members outside its most frequent component meet the others;
-    a pair comes out only if the sizes and the parities of both sets leave room for
-    the similarity.  A pair of this similarity differs in few shingles, so in few
-    cells; one that falls short is ruled out by the cells with near certainty, and
-    one that is linked never.
+    In each bucket the rows of ``outside`` meet the other members; a pair comes out
+    only if the sizes and the parities of both sets leave room for the similarity.  A
+    pair of this similarity differs in few shingles, so in few cells; one that falls
+    short is ruled out by the cells with near certainty, and one that is linked never.
     """
     num, den = similarity
-    cells = stored(corpus.rows.join(small_side(stored(members.select("id").distinct(), "left")), "id", "left_semi")
-                   .mapInArrow(_parities(corpus.width), "id long, cells array<long>"), "cells")
-    per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = stored(per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m")).select(
-        "key", F.col("m.component").alias("main")), "main")
-    rows = stored(members.join(cells, "id"), "cell-members")
-    x = rows.join(main, "key").where("component <> main").drop("main")
-    y = rows.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component", "cells")])
+    x = outside.join(cells, "id")
+    y = members.join(cells, "id").select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component", "cells")])
     room = (F.lit(den) * F.least("n", "n2") >= F.lit(num) * F.greatest("n", "n2"))
     near = F.lit(num + den) * _differing(F.col("cells"), F.col("cells2")) <= F.lit(den - num) * (F.col("n") + F.col("n2"))
     pairs = x.join(y, (x["key"] == y["key"]) & (F.col("component") != F.col("component2")) & room & near)

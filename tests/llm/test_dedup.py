@@ -200,3 +200,21 @@ def test_group_of_variants_equals_all_pairs(spark, documents):
                for q in cm.near_classes(documents(spark, rows), width).collect()}
         assert got == near([(i, t) for i, t, _ in rows], width)
         assert 3 < len({c for _, c, _ in got.values()}) < len(rows) - 10
+
+
+def test_large_group_does_not_come_out_pair_by_pair(spark, documents, monkeypatch):
+    """A group of near copies whose smallest document is linked with none of them: the
+    pairs that are verified stay near the number of documents."""
+    monkeypatch.setattr(cm, "band_keys", lambda sig, bands, rows: np.zeros(1, np.uint64))
+    monkeypatch.setattr(cm, "BANDS", 1)
+    seen = []
+    verified = cm._Corpus.verified
+    monkeypatch.setattr(cm._Corpus, "verified", lambda self, pairs: (
+        seen.append(pairs.count()), verified(self, pairs))[1])
+    base = [f"b{k}" for k in range(100)]
+    rows = [(0, " ".join(f"other{k}" for k in range(100)), "s")]
+    rows += [(k, " ".join([*base[:-1], f"x{k}"]), "s") for k in range(1, 121)]
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"], x["kept"])
+           for x in cm.near_classes(documents(spark, rows), width=2).collect()}
+    assert got == near([(i, t) for i, t, _ in rows], 2)
+    assert sum(seen) <= 4 * len(rows)
