@@ -34,8 +34,9 @@ def ntriples_lines(triples: DataFrame) -> DataFrame:
                              F.lit(" .")).alias("value"))
 
 
-def write_ntriples(triples: DataFrame, path: str) -> None:
-    ntriples_lines(triples).write.mode("overwrite").text(path)
+def write_ntriples(triples: DataFrame, path: str, compression: str = "none") -> None:
+    """Lines as text files; ``read_ntriples`` tells the compression by their names."""
+    ntriples_lines(triples).write.mode("overwrite").text(path, compression=compression)
 
 
 def _short(c: Column) -> Column:

@@ -279,3 +279,19 @@ def test_turtle_blocks_read_back_as_the_same_triples(spark):
     g = G.graph(topic=topic, edge=edge, work=work, mention=mention)
     blocks = [r["block"] for r in turtle_blocks(g).collect()]
     assert _parse_turtle_blocks(blocks) == set(rows(g))
+
+
+def test_compressed_ntriples_read_back_as_the_same_triples(spark, tmp_path):
+    work = spark.range(2000).select("id", F.concat(F.lit("x"), "id").alias("doi"), F.lit(None).cast("string").alias("source_url"),
+                                    F.lit('a "quote"\n').alias("title"), F.lit("").alias("abstract"),
+                                    F.lit("2001-02-03").alias("published"), F.lit("en").alias("language"),
+                                    F.lit(3).cast("long").alias("citations"), F.lit(1.5).alias("fwci"),
+                                    F.lit(4).cast("long").alias("topic_id"))
+    g = G.graph(work=work)
+    sizes = {}
+    for kind in ("none", "gzip"):
+        path = tmp_path / kind
+        write_ntriples(g, str(path), compression=kind)
+        sizes[kind] = sum(f.stat().st_size for f in path.glob("part-*"))
+        assert rows(read_ntriples(spark, str(path)).fillna("")) == rows(g.fillna(""))
+    assert sizes["gzip"] * 4 < sizes["none"]
