@@ -23,6 +23,7 @@ from __future__ import annotations
 import io
 import struct
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -134,14 +135,26 @@ class TokenStore:
     entries: DataFrame  # id, occurrence, shard, offset, length, start
 
 
-def _encode_texts(tokenizer_path: str, end_id: int, width: int):
+def _range_starts(keys: DataFrame, n: int, order: list) -> list[tuple]:
+    """First (id, tie) of every range but the first, of ``n`` ranges of about the same
+    number of rows; only keys are moved, one row per range reaches the driver."""
+    ranged = keys.repartitionByRange(n, *order).withColumn("range", F.spark_partition_id())
+    key = F.struct(F.col("id").isNotNull().alias("known"), F.coalesce("id", F.lit(0)).alias("id"), "tie")
+    starts = ranged.groupBy("range").agg(F.min(key).alias("k")).select("k.*").collect()
+    return sorted(tuple(r) for r in starts)[1:]
+
+
+def _encode_texts(tokenizer_path: str, end_id: int, width: int, starts: list[tuple]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            keys = zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)
+            shards = [bisect_right(starts, (i is not None, i or 0, t)) for i, t in keys]
             ids = encode(tokenizer_path, b.column(1).to_pylist(), end_id)
             if width != 4:
                 ids = [np.frombuffer(i, "<u4").astype("<u2").tobytes() for i in ids]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(ids, pa.binary())],
-                                             ["id", "tie", "payload"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(2), pa.array(shards, pa.int32()), pa.array(ids, pa.binary())],
+                ["id", "tie", "shard", "payload"])
     return run
 
 
@@ -229,10 +242,10 @@ def write_store(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", te
                        F.xxhash64(text).alias("tie"))
     # Encoded where they are read: ids take less room than texts, and no task sorts
     # texts while its worker encodes.
-    coded = stored(rows.select("id", "text", "tie").mapInArrow(_encode_texts(tokenizer_path, end_id, width),
-                                                               "id long, tie long, payload binary"), "encoded")
-    ranged = (coded.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                   .select("id", "payload", F.spark_partition_id().alias("shard")))
+    starts = _range_starts(rows.select("id", "tie"), n, order)
+    coded = rows.select("id", "text", "tie").mapInArrow(
+        _encode_texts(tokenizer_path, end_id, width, starts), "id long, tie long, shard int, payload binary")
+    ranged = coded.repartitionById(n, F.col("shard")).sortWithinPartitions(*order).select("id", "payload", "shard")
     written = stored(ranged.mapInArrow(_write_shards(f"{folder}/payload", width),
                                        "id long, shard int, file string, offset long, length long"), "manifest")
     # One row per shard: bounded by the number of tasks.
