@@ -43,7 +43,7 @@ BANDS, ROWS = 42, 6
 MOST_CELLS = 1 << 14   # of a parity; larger sets share cells, which only rules less out
 SEED = 20240607
 WORD_CACHE = 300_000
-FEW = (1, 8, 64)       # members of a bucket that meet the others, round by round; then all
+FEW = (2, 128, None)   # members of a bucket that meet the others, round by round; None: all
 
 _U64 = np.uint64
 _M1, _M2 = _U64(0x9E3779B97F4A7C15), _U64(0xC2B2AE3D27D4EB4F)
@@ -200,14 +200,14 @@ def components_of_classes(docs: DataFrame, classes: DataFrame, signed: DataFrame
         return labels
     cells = stored(corpus.rows.join(small_side(stored(members.select("id").distinct(), "left")), "id", "left_semi")
                    .mapInArrow(_parities(corpus.width), "id long, cells array<long>"), "cells")
-    for few in (*FEW, None):
-        outside = _outside(members, few)
+    for few in FEW:
+        outside, every = _outside(members, few)
         more = corpus.verified(_across(outside, members, cells, similarity)).where("linked").select("a", "b")
         if not more.isEmpty():
             # Stars of the components found so far stand for their links.
             spanning = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
             labels = stored(components(spanning.union(more)), "labels")
-        if few is None:
+        if every:
             break
         met = outside.select("key", "id")
         members = _open_buckets(members.select("id", "n", "key").join(met, ["key", "id"], "left_anti"), labels)
@@ -227,18 +227,22 @@ def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(tagged.join(state.where("lo < hi").select("key"), "key"), "members")
 
 
-def _outside(members: DataFrame, few: int | None) -> DataFrame:
+def _outside(members: DataFrame, few: int | None) -> tuple[DataFrame, bool]:
     """The rows of ``members`` outside the most frequent component of their bucket, at
-    most ``few`` of each bucket."""
+    most ``few`` of each bucket, and whether these are all.  All are taken at once if
+    they meet no more rows than ``few`` of each bucket may."""
     per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m")).select(
-        "key", F.col("m.component").alias("main"))
-    out = members.join(stored(main, "main"), "key").where("component <> main").drop("main")
+    main = stored(per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.sum("c").alias("size")).select(
+        "key", F.col("m.component").alias("main"), "size", (F.col("size") - F.col("m.c")).alias("apart")), "main")
+    if few is not None:
+        total, rows = main.agg(F.sum(F.col("apart") * F.col("size").cast("double")), F.sum("size")).first()
+        few = None if total <= few * rows else few
+    out = members.join(main.select("key", "main"), "key").where("component <> main").drop("main")
     if few is not None:
         # The same ids in all buckets, so that these compare fewer pairs.
         out = out.withColumn("at", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")))
         out = out.where(F.col("at") <= few).drop("at")
-    return stored(out, "outside")
+    return stored(out, "outside"), few is None
 
 
 def parity(shingles: np.ndarray, bits: int) -> np.ndarray:

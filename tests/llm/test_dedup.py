@@ -218,3 +218,19 @@ def test_large_group_does_not_come_out_pair_by_pair(spark, documents, monkeypatc
            for x in cm.near_classes(documents(spark, rows), width=2).collect()}
     assert got == near([(i, t) for i, t, _ in rows], 2)
     assert sum(seen) <= 4 * len(rows)
+
+
+def test_few_comparisons_take_one_round(spark, documents, monkeypatch):
+    """Buckets whose members are never linked: while all of them meet as few rows as one
+    round may, the other rounds do not run."""
+    monkeypatch.setattr(cm, "band_keys", lambda sig, bands, rows: sig[:1].astype(np.uint64) % np.uint64(16))
+    monkeypatch.setattr(cm, "BANDS", 1)
+    rounds = []
+    across = cm._across
+    monkeypatch.setattr(cm, "_across", lambda *a: (rounds.append(1), across(*a))[1])
+    r = random.Random(4)
+    rows = [(k, " ".join(f"v{r.randrange(3000)}" for _ in range(30)), "s") for k in range(50)]
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"], x["kept"])
+           for x in cm.near_classes(documents(spark, rows), width=2).collect()}
+    assert got == near(rows, 2)
+    assert 1 <= len(rounds) <= 2
