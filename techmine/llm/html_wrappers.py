@@ -13,10 +13,11 @@ into partial wrappers, whose size does not depend on the number of pages; the
 partial wrappers of a host are aligned with each other in two rounds, first by
 salted parts and then by host.
 
-A page is then read with its host's wrapper.  Which kind of container holds the
-articles of a host is decided over all its pages, by the text that each kind
-holds.  A page without a container is aligned with the wrapper, and a text goes
-only if it equals the constant in its place.  Texts that only some pages have are kept,
+A page is then aligned with its host's wrapper, and a text goes only if it equals the
+constant in its place.  Which kind of container holds the articles of a host is
+decided over all its pages, by the text that each kind holds; there constants go
+that stand in boxes of their own, not those of the container itself or of paragraphs,
+headings, lists and tables: an article may open like all others of its host.  Texts that only some pages have are kept,
 so a host with one page of another kind keeps its template texts there.
 
 Defined results: null html gives the empty text; a null or odd url belongs to
@@ -72,6 +73,8 @@ mid middle mobile more news outer page panel posts primary reader right row seco
 story strip tools top unit user wrap wrapper you""".split())
 # Elements that carry article text themselves; their ids name what is written there.
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6".split())
+# In a container of articles, texts in these stay even where all pages have them.
+CARRIES = TEXTUAL | frozenset("li dt dd th td caption figcaption blockquote pre details summary".split())
 NOT_A_PART = ("has-", "with-", "no-", "is-", "hide-", "show-")
 # Containers of articles, best first: by tag or role, then by class or id.
 ARTICLE_WORDS = frozenset("""article article-body article-content articlebody post post-body post-content entry
@@ -453,16 +456,17 @@ def _places(kids: list, items: list[tuple | None], flat: list[tuple], groups: di
 
 
 def _emit(root: list, items: tuple, kind: str | None, template: bool) -> str:
-    """The text of the article.  With ``kind`` it is that inside containers of this
-    kind, else the whole page, read along the wrapper if ``template``."""
+    """The text of the article, read along the wrapper if ``template``.  With ``kind`` it
+    is that inside containers of this kind, else the whole page.  Texts are ``carried``
+    by a container (1: those directly in it) or an element of an article (2: all)."""
     out: list[str] = []
-    stack: list = [(root, items, kind is None, 0)]
+    stack: list = [(root, items, kind is None, 0, 0)]
     while stack:
         top = stack.pop()
         if type(top) is str:
             out.append(top)
             continue
-        node, wrapper, inside, depth = top
+        node, wrapper, inside, depth, carried = top
         kids = node[1]
         places: list = [None] * len(kids)
         if template and wrapper and depth <= MAX_DEPTH:
@@ -474,18 +478,20 @@ def _emit(root: list, items: tuple, kind: str | None, template: bool) -> str:
         for kid, place in zip(kids, places, strict=True):
             if kid[0] == TEXT:
                 # A text of the template is on all pages, and this page has it too.
-                if inside and not (place and not place[2] and place[3] is not None and place[3] == _checksum(kid)):
+                if inside and (carried or not (
+                        place and not place[2] and place[3] is not None and place[3] == _checksum(kid))):
                     todo.append("".join(kid[1]))
             elif not kid[0].endswith("!x") and not (kid[0].endswith("!y") and (kind is None or not inside)):
                 tag, _, part = kid[0].partition("!")
-                here = (kid, place[4] if place and not place[2] else (), inside or part == kind, depth + 1)
+                here = (kid, place[4] if place and not place[2] else (), inside or part == kind, depth + 1,
+                        2 if carried == 2 or (kind and inside and tag in CARRIES) else int(part == kind))
                 todo.extend((" ", here, " ") if tag in BLOCKS else (here,))
         stack.extend(reversed(todo))
     return " ".join("".join(out).split())
 
 
 def main_text(page: str | None, wrapper: str | None, kind: str | None = None) -> str:
-    """Main text of one page, read with the wrapper of its host and the host's kind
+    """Main text of one page, aligned with the wrapper of its host, from the host's kind
     of container; a page without one of this kind is judged by its own."""
     if not page:
         return ""
@@ -494,7 +500,7 @@ def main_text(page: str | None, wrapper: str | None, kind: str | None = None) ->
     mass = masses(root)
     if kind is None or not mass[int(kind) - 1]:
         kind = _kind(mass)
-    return _emit(root, items, kind, kind is None and differs)
+    return _emit(root, items, kind, differs)
 
 
 # Hosts whose partial wrappers a task holds at once.

@@ -316,3 +316,14 @@ def test_digest_of_spans_in_the_query(spark):
     for r in QUERIES["op7_secret_scan"](spark, SF001).collect():
         base = ",".join(f"{k}:{s}:{e}" for k, s, e in base_spans(docs[r["doc_id"]] or ""))
         assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+
+
+def test_pages_with_a_container_are_aligned_with_the_wrapper():
+    page = ("<nav>menu</nav><article><h1>Same title</h1><div>Read this on our site</div><p>Same opening.</p><p>{0}</p>"
+            "<section>Rate <b>us</b></section><ul><li>Same item</li><li>item {0}</li></ul></article><div>below</div>")
+    pages = [page.format(x) for x in ("one", "two", "three")]
+    assert read(pages) == [f"Same title Same opening. {x} Same item item {x}" for x in ("one", "two", "three")]
+    # Texts that differ, equal pages and a page of another host's shape lose nothing.
+    assert read(pages[:1] * 3) == ["Same title Read this on our site Same opening. one Rate us Same item item one"] * 3
+    other = "<article>Bare <div>Read this elsewhere</div><div>and <b>more</b></div></article>"
+    assert read([*pages, other])[-1] == "Bare Read this elsewhere and more"
