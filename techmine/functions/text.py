@@ -158,6 +158,11 @@ def words(text) -> Column:
     return F.filter(split_ws(text), lambda t: t != "")
 
 
+def has_word(text) -> Column:
+    """Whether ``words`` finds any; stops at the first character that is no whitespace."""
+    return _c(text).rlike(f"[^{WS_CLASS[1:]}")
+
+
 def tokens(text) -> Column:
     """Whitespace tokens with outer ``.,;:()"`` stripped (``+#`` and inner
     punctuation stay, so ``C++``, ``C#`` and ``CLP(R)`` keep their form).
@@ -171,8 +176,6 @@ def inverted_index(text) -> Column:
     (word, position) pairs are sorted once, group starts are found in one
     pass, and each group's positions are sliced out.  No shuffle; the cost is
     O(n log n) in the text's own length."""
-    toks = words(text)
-
     def by_sorted(s):
         n = F.size(s)
         starts_of = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
@@ -186,9 +189,9 @@ def inverted_index(text) -> Column:
             return F.when(k > 0, F.map_from_arrays(keys, vals))
         return let(starts_of, by_starts)
 
-    pairs = F.sort_array(F.transform(toks, lambda w, i: F.struct(w.alias("w"), i.alias("p"))))
+    pairs = F.sort_array(F.transform(words(text), lambda w, i: F.struct(w.alias("w"), i.alias("p"))))
     empty = F.create_map().cast("map<string,array<bigint>>")
-    return F.when(F.size(toks) > 0, let(pairs, by_sorted)).otherwise(empty)
+    return F.coalesce(let(pairs, by_sorted), empty)
 
 
 ENTRY_BITS = 24  # up to 16M distinct words per index; positions below 2^39

@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from techmine.functions.text import inverted_index as index_of
+from techmine.functions.text import has_word, inverted_index as index_of
 from techmine.operators.joins import ensure_parallelism
 
 
 def inverted_index(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, index) for every row whose text has at least one word."""
-    return (ensure_parallelism(df).select(id_col, index_of(F.col(text_col)).alias("index"))
-              .where(F.size("index") > 0))
+    # Rows are chosen by their text: a filter on the index would compute it once more.
+    return (ensure_parallelism(df).where(has_word(text_col))
+              .select(id_col, index_of(F.col(text_col)).alias("index")))
