@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from techmine.functions.text import reconstruct_abstract
 from techmine.operators.dimensions import register_names
-from techmine.operators.ids import dense_ids, dense_ids_by_key
+from techmine.operators.ids import dense_ids_by_key
 from techmine.schemas import RESPONSE_PAGE
 from techmine.session import shared_dir
 
@@ -123,14 +123,16 @@ def works_and_topics(records: DataFrame, existing_topics: DataFrame | None = Non
 def write_pages(records: DataFrame, path: str, order_col: str, page_size: int = PAGE_SIZE) -> None:
     """Land records as response pages (``page_size`` records per page, in
     ``order_col`` order), the shape the API returns."""
-    total = records.count()
-    numbered = dense_ids(records, [order_col], id_col="__seq", start=0)
+    spark = records.sparkSession
+    # Records become JSON and are stored once; only their order is sorted for the ids.
+    stored = f"{shared_dir(spark, 'records')}/t"
+    (records.select(F.col(order_col).alias("__order"), F.to_json(F.struct(*records.columns)).alias("__json"))
+            .withColumn("__row", F.monotonically_increasing_id()).write.parquet(stored))
+    rows = spark.read.parquet(stored)
+    total = rows.count()
+    numbered = dense_ids_by_key(rows, [("__order", True), ("__row", True)], "__row", id_col="__seq", start=0)
     pages = (numbered.groupBy(F.floor(F.col("__seq") / page_size).alias("page"))
-                     .agg(F.array_sort(F.collect_list(F.struct(F.col("__seq").alias("k"),
-                                                               F.struct(*records.columns).alias("r"))),
-                                       lambda a, b: F.when(a["k"] < b["k"], -1)
-                                                     .when(a["k"] > b["k"], 1).otherwise(0))
-                          .alias("rs"))
-                     .select(F.transform("rs", lambda x: x["r"]).alias("results"),
-                             F.struct(F.lit(total).cast("long").alias("count")).alias("meta")))
-    pages.write.mode("overwrite").json(path)
+                     .agg(F.sort_array(F.collect_list(F.struct("__seq", "__json"))).alias("rs")))
+    results = F.array_join(F.transform("rs", lambda x: x["__json"]), ",")
+    page = F.concat(F.lit('{"results":['), results, F.lit(f'],"meta":{{"count":{total}}}}}'))
+    pages.select(page.alias("value")).write.mode("overwrite").text(path)

@@ -124,3 +124,24 @@ def test_json_topics_continue_after_stored(spark):
     works, topics = WJ.works_and_topics(WJ.read_pages(spark, d).where(WJ.selection()), stored)
     assert rows(topics) == [(4, "A"), (5, "C"), (6, "D")]
     assert rows(works, "id", "topic_id") == [(1, 4), (2, 5), (3, 6)]
+
+
+def test_records_are_computed_once_and_landed_in_order(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from techmine.sources import works_json as WJ
+    seen = spark.sparkContext.accumulator(0)
+
+    def title(k):
+        seen.add(1)
+        return f'"{k}"\n'
+    records = spark.range(0, 450, 1, 3).select(
+        F.format_string("W%04d", 449 - F.col("id")).alias("id"), F.udf(title)("id").alias("title"),
+        F.lit(None).cast("string").alias("doi"))
+    path = str(tmp_path / "pages")
+    WJ.write_pages(records, path, "id")
+    assert seen.value == 450
+    pages = sorted((r["value"] for r in spark.read.text(path).collect()), key=lambda v: v[v.index("W"):][:5])
+    pages = [json.loads(p) for p in pages]
+    assert [len(p["results"]) for p in pages] == [200, 200, 50]
+    assert [r["id"] for p in pages for r in p["results"]] == [f"W{k:04d}" for k in range(450)]
+    assert pages[0]["results"][0] == {"id": "W0000", "title": '"449"\n'} and pages[0]["meta"] == {"count": 450}
