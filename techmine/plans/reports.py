@@ -20,26 +20,22 @@ def _named(df: DataFrame, id_alias: str, name_alias: str) -> DataFrame:
               .select(F.col("id").alias(id_alias), F.col("name").alias(name_alias)))
 
 
-def _work_topic_tech(work: DataFrame, mention: DataFrame, topic: DataFrame,
-                     technology: DataFrame) -> DataFrame:
-    """(work_id, topic_id, topic_name, tech_id, tech_name) for named topics/techs."""
-    m = mention.select("work_id", F.col("technology_id").alias("tech_id"))
-    w = work.where(F.col("topic_id").isNotNull()).select(F.col("id").alias("work_id"), "topic_id")
-    return (m.join(_named(technology, "tech_id", "tech_name"), "tech_id")
-             .join(w, "work_id")
-             .join(_named(topic, "topic_id", "topic_name"), "topic_id"))
-
-
 def topic_tech_counts(work: DataFrame, mention: DataFrame, topic: DataFrame,
                       technology: DataFrame) -> DataFrame:
     """QRY1: distinct works per (topic name, technology name).
 
-    countDistinct plans as a two-level aggregate keyed first on
-    (topic, tech, work), so a hot (topic, tech) pair is still spread by work.
+    The (work, topic name) of works and the (work, technology name) of mentions are made
+    distinct first, so their join has each (topic, technology, work) once and the counts
+    are sums: no task holds a table of all triples that it has seen.
     """
-    rows = _work_topic_tech(work, mention, topic, technology)
-    return (rows.groupBy("topic_name", "tech_name")
-                .agg(F.countDistinct("work_id").alias("shared_works")))
+    w = (work.where(F.col("topic_id").isNotNull()).select(F.col("id").alias("work_id"), "topic_id")
+             .join(_named(topic, "topic_id", "topic_name"), "topic_id").select("work_id", "topic_name").distinct())
+    # One shuffle by work serves the distinct rows and the join.
+    m = (mention.where(F.col("work_id").isNotNull()).select("work_id", F.col("technology_id").alias("tech_id"))
+                .join(_named(technology, "tech_id", "tech_name"), "tech_id").select("work_id", "tech_name")
+                .repartition("work_id").groupBy("work_id").agg(F.collect_set("tech_name").alias("names")))
+    rows = m.join(w, "work_id").select("topic_name", F.explode("names").alias("tech_name"))
+    return rows.groupBy("topic_name", "tech_name").agg(F.count(F.lit(1)).alias("shared_works"))
 
 
 def order_by_count(df: DataFrame, count_col: str, *names: str) -> DataFrame:
