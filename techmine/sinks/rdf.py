@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from techmine.operators.graph import PREFIXES, TRIPLE_COLS
 from techmine.operators.joins import broadcast_if_small
+from techmine.session import written
 
 
 def escape_literal(c: Column) -> Column:
@@ -65,6 +66,7 @@ def turtle_blocks(triples: DataFrame, block_triples: int = BLOCK_TRIPLES) -> Dat
     t = triples.select(*TRIPLE_COLS)
     hubs = (t.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_triples)
              .select("s", F.ceil(F.col("n") / block_triples).cast("int").alias("parts")))
+    hubs = written(hubs, "hubs")  # else the size check and the join would each count the graph
     t = t.join(broadcast_if_small(hubs), "s", "left").withColumn(
         "part", F.pmod(F.xxhash64("p", "o"), F.coalesce("parts", F.lit(1))))
     lit_obj = F.concat(F.lit('"'), escape_literal(F.col("o")), F.lit('"'),
