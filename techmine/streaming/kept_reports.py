@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from techmine.operators.constraints import ConstraintError
 from techmine.operators.joins import pairs_within_groups
+from techmine.session import written
 from techmine.streaming.commit_log import CommitLog
 
 WORK_BLOCK = 1 << 20
@@ -109,13 +110,13 @@ def land(spark: SparkSession, root: str, drop_id: str, work: DataFrame, mention:
     results stored below ``root``.  False if the drop is in the log already."""
     log = CommitLog(spark, root)
     names = technology.where(F.col("name").isNotNull()).select(F.col("id").alias("tech_id"), F.col("name").alias("nm"))
-    came_works = (work.where(F.col("id").isNotNull()).groupBy(F.col("id").cast("long").alias("work_id"))
-                      .agg(F.min("topic_id").cast("long").alias("topic_id")).checkpoint(eager=True))
-    came_links = mention.select(F.col("work_id").cast("long").alias("work_id"),
-                                F.col("technology_id").cast("long").alias("tech_id")).dropna().distinct().checkpoint(eager=True)
+    came_works = written(work.where(F.col("id").isNotNull()).groupBy(F.col("id").cast("long").alias("work_id"))
+                             .agg(F.min("topic_id").cast("long").alias("topic_id")), "came-works")
+    came_links = written(mention.select(F.col("work_id").cast("long").alias("work_id"), F.col("technology_id").cast("long")
+                                        .alias("tech_id")).dropna().distinct(), "came-links")
     _require_there(came_links, "tech_id", technology, "technology")
     _require_there(came_works.where(F.col("topic_id").isNotNull()), "topic_id", topic, "topic")
-    own = came_works.select("work_id").union(came_links.select("work_id")).distinct().checkpoint(eager=True)
+    own = written(came_works.select("work_id").union(came_links.select("work_id")).distinct(), "own")
     blocks = _touched_blocks(own)
     while True:
         entries = log.entries()
@@ -123,17 +124,17 @@ def land(spark: SparkSession, root: str, drop_id: str, work: DataFrame, mention:
             return False
         seq = len(entries)
         folder = f"{log.root}/data/{seq:012d}-{uuid.uuid4().hex[:12]}"
-        old_works, old_links = (_stored_part(log, t, entries, blocks).join(own, "work_id", "left_semi").checkpoint(eager=True)
+        old_works, old_links = (written(_stored_part(log, t, entries, blocks).join(own, "work_id", "left_semi"), f"old-{t}")
                                 for t in ("works", "links"))
         works = came_works.join(old_works, "work_id", "left_anti")
-        links = (came_links.join(old_links, ["work_id", "tech_id"], "left_anti").join(names, "tech_id")
-                           .select("work_id", "tech_id", "nm").checkpoint(eager=True))
+        links = written(came_links.join(old_links, ["work_id", "tech_id"], "left_anti").join(names, "tech_id")
+                                  .select("work_id", "tech_id", "nm"), "new-links")
         for name, rows in (("works", works), ("links", links)):
             (rows.withColumn("block", _block("work_id")).repartition("block", F.pmod(F.xxhash64("work_id"), F.lit(8)))
                  .write.partitionBy("block").parquet(_part(log, name, folder)))
 
         there = old_works.unionByName(works).where(F.col("topic_id").isNotNull())
-        now = old_links.unionByName(links).where(F.col("nm") != "").join(there, "work_id").checkpoint(eager=True)
+        now = written(old_links.unionByName(links).where(F.col("nm") != "").join(there, "work_id"), "now")
         before = old_links.join(old_works.where(F.col("topic_id").isNotNull()), "work_id").select("work_id", "nm")
         counted = now.select("work_id", "topic_id", "nm").distinct().join(before, ["work_id", "nm"], "left_anti")
         titles = topic.where(F.col("name") != "").select(F.col("id").cast("long").alias("topic_id"),
@@ -144,14 +145,14 @@ def land(spark: SparkSession, root: str, drop_id: str, work: DataFrame, mention:
             f"{folder}/counts")
 
         members = _result(log, "members", entries)
-        fresh = (now.select("topic_id", "tech_id", "nm").distinct()
-                    .join(members, ["topic_id", "tech_id"], "left_anti").checkpoint(eager=True))
+        fresh = written(now.select("topic_id", "tech_id", "nm").distinct()
+                           .join(members, ["topic_id", "tech_id"], "left_anti"), "fresh")
         members.unionByName(fresh).write.parquet(f"{folder}/members")
         more = fresh.groupBy("topic_id", "nm").agg(F.count(F.lit(1)).alias("more"), F.min("tech_id").alias("least"))
-        groups = (_result(log, "groups", entries).withColumnsRenamed({"n": "old_n", "i": "old_i"})
+        groups = written(_result(log, "groups", entries).withColumnsRenamed({"n": "old_n", "i": "old_i"})
                   .join(more, ["topic_id", "nm"], "full")
                   .select("topic_id", "nm", (F.coalesce("old_n", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n"),
-                          F.least("old_i", "least").alias("i"), "old_n", "old_i").checkpoint(eager=True))
+                          F.least("old_i", "least").alias("i"), "old_n", "old_i"), "groups")
         groups.select("topic_id", "nm", "n", "i").write.parquet(f"{folder}/groups")
         moved = groups.join(fresh.select("topic_id").distinct(), "topic_id", "left_semi")
         _added(_result(log, "pairs", entries), changed_pairs(moved), ["tech_a", "tech_b"], "common_topics").write.parquet(
