@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from techmine.operators.dimensions import bridge_rows, register_names
+from techmine.session import written
 
 
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -38,8 +39,8 @@ def register_batch(spark: SparkSession, batch: DataFrame, dim_path: str, links_p
                    done_path: str | None = None) -> None:
     dim = _stored(spark, dim_path, "id long, name string")
     links = _stored(spark, links_path, "id long, work_id long, technology_id long")
-    batch = batch.checkpoint(eager=True)
-    new = register_names(dim, batch, name_col, order_cols).checkpoint(eager=True)
+    batch = written(batch, "batch")
+    new = written(register_names(dim, batch, name_col, order_cols), "new-names")
     if not new.isEmpty():
         new.write.mode("append").parquet(dim_path)
     dim_now = dim.unionByName(new)
