@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from techmine.operators import constraints as C
+from techmine.session import written
 from techmine.sinks.tables import MODEL_SCHEMAS, first_rows, row_counts
 from techmine.streaming.commit_log import CommitLog
 
@@ -116,8 +117,8 @@ def load_indexed(spark: SparkSession, root: str, incoming: dict[str, DataFrame])
     breaks or another load was committed meanwhile."""
     log = CommitLog(spark, root)
     seq = len(log.entries())
-    firsts = {t: first_rows(incoming[t]).checkpoint(eager=True) for t in MODEL_SCHEMAS}
-    known = known_keys(stored_keys(spark, root), _asked_keys(firsts).checkpoint(eager=True)).checkpoint(eager=True)
+    firsts = {t: written(first_rows(incoming[t]), f"first-{t}") for t in MODEL_SCHEMAS}
+    known = written(known_keys(stored_keys(spark, root), written(_asked_keys(firsts), "asked-keys")), "known-keys")
     added = {}
     for t, df in firsts.items():
         there = known.where(F.col("kind") == f"{t}.id").select(F.col("k").cast("long").alias("id"))
@@ -126,13 +127,13 @@ def load_indexed(spark: SparkSession, root: str, incoming: dict[str, DataFrame])
     folder = f"{log.root}/data/{seq:012d}-{uuid.uuid4().hex[:12]}"
     for t, df in added.items():
         df.write.parquet(f"{folder}/{t}")
-    written = {t: spark.read.schema(s).parquet(f"{folder}/{t}") for t, s in MODEL_SCHEMAS.items()}
-    (own_keys(written).repartition("kind", "block").sortWithinPartitions("kind", "block", "k")
+    rows = {t: spark.read.schema(s).parquet(f"{folder}/{t}") for t, s in MODEL_SCHEMAS.items()}
+    (own_keys(rows).repartition("kind", "block").sortWithinPartitions("kind", "block", "k")
                       .write.partitionBy("kind", "block").parquet(_keys_of(log, folder)))
     if not log.append({"seq": seq, "batch": f"load {seq}", "folder": folder, "first_name": 0, "n_names": 0,
                        "first_link": 0, "n_links": 0}):
         raise C.ConstraintError("another load was committed meanwhile")
-    return written
+    return rows
 
 
 def indexed_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
