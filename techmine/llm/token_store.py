@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from techmine.llm.common import partitions, prepare, shared_path, small_side, stored
 from techmine.llm.files import open_read, open_write
-from techmine.llm.tokens import END_ID, crc32_of, encode, encoder
+from techmine.llm.tokens import END_ID, crc32_of, encode, encoder, gathered
 
 BUCKET_KEYS = 32_768
 LEVEL_LOAD = 2.0     # places of a level per key that reaches it
@@ -146,7 +146,7 @@ def _range_starts(keys: DataFrame, n: int, order: list) -> list[tuple]:
 
 def _encode_texts(tokenizer_path: str, end_id: int, width: int, starts: list[tuple]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in gathered(batches, 1):
             keys = zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)
             shards = [bisect_right(starts, (i is not None, i or 0, t)) for i, t in keys]
             ids = encode(tokenizer_path, b.column(1).to_pylist(), end_id)

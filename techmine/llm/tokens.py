@@ -3,7 +3,8 @@
 ``Encoder`` gives exactly the ids of ``Tokenizer.encode(text,
 add_special_tokens=False)``.  If the file's normaliser and pre-tokenizer treat
 every run between white space by itself and ignore case (``word_bpe``), the ids
-of a run are remembered, and the library only sees runs it has not met.
+of a run are remembered, and the library only sees runs it has not met.  Arrow
+numbers the distinct runs of a few MB of texts, so each is looked up once there.
 """
 
 from __future__ import annotations
@@ -13,19 +14,27 @@ import os
 import re
 import unicodedata
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 END_ID = 1
 # Runs remembered by one worker (about 200 bytes each); then it starts anew.
 CACHE_RUNS = 800_000
+# Texts that are taken apart at once; a longer one is taken alone.
+CHUNK_CHARS = 4_000_000
 
 # The normaliser and splitting pattern that make runs independent.
 WORD_NORMALISERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
                     {"type": "Lowercase"}]
 WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
+# That pattern for ASCII runs in lower case.
+PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+
 # A run of letters followed by these is two pieces for that pattern.
 TAIL = b".,;:!?*%$#&()\"|-"
 
@@ -46,13 +55,37 @@ def _letters(word: str) -> bool:
     return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
 
 
-def _runs(text: str) -> list[bytes]:
-    """Runs between ASCII white space (where bytes.split cuts).  ASCII runs are
-    lower-cased; others stay, as NFC composes some letters in one case only."""
-    raw = text.encode("utf-8", "replace")
-    if raw.isascii():
-        return raw.lower().split()
-    return [w.lower() if w.isascii() else w for w in raw.split()]
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct runs between ASCII white space (where bytes.split cuts), the place of
+    each run of all texts among them, and where each text's runs end."""
+    raw = pa.array([t.encode("utf-8", "replace") for t in texts], pa.large_binary()).view(pa.large_string())
+    split = pc.ascii_split_whitespace(raw)
+    words = split.flatten()
+    some = pc.not_equal(pc.binary_length(words), 0)  # at the edges of a text
+    kept = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    coded = words.filter(some).dictionary_encode()
+    return (coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False), coded.indices.to_numpy(),
+            kept[split.offsets.to_numpy()[1:]])
+
+
+def _chunks(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in order, in lists of up to CHUNK_CHARS or of one text."""
+    chunk, size = [], 0
+    for t in texts:
+        if chunk and size + len(t) > CHUNK_CHARS:
+            yield chunk
+            chunk, size = [], 0
+        chunk.append(t)
+        size += len(t)
+    if chunk:
+        yield chunk
+
+
+def _without(texts: list[str], places: list[int]) -> list[str]:
+    out = list(texts)
+    for k in places:
+        out[k] = ""
+    return out
 
 
 class Encoder:
@@ -77,6 +110,21 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _learn_joined(self, words: list[bytes], pieces: list[int]) -> bool:
+        """Remember the ids of runs of so many pieces each, encoded as one text; false if
+        its pieces are not as many."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()],
+                                                        add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        last = np.cumsum(pieces)
+        if len(ends) != last[-1] or not min(pieces):
+            return False
+        raw, at = ids.tobytes(), 0
+        for word, to in zip(words, (ends[last - 1] * 4).tolist(), strict=True):
+            self.runs[word] = raw[at:to]
+            at = to
+        return True
+
     def _learn(self, new: set[bytes]) -> None:
         """Remember the ids of runs: letters and their punctuation apart."""
         runs = self.runs
@@ -92,18 +140,13 @@ class Encoder:
             else:
                 others.add(w)
         cores = list(cores.difference(runs))
-        if cores:
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(cores).decode()],
-                                                            add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(cores):
-                raw, at = ids.tobytes(), 0
-                for core, to in zip(cores, (ends * 4).tolist(), strict=True):
-                    runs[core] = raw[at:to]
-                    at = to
-            else:
-                others.update(cores)
-        others = list(others.difference(runs))
+        if cores and not self._learn_joined(cores, [1] * len(cores)):
+            others.update(cores)
+        others = others.difference(runs)
+        ascii_ = [w for w in others if w.isascii()]
+        if ascii_ and self._learn_joined(ascii_, [len(PIECE.findall(w)) for w in ascii_]):
+            others.difference_update(ascii_)
+        others = list(others)
         if others:
             for w, ids in zip(others, self._plain([w.decode() for w in others]), strict=True):
                 runs[w] = ids
@@ -111,29 +154,42 @@ class Encoder:
             if len(core) < len(w):
                 runs[w] = runs[core] + runs[w[len(core):]]
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        """Every distinct run is looked up once, then all are put in place."""
         runs = self.runs
-        if runs is None:
-            return self._plain(texts)
         if len(runs) > CACHE_RUNS:
             runs.clear()
-        # Special tokens are matched with their case and across white space.
-        plain = [k for k, t in enumerate(texts) if self.special is not None and self.special.search(t)]
-        words = [_runs(t) for t in texts]
-        new = set().union(*words).difference(runs) if words else set()
-        if any(b"<|" in w for w in new):  # lower-casing must not make a special token
-            risky = [k for k, ws in enumerate(words) if any(b"<|" in w for w in ws)]
-            plain = sorted({*plain, *risky})
-            for k in risky:
-                words[k] = []
-            new = set().union(*words).difference(runs)
-        self._learn(new)
-        out = [b"".join(map(runs.__getitem__, ws)) for ws in words]
+        # Special tokens are matched with their case and across white space, and
+        # lower-casing must not make one.
+        plain = [k for k, t in enumerate(texts)
+                 if "<|" in t or (self.special is not None and self.special.search(t))]
+        words, places, ends = _words(_without(texts, plain))
+        # ASCII runs are lower-cased; others stay, as NFC composes some letters in one case only.
+        words = [w.lower() if w.isascii() else w for w in words]
+        found = list(map(runs.get, words))
+        if None in found:
+            self._learn({w for w, ids in zip(words, found, strict=True) if ids is None})
+            found = list(map(runs.__getitem__, words))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), "<u4")
+        starts = np.cumsum(sizes) - sizes
+        counts = sizes[places]
+        to = np.cumsum(counts)
+        at = np.repeat(starts[places] - (to - counts), counts)
+        at += np.arange(len(at))
+        raw = pool[at].tobytes()
+        cuts = (np.concatenate([[0], to])[ends] * 4).tolist()
+        out = [raw[low:high] for low, high in zip([0, *cuts], cuts, strict=False)]
         for k, ids in zip(plain, self._plain([texts[k] for k in plain]), strict=True):
             out[k] = ids
         return out
 
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        texts = [t or "" for t in texts]
+        if self.runs is None:
+            return self._plain(texts)
+        return [ids for chunk in _chunks(texts) for ids in self._by_words(chunk)]
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
@@ -148,6 +204,20 @@ def encode(path: str, texts: list[str | None], end_id: int = END_ID) -> list[byt
     return [ids + end for ids in encoder(path)(texts)]
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined until ``column`` has CHUNK_CHARS bytes: a run that is frequent in
+    them is looked up once."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.column(column).nbytes
+        if size >= CHUNK_CHARS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def crc32_of(ids: bytes) -> int:
     """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(ids)

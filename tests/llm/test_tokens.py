@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -34,6 +35,30 @@ def test_encoder_equals_the_library(spark, path):
     assert (tokens.encoder(path).runs is not None) == (path == WORD)
 
 
+def test_runs_are_learned_together_and_looked_up_once(monkeypatch):
+    texts = ["It's 12 o'clock: mail a.b@c.de, a1b2--c3 </w> x\x1cy don't", "  12 a.b@c.de,\t\x0b12 ", "", None,
+             "Ünïcode \u1e96H\u0331 <|EndOfText|> <|endoftext|>", "\u3000 12\x85 12"]
+    e = tokens.Encoder(WORD)
+    plain, alone = e._plain, []
+    monkeypatch.setattr(e, "_plain", lambda ts: alone.extend(ts) or plain(ts))
+    assert e(texts) == plain([t or "" for t in texts])
+    assert not any(t.isascii() for t in alone)  # they were encoded one by one
+    words, places, ends = tokens._words(["b a  b", "", " a\n"])
+    assert ([words[k] for k in places], list(words), ends.tolist()) == ([b"b", b"a", b"b", b"a"], [b"b", b"a"], [3, 3, 4])
+    monkeypatch.setattr(tokens, "CHUNK_CHARS", 5)
+    assert e(texts) == plain([t or "" for t in texts])
+    assert list(tokens._chunks(["ab", "cde", "f", "ghijklm", ""])) == [["ab", "cde"], ["f"], ["ghijklm"], [""]]
+
+
+def test_small_batches_are_encoded_together(monkeypatch):
+    monkeypatch.setattr(tokens, "CHUNK_CHARS", 100)
+    batches = [pa.RecordBatch.from_pydict({"id": [k], "text": ["x" * 30]}) for k in range(10)]
+    got = list(tokens.gathered(iter(batches), 1))
+    assert len(got) < 5
+    assert [i for b in got for i in b.column(0).to_pylist()] == list(range(10))
+    assert list(tokens.gathered(iter([]), 1)) == []
+
+
 def test_capitals_that_compose_in_lower_case_only():
     texts = ["J\u030cx", "H\u0331amza T\u0308a, W\u030a Y\u030a. j\u030cx h\u0331amza", "ABC J\u030cX abc", "É É <|Endoftext|>"]
     want = [ids_of(WORD, t) + [1] for t in texts]
