@@ -149,8 +149,7 @@ def tech_pairs_from_graph(triples, top=None):
     from techmine.plans.reports import shared_group_pairs
     b = G.match(triples, [("?work", S_ + "mentions", "?tech"), ("?work", S_ + "about", "?topic"),
                           ("?tech", S_ + "name", "?name")])
-    return shared_group_pairs(b.select("topic", "tech", "name").distinct(),
-                              "topic", "tech", "name", top=top)
+    return shared_group_pairs(b, "topic", "tech", "name", top=top)
 
 
 TRUTHY_QRY1_SQL = """

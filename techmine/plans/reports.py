@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from techmine.operators.joins import pairs_within_groups
+from techmine.session import written
 
 
 def _named(df: DataFrame, id_alias: str, name_alias: str) -> DataFrame:
@@ -53,14 +55,38 @@ def shared_group_pairs(rows: DataFrame, group: str, iri: str, name: str,
     is valid unless both names denote the same single iri.  The join size is
     then bounded by the names per group, not by the number of rows.
     """
-    g = (rows.where(F.col(group).isNotNull() & F.col(name).isNotNull())
-             .groupBy(group, F.col(name).alias("nm"))
-             .agg(F.countDistinct(iri).alias("n"), F.min(iri).alias("i")))
+    rows = (rows.where(F.col(group).isNotNull() & F.col(name).isNotNull())
+                .select(group, F.col(name).alias("nm"), F.col(iri).alias("iri")))
+    if isinstance(rows.schema["iri"].dataType, StringType):
+        g = _single_iris(rows, group)
+    else:
+        g = rows.groupBy(group, "nm").agg(F.countDistinct("iri").alias("n"), F.min("iri").alias("i"))
     if top is not None:
         return _top_pairs(g, group, top)
     return _scored(pairs_within_groups(g, group, "nm"))
 
 
+def _single_iris(rows: DataFrame, group: str) -> DataFrame:
+    """(group, nm, n, i) of rows (group, nm, iri) with text iris; n is 2, and i null,
+    for more than one iri.
+
+    Iris of unequal hashes differ, so most names need only the hashes' bounds, which are
+    summed up where the rows are, without a sort of texts.  Only the names whose iris
+    all have one hash are looked at again, by the iris themselves.
+    """
+    rows = written(rows, "group-iris")  # read twice
+    h = F.when(F.col("iri").isNotNull(), F.xxhash64("iri"))
+    bounds = written(rows.groupBy(group, "nm").agg(F.min(h).alias("low"), F.max(h).alias("high")), "iri-bounds")
+    many = bounds.where("low != high").select(group, "nm", F.lit(2).cast("long").alias("n"),
+                                              F.lit(None).cast("string").alias("i"))
+    one_hash = bounds.where("low = high").select(group, "nm")
+    none = bounds.where("low IS NULL").select(group, "nm", F.lit(0).cast("long").alias("n"),
+                                              F.lit(None).cast("string").alias("i"))
+    exact = rows.join(one_hash, [group, "nm"], "left_semi").groupBy(group, "nm").agg(
+        F.countDistinct("iri").alias("n"), F.min("iri").alias("i"))
+    return many.unionByName(none).unionByName(exact)
+
+
 def _scored(pairs: DataFrame) -> DataFrame:
     valid = pairs.where(~((F.col("l_n") == 1) & (F.col("r_n") == 1) & (F.col("l_i") == F.col("r_i"))))
     return (valid.groupBy(F.col("l_nm").alias("tech_a"), F.col("r_nm").alias("tech_b"))

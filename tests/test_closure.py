@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from techmine.operators import hierarchy as H
 from techmine.plans import reports
+from techmine.session import written
 
 EDGE = "id long, parent_id long, child_id long"
 
@@ -96,6 +97,24 @@ def test_top_pairs_equal_the_literal_join(spark, groups, names, rows):
         assert got == naive(data)[:top]
 
 
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_pairs_by_text_iris_sort_no_rows(spark, monkeypatch, one_hash):
+    r = random.Random(7)
+    data = sorted({(r.randint(1, 9), i, f"n{i % 20:02d}") for i in [int(r.random() ** 2 * 30) for _ in range(200)]})
+    if one_hash:  # all iris collide
+        monkeypatch.setattr(reports.F, "xxhash64", lambda c: F.lit(1).cast("long"))
+    kept = {}
+    monkeypatch.setattr(reports, "written", lambda df, name: kept.setdefault(name, written(df, name)) and
+                        kept.setdefault(f"{name} plan", df._jdf.queryExecution().toString()) and kept[name])
+    rows = [(g, f"https://example.org/{i}", a) for g, i, a in data] * 2  # rows may repeat
+    df = spark.createDataFrame([*rows, (1, None, "n00"), (None, "x", "n00"), (1, "x", None)], "g long, iri string, name string")
+    got = reports.shared_group_pairs(df, "g", "iri", "name").collect()
+    assert sorted(map(tuple, got)) == sorted(naive(data))
+    assert [tuple(x) for x in reports.shared_group_pairs(df, "g", "iri", "name", top=10).collect()] == naive(data)[:10]
+    plan = kept["iri-bounds plan"].split("Physical Plan")[-1]
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_rare_names_are_not_paired(spark, monkeypatch):
     rows = [(g, i, f"often{i}") for g in range(20) for i in range(12)] + [(g, 100 + g * 50 + k, f"rare{g}-{k}")
                                                                          for g in range(20) for k in range(50)]
