@@ -15,8 +15,13 @@ from techmine.functions.text import has_word, inverted_index as index_of
 from techmine.operators.joins import ensure_parallelism
 
 
-def inverted_index(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, index) for every row whose text has at least one word."""
+def inverted_index(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None) -> DataFrame:
+    """(id, index) for every row whose text has at least one word.
+
+    With ``keep``, all rows with these columns too; without a word the index is null.
+    Nothing moves, so ``df`` need not be joined with its own index."""
+    if keep is not None:
+        return df.select(id_col, *keep, F.when(has_word(text_col), index_of(F.col(text_col))).alias("index"))
     # Rows are chosen by their text: a filter on the index would compute it once more.
     return (ensure_parallelism(df).where(has_word(text_col))
               .select(id_col, index_of(F.col(text_col)).alias("index")))

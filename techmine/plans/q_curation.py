@@ -162,15 +162,15 @@ def json_load_graph_counts(spark, base):
     """Response pages with missing dois -> works and topics -> checked load of
     the stored tables -> triples per predicate."""
     from techmine.operators import graph as G
-    from techmine.plans.q_sources import _records_from_documents
+    from techmine.plans.q_sources import DOCUMENT_ORDER, _documents_with_texts, _records_from_documents
     from techmine.session import shared_dir
     from techmine.sinks.tables import MODEL_SCHEMAS, committed_tables, load_committed
     from techmine.sources import works_json as WJ
-    records = _records_from_documents(spark, base)
     gone = F.regexp_extract("id", "W([0-9]+)$", 1).cast("long") % 3 == 0
-    records = records.withColumn("doi", F.when(~gone, F.col("doi")))
     landing = shared_dir(spark, "pages-to-load")
-    WJ.write_pages(records, landing, "id")
+    WJ.write_pages_of(_documents_with_texts(spark, base),
+                      lambda d: _records_from_documents(d).withColumn("doi", F.when(~gone, F.col("doi"))),
+                      landing, DOCUMENT_ORDER)
     works, topics = WJ.works_and_topics(WJ.read_pages(spark, landing).where(WJ.selection()))
     incoming = {t: spark.createDataFrame([], s) for t, s in MODEL_SCHEMAS.items()}
     incoming |= {"topic": topics, "work": works.select(*MODEL_SCHEMAS["work"].fieldNames())}

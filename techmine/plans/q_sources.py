@@ -7,10 +7,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from techmine.functions.text import WS_CLASS
+from techmine.functions.text import WS_CLASS, has_word
 from techmine.operators.inverted_index import inverted_index
 from techmine.plans.registry import query
-from techmine.session import shared_dir
+from techmine.session import shared_dir, written
 from techmine.sources import works_json as WJ
 from techmine.sources.csv_tables import read_csv, write_csv
 from techmine.sources.tables import table
@@ -18,16 +18,42 @@ from techmine.streaming import commit_log as CL
 from techmine.streaming.incremental import run_registration_stream
 
 
-def _records_from_documents(spark, base):
-    """Work records in the API's shape, derived from ``documents``:
+# Where a document, and the document whose text it has, lie in the table's files:
+# with the record id, a total order that is the same whenever the table is read.
+DOCUMENT_ORDER = ["id", "__file", "__at", "__text_file", "__text_at"]
+
+
+def _documents_with_texts(spark, base):
+    """``documents`` with the record id and the columns of ``DOCUMENT_ORDER``, as a left
+    join with the texts by ``doc_id``: documents that share an id have each other's
+    texts, one without an id has none.  Only rows whose id repeats are joined."""
+    d = table(spark, base, "documents").select(
+        "doc_id", "lang", "source", "n_chars", "text", F.xxhash64("_metadata.file_path").alias("__file"),
+        F.col("_metadata.row_index").alias("__at"))
+    again = written(d.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                     .where("n > 1").select("doc_id"), "repeated-documents")
+    once = d.join(again, "doc_id", "left_anti").withColumn("text", F.when(F.col("doc_id").isNotNull(), F.col("text")))
+    if not again.isEmpty():
+        shared = d.join(again, "doc_id", "left_semi")
+        texts = shared.where(has_word("text")).select("doc_id", "text", F.col("__file").alias("__text_file"),
+                                                      F.col("__at").alias("__text_at"))
+        once = once.unionByName(shared.drop("text").join(texts, "doc_id", "left"), allowMissingColumns=True)
+    else:
+        once = once.withColumns({c: F.lit(None).cast("bigint") for c in ("__text_file", "__text_at")})
+    return once.withColumn("id", F.concat(F.lit("https://openalex.org/W"), F.col("doc_id").cast("string")))
+
+
+def _records_from_documents(d):
+    """Work records in the API's shape, derived from ``_documents_with_texts``:
     src0 has no PDF URL, src1 no primary topic, src2 is not open access,
     src3 carries a keyword outside the selection; publication date and fwci
-    are absent so the defaults apply."""
-    d = table(spark, base, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    idx = inverted_index(d, "doc_id", "text")
+    are absent so the defaults apply.  Columns that begin with ``__`` stay."""
+    own = [c for c in d.columns if c.startswith("__")]
+    idx = inverted_index(d, "doc_id", "text", keep=["id", "lang", "source", "n_chars", *own])
     sid = F.col("doc_id").cast("string")
-    return (d.join(idx, "doc_id", "left").select(
-        F.concat(F.lit("https://openalex.org/W"), sid).alias("id"),
+    return (idx.select(
+        *own,
+        "id",
         F.concat(F.lit("https://doi.org/10.5555/"), sid).alias("doi"),
         F.col("source").alias("title"),
         F.lit(None).cast("string").alias("publication_date"),
@@ -74,7 +100,7 @@ FROM w JOIN t USING (topic_name)
 @query("works_from_json", WORKS_JSON_SQL)
 def works_from_json(spark, base):
     landing = shared_dir(spark, "response-pages")
-    WJ.write_pages(_records_from_documents(spark, base), landing, "id")
+    WJ.write_pages_of(_documents_with_texts(spark, base), _records_from_documents, landing, DOCUMENT_ORDER)
     records = WJ.read_pages(spark, landing).where(WJ.selection())
     works, _topics = WJ.works_and_topics(records)
     return works

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from techmine import schemas as SC
 from techmine.operators import constraints as C
+from techmine.session import shared_dir, written
 from techmine.sources.csv_tables import POSITION
 
 # The five stored tables, in the order they are loaded.
@@ -159,11 +160,30 @@ def model_report(topic: DataFrame, edge: DataFrame, work: DataFrame,
     return out
 
 
-def checked_additions(stored: dict[str, DataFrame], incoming: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _additions(existing: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
+    """``insert_ignore`` over rows that are stored first: only those whose key comes
+    again, or is there already, are grouped and joined.  The others do not move."""
+    rows = written(incoming, "incoming", compression="zstd")
+    there = existing.select(key).distinct().withColumn("__there", F.lit(True))
+    taken = written(rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).join(there, key, "left")
+                        .where((F.col("__n") > 1) | F.col("__there")).select(F.col(key).alias("__key")), "taken-keys")
+    same = F.col(key).eqNullSafe(F.col("__key"))  # null keys are one key here, as in the insert
+    return rows.join(taken, same, "left_anti").drop(POSITION).unionByName(
+        insert_ignore(existing, rows.join(taken, same, "left_semi"), key))
+
+
+def checked_additions(stored: dict[str, DataFrame], incoming: dict[str, DataFrame],
+                      folder: str | None = None) -> dict[str, DataFrame]:
     """The rows that an insert-ignore of the five tables adds, written once to
-    the checkpoint folder; raises if stored and added rows together break a rule."""
-    # Materialised once, so the rows that are checked are the rows written.
-    added = {t: insert_ignore(stored[t], incoming[t]).checkpoint(eager=True) for t in MODEL_SCHEMAS}
+    ``folder`` (a new one of the checkpoint folder by default); raises if stored and
+    added rows together break a rule."""
+    spark = stored["topic"].sparkSession
+    folder, added = folder or shared_dir(spark, "additions"), {}
+    for t in MODEL_SCHEMAS:
+        # Materialised once, so the rows that are checked are the rows written.
+        rows = _additions(stored[t], incoming[t]).select(*stored[t].columns)
+        rows.write.option("compression", "zstd").parquet(f"{folder}/{t}")
+        added[t] = spark.read.schema(rows.schema).parquet(f"{folder}/{t}")
     after = {t: stored[t].unionByName(added[t]) for t in MODEL_SCHEMAS}
     C.require_clean(model_report(**after))
     return added
@@ -203,12 +223,15 @@ def committed_tables(spark, root: str) -> dict[str, DataFrame]:
 
 def load_committed(spark, root: str, incoming: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """SNK4 in one commit: the added rows of all five tables are written to a new
-    load folder, then one file makes them count.  A load that stops half-way
-    leaves a folder that no reader sees."""
-    added = checked_additions(committed_tables(spark, root), incoming)
+    load folder and checked there, then one file makes them count.  A load that
+    stops half-way leaves a folder that no reader sees, one that breaks a rule none."""
     load = f"{root}/load-{uuid.uuid4().hex}"
-    for t, s in MODEL_SCHEMAS.items():
-        added[t].select(*s.fieldNames()).write.parquet(f"{load}/{t}")
+    try:
+        added = checked_additions(committed_tables(spark, root), incoming, load)
+    except C.ConstraintError:
+        p, fs = _hadoop(spark, load)
+        fs.delete(p, True)
+        raise
     mark, fs = _hadoop(spark, f"{load}/{COMMITTED}")
     fs.create(mark, False).close()
     return added

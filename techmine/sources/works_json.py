@@ -12,15 +12,18 @@ dense ids in citation order (WIN1, SRT1) and topic ids in first-seen order
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from techmine.functions.text import reconstruct_abstract
+from techmine.functions.text import let, reconstruct_abstract
 from techmine.operators.dimensions import register_names
-from techmine.operators.ids import dense_ids_by_key
+from techmine.operators.ids import dense_ids, dense_ids_by_key
 from techmine.schemas import RESPONSE_PAGE
-from techmine.session import shared_dir
+from techmine.session import written
 
 # The extractor's selection (keyword ids, subfield, language)
 # and its defaults.
@@ -31,6 +34,11 @@ SUBFIELD_ID = "subfields/1702"
 LANGUAGE = "languages/en"
 UNKNOWN_TOPIC = "Unknown Topic"
 PAGE_SIZE = 200
+# Pages repeat their names in every record; a fast level is three times as fast as the usual one.
+LANDED = {"compression": "gzip", "zlib.compress.level": "THREE"}
+# Times keep their microseconds as text.
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+PART, SEQ = "__part", "__seq"
 BAD_PAGE = "__bad_page"
 
 
@@ -102,37 +110,78 @@ def works_and_topics(records: DataFrame, existing_topics: DataFrame | None = Non
     Ids follow citations descending, record id ascending; topic ids follow the
     first work (in that order) naming the topic, after any stored topics.
     """
-    cand = project(records)
     # The rows are stored once, with a row number as key; only (key, citations,
-    # source id) are sorted for the ids, abstracts move in the join alone.
-    path = f"{shared_dir(records.sparkSession, 'candidate-works')}/t"
-    cand.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
-    rows = records.sparkSession.read.parquet(path)
-    ranked = dense_ids_by_key(rows, [("citations", False), ("source_id", True), ("__row", True)], "__row")
+    # source id, topic) are sorted and joined for the ids, abstracts move in the last join alone.
+    rows = written(project(records).withColumn("__row", F.monotonically_increasing_id()), "candidate-works",
+                   compression="zstd")
+    ranked = dense_ids_by_key(rows.select("__row", "citations", "source_id", "topic_name"),
+                              [("citations", False), ("source_id", True), ("__row", True)], "__row")
     spark = records.sparkSession
     stored = existing_topics if existing_topics is not None else spark.createDataFrame([], "id long, name string")
     new_topics = register_names(stored, ranked.select(F.col("topic_name").alias("name"), "id"), "name", ["id"])
     topics = stored.select("id", "name").unionByName(new_topics)
-    works = (ranked.join(topics.select(F.col("id").alias("topic_id"), F.col("name").alias("topic_name")),
-                         "topic_name")
-                   .select("id", "source_url", "title", "abstract", "published", "language", "citations",
-                           "fwci", "topic_id", "doi"))
+    ids = (ranked.join(topics.select(F.col("id").alias("topic_id"), F.col("name").alias("topic_name")), "topic_name")
+                 .select("__row", "id", "topic_id"))
+    works = (rows.join(ids, "__row")
+                 .select("id", "source_url", "title", "abstract", "published", "language", "citations",
+                         "fwci", "topic_id", "doi"))
     return works, topics
 
 
 def write_pages(records: DataFrame, path: str, order_col: str, page_size: int = PAGE_SIZE) -> None:
     """Land records as response pages (``page_size`` records per page, in
     ``order_col`` order), the shape the API returns."""
-    spark = records.sparkSession
-    # Records become JSON and are stored once; only their order is sorted for the ids.
-    stored = f"{shared_dir(spark, 'records')}/t"
-    (records.select(F.col(order_col).alias("__order"), F.to_json(F.struct(*records.columns)).alias("__json"))
-            .withColumn("__row", F.monotonically_increasing_id()).write.parquet(stored))
-    rows = spark.read.parquet(stored)
-    total = rows.count()
-    numbered = dense_ids_by_key(rows, [("__order", True), ("__row", True)], "__row", id_col="__seq", start=0)
-    pages = (numbered.groupBy(F.floor(F.col("__seq") / page_size).alias("page"))
-                     .agg(F.sort_array(F.collect_list(F.struct("__seq", "__json"))).alias("rs")))
+    # Records become JSON and are stored once; they move once, to their pages.
+    rows = written(records.select(F.col(order_col).alias("__order"), F.to_json(F.struct(*records.columns)).alias("__json"))
+                          .withColumn("__row", F.monotonically_increasing_id()), "records", compression="zstd")
+    dealt, total = _dealt_to_pages(rows, ["__order", "__row"], page_size)
+    _land(dealt, total, path, page_size)
+
+
+def write_pages_of(rows: DataFrame, records_of: Callable[[DataFrame], DataFrame], path: str, order: list[str],
+                   page_size: int = PAGE_SIZE) -> None:
+    """``write_pages`` for records that are larger than what they are made from:
+    ``rows`` move to their pages, then ``records_of`` turns them into records, row by
+    row; it keeps the columns ``__part`` and ``__seq``.  ``order`` tells all rows apart
+    and is the same whenever ``rows`` are read (they are read more than once)."""
+    dealt, total = _dealt_to_pages(rows, order, page_size)
+    records = records_of(dealt.drop(*[c for c in order if c.startswith("__")]))
+    fields = [c for c in records.columns if c not in (PART, SEQ)]
+    _land(records.select(PART, SEQ, F.to_json(F.struct(*fields)).alias("__json")), total, path, page_size)
+
+
+def _dealt_to_pages(rows: DataFrame, order: list[str], page_size: int) -> tuple[DataFrame, int]:
+    """(rows, how many): ``rows`` moved once, to parts of whole pages.  ``__part`` is the
+    part, ``__seq`` the place in it in ``order``, from 0; every part but the last has
+    the same number of rows, a multiple of ``page_size``.
+
+    Only the ``order`` columns are sorted over all rows, which gives the first row of
+    every part; there are as many parts as shuffle partitions at most.  A row finds its
+    part among these firsts, in two steps as they come in groups."""
+    spark = rows.sparkSession
+    keys = dense_ids(rows.select(*order), order, id_col=SEQ, start=0)
+    total = keys.count()
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = max(1, math.ceil(total / (page_size * slots))) * page_size
+    parts = max(1, math.ceil(total / size))
+    group = math.isqrt(parts) + 1
+    number, key = (F.col(SEQ) / size).cast("long"), F.struct(*order)
+    firsts = (keys.where((F.col(SEQ) > 0) & (F.col(SEQ) % size == 0))
+                  .groupBy(F.floor((number - 1) / group).alias("g")).agg(F.sort_array(F.collect_list(key)).alias("ks"))
+                  .agg(F.sort_array(F.collect_list("ks")).alias("gs")))
+    text = firsts.select(F.to_json(F.struct("gs"), EXACT)).first()[0]
+    gs = F.from_json(F.lit(text), firsts.schema, EXACT)["gs"]  # a constant, parsed once
+    part = let(F.size(F.filter(gs, lambda ks: F.get(ks, F.lit(0)) <= key)),
+               lambda n: F.when(n > 0, (n - 1) * group + F.size(F.filter(F.get(gs, n - 1), lambda k: k <= key)))
+                          .otherwise(0))
+    place = F.row_number().over(Window.partitionBy(PART).orderBy(*order)) - 1
+    return rows.withColumn(PART, part).repartitionById(parts, PART).withColumn(SEQ, place), total
+
+
+def _land(rows: DataFrame, total: int, path: str, page_size: int) -> None:
+    """Write (part, place in it, record as JSON) as pages; a part is a whole task's."""
+    pages = (rows.groupBy(PART, F.floor(F.col(SEQ) / page_size).alias("page"))
+                 .agg(F.sort_array(F.collect_list(F.struct(SEQ, "__json"))).alias("rs")))
     results = F.array_join(F.transform("rs", lambda x: x["__json"]), ",")
     page = F.concat(F.lit('{"results":['), results, F.lit(f'],"meta":{{"count":{total}}}}}'))
-    pages.select(page.alias("value")).write.mode("overwrite").text(path)
+    pages.select(page.alias("value")).write.mode("overwrite").options(**LANDED).text(path)

@@ -233,3 +233,23 @@ def test_small_helpers(spark):
     assert rows(nulls) == [("n", 1), ("t", 2)]
     ST.register_views(spark, "/root/testdata/sf0.001", ["nation"])
     assert spark.sql("SELECT count(*) FROM nation").first()[0] == 25
+
+
+def test_only_repeated_and_stored_keys_are_grouped(spark):
+    stored = spark.createDataFrame([(1, "old"), (None, "old")], "id long, name string")
+    new = [(1, "x"), (2, "y"), (3, "b"), (3, "a"), (None, "q"), (None, "p"), (4, None)]
+    for rows_in in (new, new[1:2] + new[-1:], new[-3:-1], []):
+        incoming = spark.createDataFrame(rows_in, "id long, name string")
+        want, got = TB.insert_ignore(stored, incoming), TB._additions(stored, incoming)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_refused_load_leaves_no_folder(spark):
+    root = shared_dir(spark, "load")
+    TB.load_committed(spark, root, _tables(spark, topic=spark.createDataFrame([(1, "a")], "id long, name string")))
+    bad = spark.createDataFrame([(2, None), (3, "c")], "id long, name string")
+    with pytest.raises(C.ConstraintError, match="topic.not_null"):
+        TB.load_committed(spark, root, _tables(spark, topic=bad))
+    assert len([d for d in os.listdir(_local(root)) if d.startswith("load-")]) == 1
+    assert rows(TB.committed_tables(spark, root)["topic"]) == [(1, "a")]

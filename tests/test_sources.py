@@ -145,3 +145,71 @@ def test_records_are_computed_once_and_landed_in_order(spark, tmp_path):
     assert [len(p["results"]) for p in pages] == [200, 200, 50]
     assert [r["id"] for p in pages for r in p["results"]] == [f"W{k:04d}" for k in range(450)]
     assert pages[0]["results"][0] == {"id": "W0000", "title": '"449"\n'} and pages[0]["meta"] == {"count": 450}
+
+
+def _made_documents(tmp_path, spark, docs):
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+def test_rows_move_once_to_whole_pages(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from techmine.sources import works_json as WJ
+    # Every third row has no name, the others come two by two but one.
+    rows = [(k, None if k % 3 == 0 else f"n{(k + 1) // 2:04d}" + "é\x00\\\"" * (k % 2), k) for k in range(100)]
+    df = spark.createDataFrame(rows, "k long, name string, __row long").repartition(5)
+    dealt, total = WJ._dealt_to_pages(df, ["name", "__row"], 7)
+    assert total == 100
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # the other is the test's own
+    got = sorted((r["__part"], r["__seq"], r["k"]) for r in dealt.collect())
+    want = [r[0] for r in sorted(rows, key=lambda r: (r[1] is not None, (r[1] or "").encode(), r[2]))]
+    assert [k for _, _, k in got] == want
+    sizes = [sum(p == q for p, _, _ in got) for q in sorted({p for p, _, _ in got})]
+    assert len(set(sizes[:-1])) == 1 and sizes[0] % 7 == 0 and 1 < len(sizes) <= 8
+    path = str(tmp_path / "pages")
+    WJ.write_pages_of(df, lambda d: d.withColumn("id", F.concat(F.lit("W"), "k")), path, ["name", "__row"], 7)
+    pages = [json.loads(r["value"]) for r in spark.read.text(path).collect()]
+    place = {k: i for i, k in enumerate(want)}
+    pages.sort(key=lambda p: place[p["results"][0]["k"]])
+    assert [r["k"] for p in pages for r in p["results"]] == want and {p["meta"]["count"] for p in pages} == {100}
+    assert [len(p["results"]) for p in pages] == [7] * 14 + [2]
+    assert list(pages[-1]["results"][0]) == ["k", "name", "id"]
+
+
+def test_documents_that_share_an_id_have_each_others_texts(spark, tmp_path):
+    from techmine.operators.inverted_index import inverted_index
+    from techmine.plans import q_sources as QS
+    docs = [(k, f"text of {k}" if k % 4 else " ", "en", f"src{k}", k) for k in range(10)]
+    docs += [(3, "another", "de", "src9", 1), (3, None, "en", "src8", 2), (4, "", "en", "src4", 4),
+             (None, "no id", "en", "src5", 5), (None, "no id", "en", "src6", 6)]
+    base = _made_documents(tmp_path, spark, docs)
+    d = spark.read.parquet(f"{base}/documents.parquet")
+    want = d.join(inverted_index(d, "doc_id", "text"), "doc_id", "left").select("source", "lang", "n_chars", "index")
+    rows_of = QS._documents_with_texts(spark, base)
+    records = QS._records_from_documents(rows_of)
+    got = records.select("title", "language", "cited_by_count", "abstract_inverted_index")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+    order = [tuple(r) for r in rows_of.select(*QS.DOCUMENT_ORDER).collect()]
+    assert len(order) == len(set(order)) == 8 + 3 * 2 + 2 + 2  # id 3 has two texts, id 4 has none, two have no id
+    assert sorted(map(str, order)) == sorted(str(tuple(r)) for r in rows_of.select(*QS.DOCUMENT_ORDER).collect())
+
+
+def test_loaded_pages_take_less_disk_than_their_texts(spark, tmp_path):
+    import os
+    import random
+    from techmine.plans import registry
+    from techmine.session import ensure_checkpoint_dir
+    registry.load_all()
+    r = random.Random(1)
+    names = ["".join(r.choices("abcdefghij", k=6)) for _ in range(3000)]
+    docs = [(k, " ".join(r.choices(names, k=300)), "en", f"src{k % 7}", k) for k in range(1000)]
+    base, top = _made_documents(tmp_path, spark, docs), ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def stored():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(top) for f in fs)
+    before = stored()
+    got = {r["p"]: r["n"] for r in registry.QUERIES["json_load_graph_counts"](spark, base).collect()}
+    kept = [k for k, *_, source, _ in docs if source in ("src4", "src5", "src6")]
+    assert got["abstract"] == got["url"] == len(kept) and got["identifier"] == sum(k % 3 != 0 for k in kept)
+    assert stored() - before < 1.8 * sum(len(t) for _, t, *_ in docs)
