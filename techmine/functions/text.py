@@ -207,7 +207,8 @@ def reconstruct_abstract(index) -> Column:
     Every (position, entry) pair is packed into one long,
     ``position << 24 | (2^24 - 1 - entry)``, so a primitive sort orders by
     position and puts the later entry first; the first code of each position
-    wins and its low bits give back the word.  Indexes out of that range (more
+    wins (they are told apart only where a position comes twice) and its low bits
+    give back the word.  Indexes out of that range (more
     than 2^24 words, negative positions or positions from 2^39) sort structs
     instead.
     """
@@ -220,10 +221,13 @@ def reconstruct_abstract(index) -> Column:
         return F.transform(F.map_values(m), lambda ps: F.coalesce(ps, F.array().cast("array<bigint>")))
 
     def from_keys(m, keys):
-        flat = F.flatten(positions(m))
+        return let(F.flatten(positions(m)), lambda flat: from_positions(m, keys, flat))
+
+    def from_positions(m, keys, flat):
         fits = ((F.size(keys) <= mask) & (F.coalesce(F.array_min(flat), F.lit(0)) >= 0)
                 & (F.coalesce(F.array_max(flat), F.lit(0)) < (1 << (63 - ENTRY_BITS))))
-        return F.when(fits, packed(m, keys)).otherwise(structs(m, keys))
+        once = F.size(F.array_distinct(flat)) == F.size(flat)
+        return F.when(fits, packed(m, keys, once)).otherwise(structs(m, keys))
 
     def structs(m, keys):
         pairs = F.flatten(F.transform(positions(m), lambda ps, i: F.transform(
@@ -234,16 +238,17 @@ def reconstruct_abstract(index) -> Column:
             return F.transform(first, lambda c: F.get(keys, -c["e"]))
         return F.array_join(let(F.sort_array(pairs), pick), " ")
 
-    def packed(m, keys):
+    def packed(m, keys, once):
         codes = F.flatten(F.transform(F.map_values(m), lambda ps, i: F.transform(
             F.coalesce(ps, F.array().cast("array<bigint>")),
             lambda p: F.shiftleft(p.cast("long"), ENTRY_BITS) + (F.lit(mask) - i))))
 
-        def pick(sorted_codes):
-            first = F.filter(sorted_codes, lambda c, j: (j == 0) | (
-                F.shiftright(c, ENTRY_BITS) != F.shiftright(F.get(sorted_codes, j - 1), ENTRY_BITS)))
-            return F.transform(first, lambda c: F.get(keys, F.lit(mask) - (c.bitwiseAND(F.lit(mask)))))
-        return F.array_join(let(F.sort_array(codes), pick), " ")
+        def firsts(sorted_codes):
+            return F.when(once, sorted_codes).otherwise(F.filter(sorted_codes, lambda c, j: (j == 0) | (
+                F.shiftright(c, ENTRY_BITS) != F.shiftright(F.get(sorted_codes, j - 1), ENTRY_BITS))))
+        words_of = F.transform(let(F.sort_array(codes), firsts),
+                               lambda c: F.get(keys, F.lit(mask) - (c.bitwiseAND(F.lit(mask)))))
+        return F.array_join(words_of, " ")
 
     return F.coalesce(let(_c(index), from_map), F.lit(""))
 
